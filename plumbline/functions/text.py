@@ -194,3 +194,12 @@ def chunk_rows(df: DataFrame, keys: list[str], text: str, size: int) -> DataFram
             (F.col("char_end") - F.col("char_start")).cast("int"),
         ).alias("text"),
     )
+
+
+def mean6(value: Column) -> Column:
+    """Average of six-decimal scores as an exact integer sum of millionths.
+
+    The result does not depend on the order in which partial sums arrive.
+    """
+    micros = F.sum(F.round(value * 1_000_000).cast("bigint"))
+    return F.floor(F.try_divide(micros, F.count(value)) + 0.5) / 1_000_000

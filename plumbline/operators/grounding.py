@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import skew
 from plumbline.functions import text as T
-from plumbline.functions.text import r6
+from plumbline.functions.text import mean6, r6
 
 MIN_RUN = 3
 COVERAGE_THRESHOLD = 0.3
@@ -288,7 +288,7 @@ def coverage_stats(
         .groupBy("resp_id")
         .agg(
             F.count(F.lit(1)).alias("n_units"),
-            r6(F.avg("coverage")).alias("coverage_score_u"),
+            mean6(F.col("coverage")).alias("coverage_score_u"),
             r6(F.avg((F.col("coverage") >= threshold).cast("double"))).alias(
                 "context_coverage_ratio"
             ),

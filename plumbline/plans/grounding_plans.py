@@ -131,10 +131,10 @@ FROM (SELECT resp_id, g_t, run, count(*) AS n FROM gi GROUP BY ALL) GROUP BY res
 FROM (SELECT resp_id, g_t, run, min(ix) AS token_index, min(char_start) AS char_start, max(char_end) AS char_end
       FROM gi GROUP BY ALL) r JOIN req USING (resp_id)""",
     "coverage_stats": S.with_(*_SCORED, S.OWNERS, S.COVERAGE)
-    + """SELECT c.resp_id, n_units, coverage_score_u, context_coverage_ratio,
+    + f"""SELECT c.resp_id, n_units, coverage_score_u, context_coverage_ratio,
        CAST(0.3 AS DOUBLE) AS context_coverage_threshold, coalesce(used, 0) AS context_attribution_used_count,
        round(coalesce(used, 0) / n_units, 6) AS context_attribution_ratio
-FROM (SELECT resp_id, count(*) AS n_units, round(avg(coverage), 6) AS coverage_score_u,
+FROM (SELECT resp_id, count(*) AS n_units, {S.mean6('coverage')} AS coverage_score_u,
              round(avg(CASE WHEN coverage >= 0.3 THEN 1.0 ELSE 0.0 END), 6) AS context_coverage_ratio
       FROM cov GROUP BY resp_id) c
 LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id)""",

@@ -31,6 +31,11 @@ def pieces(text: str, boundary: str = rf"([.!?]+{WS}+|\n+)") -> str:
     )
 
 
+def mean6(value: str) -> str:
+    """Average of six-decimal scores by an exact sum of millionths."""
+    return f"floor(sum(round({value} * 1000000)::BIGINT) / nullif(count({value}), 0) + 0.5) / 1000000"
+
+
 ATOM_BOUNDARY = rf"([,;:]{WS}+)"
 
 
