@@ -201,6 +201,11 @@ def _weighted_mean(lanes: dict[str, float]) -> Column:
     return F.when(total > 0, reduce(lambda a, b: a + b, top) / total)
 
 
+def _half_up(value: Column) -> Column:
+    """Six decimals by plain arithmetic: means of rounded lanes often end in a tie."""
+    return F.floor(value * 1_000_000 + 0.5) / 1_000_000
+
+
 LANE_WEIGHTS = {"groundedness_v1": 0.5, "nli_aggregate": 0.3, "literal_match_ratio": 0.2}
 DISAGREEMENT = 0.3
 
@@ -241,7 +246,7 @@ def fuse(scored: DataFrame, primary_metric: str = "groundedness_v2") -> DataFram
     names = list(LANE_WEIGHTS)
     spread = F.greatest(*names) - F.least(*names)
     return (
-        scored.withColumn("groundedness_v2", r6(_weighted_mean(LANE_WEIGHTS)))
+        scored.withColumn("groundedness_v2", _half_up(_weighted_mean(LANE_WEIGHTS)))
         .withColumn(
             "fusion_weights_applied",
             F.concat_ws(

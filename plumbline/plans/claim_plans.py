@@ -335,10 +335,10 @@ _LANES = (
          round(literal_match / literal_total, 6) AS literal_match_ratio
   FROM req LEFT JOIN v1 USING (resp_id) LEFT JOIN agg USING (resp_id) LEFT JOIN lc USING (resp_id))""",
     """fu AS (
-  SELECT *, round((coalesce(groundedness_v1 * 0.5, 0.0) + coalesce(nli_aggregate * 0.3, 0.0)
+  SELECT *, floor((coalesce(groundedness_v1 * 0.5, 0.0) + coalesce(nli_aggregate * 0.3, 0.0)
                    + coalesce(literal_match_ratio * 0.2, 0.0))
                   / nullif((groundedness_v1 IS NOT NULL)::INT * 0.5 + (nli_aggregate IS NOT NULL)::INT * 0.3
-                     + (literal_match_ratio IS NOT NULL)::INT * 0.2, 0), 6)::DOUBLE AS groundedness_v2,
+                     + (literal_match_ratio IS NOT NULL)::INT * 0.2, 0) * 1000000 + 0.5) / 1000000 AS groundedness_v2,
          concat_ws(',', CASE WHEN groundedness_v1 IS NOT NULL THEN 'groundedness_v1=0.5' END,
                    CASE WHEN nli_aggregate IS NOT NULL THEN 'nli_aggregate=0.3' END,
                    CASE WHEN literal_match_ratio IS NOT NULL THEN 'literal_match_ratio=0.2' END)

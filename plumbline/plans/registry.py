@@ -7,6 +7,7 @@ from importlib import import_module
 MODULES = (
     "grounding_plans",
     "claim_plans",
+    "privacy_plans",
 )
 
 
