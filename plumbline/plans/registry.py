@@ -6,7 +6,9 @@ from importlib import import_module
 
 MODULES = (
     "grounding_plans",
+    "rule_plans",
     "claim_plans",
+    "session_plans",
     "privacy_plans",
 )
 
