@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import scan
 from plumbline.functions import text as T
+from plumbline.functions.clock import epoch_micros
 from plumbline.functions.text import r6
 from plumbline.operators.decide import band_of, runtime_decision
 from plumbline.sources.interactions import pair_turns
@@ -491,7 +492,7 @@ def gap_sessions(events: DataFrame, key: str, ts: str, gap_seconds: int) -> Data
     are reduced to one row per bucket first. What is ordered per key is bounded by
     the covered time over the gap, not by the number of events.
     """
-    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1_000_000
+    seconds = epoch_micros(ts) / 1_000_000
     buckets = (
         events.select(key, seconds.alias("_s"))
         .groupBy(key, F.floor(F.col("_s") / gap_seconds).alias("_bucket"))

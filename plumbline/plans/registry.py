@@ -8,6 +8,7 @@ MODULES = (
     "grounding_plans",
     "rule_plans",
     "claim_plans",
+    "stream_plans",
     "session_plans",
     "privacy_plans",
 )

@@ -289,7 +289,7 @@ def _explode(spark, sf_dir):
         "text",
         "source_id",
         "speaker",
-        F.unix_seconds("ts").alias("ts_seconds"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("said_at"),
         F.col("metadata")["ix"].alias("meta_ix"),
     )
 
@@ -485,7 +485,7 @@ ORACLES = {
             WHEN conv_id % 2 = 0 THEN text || chr(10) || 'tail' ELSE '' END AS content FROM conversations""",
     "explode_units": S.with_(S.REQUESTS)
     + """SELECT resp_id, unit_ix, text, source_id, CASE WHEN unit_ix % 2 = 0 THEN 'user' END AS speaker,
-       CASE WHEN unit_ix % 3 = 0 THEN epoch(TIMESTAMP '2024-01-01 00:00:00')::BIGINT END AS ts_seconds,
+       CASE WHEN unit_ix % 3 = 0 THEN '2024-01-01 00:00:00' END AS said_at,
        CAST(unit_ix AS VARCHAR) AS meta_ix FROM un""",
     "units_by_chunk_id": S.with_(_CHUNK_REQ) + "SELECT * FROM bc",
     "missing_chunk_ids": S.with_(_CHUNK_REQ)

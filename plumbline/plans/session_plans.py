@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions import text as T
+from plumbline.functions.clock import instant
 from plumbline.operators import corpus as Q
 from plumbline.operators import grounding as G
 from plumbline.operators import sessions as N
@@ -140,7 +140,7 @@ def _gap(spark, sf_dir):
 
 def _windows(slide: str | None):
     def run(spark, sf_dir):
-        events = _events(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+        events = _events(spark, sf_dir).select(instant("ts").alias("ts"), "event_type")
         window = F.window("ts", "1 day", slide) if slide else F.window("ts", "1 day")
         return (
             events.groupBy(window.alias("w"), "event_type")
@@ -267,7 +267,7 @@ FROM (SELECT {query}, sum(c) AS n, count(*) AS k, -sum((c / t) * ln(c / t)) AS r
 def _window_sql(step_hours: int) -> str:
     offsets = ", ".join(str(h) for h in range(0, 24, step_hours))
     return f"""SELECT start_s, start_s + 86400 AS end_s, event_type, count(*) AS n
-FROM (SELECT event_type, (epoch(ts)::DOUBLE // {step_hours * 3600})::BIGINT * {step_hours * 3600} - o * 3600 AS start_s
+FROM (SELECT event_type, CAST(floor(epoch(ts) / {step_hours * 3600}) AS BIGINT) * {step_hours * 3600} - o * 3600 AS start_s
       FROM (SELECT event_type, ts, unnest([{offsets}]) AS o FROM events)) GROUP BY ALL"""
 
 

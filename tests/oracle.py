@@ -30,8 +30,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else round(value, 5) + 0.0
-    if hasattr(value, "isoformat"):
+    if hasattr(value, "tzinfo"):
         return value.replace(tzinfo=None).isoformat(" ")
+    if hasattr(value, "isoformat"):
+        return value.isoformat()
     if isinstance(value, dict):
         return tuple((k, _plain(v)) for k, v in sorted(value.items()))
     if hasattr(value, "asDict"):
