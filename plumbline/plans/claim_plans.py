@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline import products
 from plumbline.functions import text as T
-from plumbline.functions.text import r6
 from plumbline.operators import claims as C
 from plumbline.operators import decide as D
 from plumbline.operators import grounding as G
 from plumbline.operators import literals as L
 from plumbline.plans import sqlparts as S
 from plumbline.plans.grounding_plans import requests
-from plumbline.sources.tables import read_table
+from plumbline.sources.tables import read_table, spread
 
 
 def _on(operator):
@@ -203,6 +203,36 @@ def _nested(spark, sf_dir):
     )
 
 
+def _flat(scored: DataFrame) -> DataFrame:
+    return scored.select(
+        "resp_id",
+        "groundedness_v1",
+        "groundedness_v2",
+        "reverse_context",
+        "coverage_score_u",
+        "context_attribution_ratio",
+        "risk_band",
+        "action",
+        F.array_join("reason_codes", ",").alias("reason_codes"),
+        F.array_join(F.transform("evidence", lambda e: e["unit_ix"].cast("string")), ",").alias("evidence"),
+    )
+
+
+def _bundle(spark, sf_dir):
+    return _flat(products.score_groundedness(*requests(spark, sf_dir)))
+
+
+def _open_bundle(spark, sf_dir):
+    items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    responses = items.select(F.col("item_id").alias("resp_id"), F.col("text").alias("response_text"))
+    return _flat(
+        products.score_groundedness(
+            responses, responses, attribution_mode="open_domain", corpus_table=docs
+        )
+    )
+
+
 QUERIES = {
     "claim_verification": _on(C.claim_verification),
     "atom_verification": _on(C.atom_verification),
@@ -223,6 +253,8 @@ QUERIES = {
     "fit_calibration": _fit,
     "head_features": _head,
     "nest_response": _nested,
+    "score_groundedness": _bundle,
+    "score_open_domain": _open_bundle,
 }
 
 _NEG = "[" + ", ".join(f"'{w}'" for w in C.NEGATIONS) + "]"
@@ -510,3 +542,45 @@ FROM rc JOIN labels ON labels.doc_id = resp_id JOIN documents ON documents.doc_i
                  CASE WHEN nli_aggregate IS NULL THEN 'nli_aggregate' END) AS missing_feature_groups
 FROM ln""",
 }
+
+_TRUSTED = tuple(
+    c.replace("FROM un)", "FROM tun)").replace("FROM un\n", "FROM tun\n").replace("(SELECT count(*) AS n_units FROM un)", "(SELECT count(*) AS n_units FROM tun)")
+    if not c.startswith("req0")
+    else c + ",\n" + _TRUST + ",\ntun AS (SELECT resp_id, unit_ix, source_id, text FROM th JOIN (SELECT resp_id, unit_ix FROM ts WHERE trust_state <> 'blocked') USING (resp_id, unit_ix))"
+    for c in _LANES
+)
+ORACLES["score_groundedness"] = (
+    S.with_(
+        *_TRUSTED,
+        _RC,
+        """wt AS (
+  SELECT rt.resp_id, rt.term, rt.n, ln((n_units + 1) / (coalesce(df, 0) + 1)) + 1 AS weight
+  FROM rt LEFT JOIN stat USING (term) CROSS JOIN total)""",
+        S.MATCHES,
+        S.OWNERS,
+        S.COVERAGE.replace("FROM un LEFT", "FROM tun un LEFT"),
+        """bnd AS (
+  SELECT fu.*, reverse_context, c.coverage_score_u, c.n_units, coalesce(o.used, 0) AS used,
+         CASE WHEN groundedness_v2 IS NULL THEN 'unknown' WHEN groundedness_v2 >= 0.35 THEN 'green'
+              WHEN groundedness_v2 >= 0.2 THEN 'amber' ELSE 'red' END AS risk_band
+  FROM fu LEFT JOIN rc USING (resp_id)
+  JOIN (SELECT resp_id, count(*) AS n_units, """
+        + S.mean6("coverage")
+        + """ AS coverage_score_u FROM cov GROUP BY resp_id) c USING (resp_id)
+  LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id)
+  WHERE resp_id IN (SELECT resp_id FROM req WHERE response_text <> ''))""",
+        """evi AS (
+  SELECT resp_id, string_agg(unit_ix::VARCHAR, ',' ORDER BY rk) AS evidence
+  FROM (SELECT *, row_number() OVER (PARTITION BY resp_id ORDER BY coverage DESC, unit_ix) AS rk FROM cov) WHERE rk <= 3
+  GROUP BY resp_id)""",
+    )
+    + """SELECT resp_id, groundedness_v1, groundedness_v2, reverse_context, coverage_score_u,
+       round(used / n_units, 6) AS context_attribution_ratio, risk_band,
+       CASE WHEN risk_band = 'red' THEN 'block' WHEN groundedness_v2 >= 0.35 THEN 'allow'
+            WHEN groundedness_v2 <= 0.2 THEN 'block' ELSE 'review' END AS action,
+       concat_ws(',', CASE WHEN groundedness_v2 >= 0.35 THEN 'above_allow_threshold' END,
+                 CASE WHEN groundedness_v2 <= 0.2 THEN 'below_block_threshold' END,
+                 CASE WHEN risk_band = 'red' THEN 'calibration_band_coercion:red' END,
+                 CASE WHEN groundedness_v2 IS NULL THEN 'no_score' END) AS reason_codes, evidence
+FROM bnd LEFT JOIN evi USING (resp_id)"""
+)

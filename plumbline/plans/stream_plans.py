@@ -116,4 +116,9 @@ SELECT user_id, count(*) AS turns, round(avg((score >= 0.2 AND score < 0.35)::IN
        coalesce(round(CASE WHEN count(*) > 2 AND stddev_samp(score) FILTER (back > 1) > 0
          THEN (arg_max(score, event_id) - avg(score) FILTER (back > 1)) / stddev_samp(score) FILTER (back > 1) ELSE 0.0 END, 6), 0.0) AS z_last
 FROM o GROUP BY user_id""",
+    "stream_drift": """SELECT user_id AS session, event_id AS turn, score,
+       coalesce(round(CASE WHEN c >= 2 AND d > 1e-9 THEN (score - m) / d ELSE 0.0 END, 6), 0.0) AS z
+FROM (SELECT *, count(*) OVER w AS c, avg(score) OVER w AS m, stddev_samp(score) OVER w AS d
+      FROM (SELECT user_id, event_id, round(value / 1000, 6) AS score FROM events)
+      WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
 }

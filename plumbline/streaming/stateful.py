@@ -18,24 +18,23 @@ def _drift(key, batches: Iterator[pd.DataFrame], state: GroupState):
         state.remove()
         return
     n, mean, m2 = state.get if state.exists else (0, 0.0, 0.0)
-    for batch in batches:
-        batch = batch.sort_values("turn")
-        zs = []
-        for x in batch["score"]:
-            spread = (m2 / (n - 1)) ** 0.5 if n >= 2 else 0.0
-            zs.append(round((x - mean) / spread, 6) if spread > 1e-9 else 0.0)
-            n += 1
-            step = x - mean
-            mean += step / n
-            m2 += step * (x - mean)
-        yield batch.assign(session=key[0], z=zs)[["session", "turn", "score", "z"]]
+    rows = pd.concat(list(batches)).sort_values("turn")
+    zs = []
+    for x in rows["score"]:
+        spread = (m2 / (n - 1)) ** 0.5 if n >= 2 else 0.0
+        zs.append(round((x - mean) / spread, 6) if spread > 1e-9 else 0.0)
+        n += 1
+        step = x - mean
+        mean += step / n
+        m2 += step * (x - mean)
     state.update((n, mean, m2))
     state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + IDLE_MS)
+    yield rows.assign(session=key[0], z=zs)[["session", "turn", "score", "z"]]
 
 
 def drift_stream(outcomes: DataFrame, late: str = "1 hour") -> DataFrame:
     """``z`` of every outcome (``session, turn, score, at``) against the earlier ones of
-    its session, in order of arrival. The state is a running mean and variance;
+    its session; rows of one trigger are taken in turn order. The state is a running mean and variance;
     it is dropped once the watermark is a day past the last outcomes.
 
     Needed because each row depends on the rows before it, which no built-in
