@@ -135,6 +135,24 @@ def unmarked(text: Column) -> Column:
     return F.translate(text, MARK_OPEN + MARK_CLOSE, "  ")
 
 
+def exploded(df: DataFrame, keys: list[str], array: Column, name: str) -> DataFrame:
+    """``keys`` and one row per element of a computed array.
+
+    A plain explode makes the optimizer add a filter on the array's size, which
+    computes the array a second time; the outer form does not.
+    """
+    return df.select(*keys, F.explode_outer(array).alias(name)).filter(F.col(name).isNotNull())
+
+
+def positions(df: DataFrame, keys: list[str], array: Column, ix: str, name: str) -> DataFrame:
+    """As :func:`exploded`, with the 0-based position."""
+    return (
+        df.select(*keys, F.posexplode_outer(array).alias(ix, name))
+        .filter(F.col(ix).isNotNull())
+        .withColumn(ix, F.col(ix).cast("bigint"))
+    )
+
+
 def pieces(text: Column, boundary: str) -> Column:
     """Cut after each boundary match; the pieces concatenate back to the text."""
     return F.split(F.regexp_replace(unmarked(text), boundary, "$1" + MARK_OPEN), MARK_OPEN)
@@ -158,12 +176,10 @@ def token_rows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     )
     in_order = Window.partitionBy(*keys).orderBy("ix")
     return (
-        df.select(*keys, text)
-        .repartition(*keys)
-        .select(*keys, F.posexplode(parts).alias("ix", "part"))
+        positions(df.select(*keys, text).repartition(*keys), keys, parts, "ix", "part")
         .select(
             *keys,
-            F.col("ix").cast("bigint").alias("ix"),
+            "ix",
             F.col("part.tok").alias("token"),
             F.length("part.tok").alias("_len"),
             (F.length("part.gap") + F.length("part.tok")).alias("_step"),
@@ -185,10 +201,9 @@ def piece_rows(
     """
     base = F.lit(0) if base is None else base
     in_order = Window.partitionBy(*keys).orderBy("_pos")
+    placed = df.select(*keys, text, base.cast("bigint").alias("_base")).repartition(*keys)
     return (
-        df.select(*keys, text, base.cast("bigint").alias("_base"))
-        .repartition(*keys)
-        .select(*keys, "_base", F.posexplode(pieces(F.col(text), boundary)).alias("_pos", "_raw"))
+        positions(placed, [*keys, "_base"], pieces(F.col(text), boundary), "_pos", "_raw")
         .withColumn("_end", F.sum(F.length("_raw")).over(in_order))
         .filter(has_token(F.col("_raw")))
         .select(

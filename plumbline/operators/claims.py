@@ -71,7 +71,7 @@ def verify(
     and marked as skipped. Term weights come from ``corpus``, or from ``units``.
     """
     keys = ["resp_id", *ids]
-    terms = items.select(*keys, F.explode(T.distinct_tokens(F.col("text"))).alias("term"))
+    terms = T.exploded(items, keys, T.distinct_tokens(F.col("text")), "term")
     if budget is not None:
         terms = terms.filter(F.col(ids[0]) < budget)
     weights = G.weighted(terms, units if corpus is None else corpus, [*keys, "term"])

@@ -32,7 +32,7 @@ def keep_scores(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame
     """
     pieces = segments(df, keys, text)
     ids = [*keys, "ix"]
-    terms = pieces.select(*ids, F.explode(T.distinct_tokens(F.col("text"))).alias("term"))
+    terms = T.exploded(pieces, ids, T.distinct_tokens(F.col("text")), "term")
     total = pieces.agg(F.count(F.lit(1))).scalar()
     weight = G.idf(F.col("df"), total)
     mean = (

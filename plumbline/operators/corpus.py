@@ -101,11 +101,11 @@ def open_domain_topk(
     A response with too few rare matches to set such a bound is scored on all its
     terms instead, so nothing is lost.
     """
-    terms = corpus.select("doc_id", F.explode(T.distinct_tokens(F.col("text"))).alias("term"))
+    terms = T.exploded(corpus, ["doc_id"], T.distinct_tokens(F.col("text")), "term")
     total = corpus.agg(F.count(F.lit(1))).scalar()
     stats = G.document_frequency(terms)
     asked = (
-        responses.select("resp_id", F.explode(T.distinct_tokens(F.col("response_text"))).alias("term"))
+        T.exploded(responses, ["resp_id"], T.distinct_tokens(F.col("response_text")), "term")
         .join(stats, "term")
         .withColumn("weight", G.idf(F.col("df"), total))
         .withColumn("_common", F.col("df") > total * common_share)

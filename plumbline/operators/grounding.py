@@ -27,7 +27,7 @@ def _big(column: Column) -> Column:
 
 def unit_terms(units: DataFrame) -> DataFrame:
     """``resp_id, unit_ix, term``: distinct terms of each unit."""
-    return units.select("resp_id", "unit_ix", F.explode(T.distinct_tokens(F.col("text"))).alias("term"))
+    return T.exploded(units, ["resp_id", "unit_ix"], T.distinct_tokens(F.col("text")), "term")
 
 
 def context_terms(units: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def context_terms(units: DataFrame) -> DataFrame:
 def response_terms(responses: DataFrame, text: str = "response_text") -> DataFrame:
     """``resp_id, term, n``: terms of each response with their count."""
     return (
-        responses.select("resp_id", F.explode(T.tokens(F.col(text))).alias("term"))
+        T.exploded(responses, ["resp_id"], T.tokens(F.col(text)), "term")
         .groupBy("resp_id", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )

@@ -42,12 +42,12 @@ def literals(text: Column) -> Column:
 
 
 def _context_literals(units: DataFrame) -> DataFrame:
-    return units.select("resp_id", F.explode(literals(F.col("text"))).alias("literal")).distinct()
+    return T.exploded(units, ["resp_id"], literals(F.col("text")), "literal").distinct()
 
 
 def _response_literals(responses: DataFrame) -> DataFrame:
     return (
-        responses.select("resp_id", F.explode(literals(F.col("response_text"))).alias("literal"))
+        T.exploded(responses, ["resp_id"], literals(F.col("response_text")), "literal")
         .groupBy("resp_id", "literal")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -103,7 +103,7 @@ def source_pairs(units: DataFrame) -> DataFrame:
         F.regexp_extract_all("text", F.lit(PAIR), F.lit(1)).alias("key"),
         F.regexp_extract_all("text", F.lit(PAIR), F.lit(2)).alias("value"),
     )
-    return units.select("resp_id", "unit_ix", F.explode(found).alias("_p")).select(
+    return T.exploded(units, ["resp_id", "unit_ix"], found, "_p").select(
         "resp_id",
         "unit_ix",
         F.col("_p.key").alias("key"),

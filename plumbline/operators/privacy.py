@@ -95,7 +95,7 @@ def redact(
 
 def entity_rows(found: DataFrame, key: list[str]) -> DataFrame:
     """One row per entity."""
-    return found.select(*key, F.explode("entities").alias("e")).select(*key, "e.*")
+    return T.exploded(found, key, F.col("entities"), "e").select(*key, "e.*")
 
 
 def redact_column(df: DataFrame, text: str, output: str, **options) -> DataFrame:
@@ -128,8 +128,12 @@ def entity_cube(df: DataFrame, dimensions: list[str], text: str = "text") -> Dat
     not the entities.
     """
     finest = (
-        with_entities(df, text)
-        .select(*dimensions, F.explode(F.transform("entities", lambda e: e["label"])).alias("label"))
+        T.exploded(
+            with_entities(df, text),
+            dimensions,
+            F.transform("entities", lambda e: e["label"]),
+            "label",
+        )
         .groupBy("label", *dimensions)
         .agg(F.count(F.lit(1)).alias("n"))
     )

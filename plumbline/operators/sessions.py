@@ -29,7 +29,7 @@ def turn_terms(turns: DataFrame) -> DataFrame:
     """``conv_id, turn, role, term, n, origin, g``: terms of each turn, the first turn
     of the conversation that used them, and whether that lies before this one."""
     terms = (
-        turns.select("conv_id", "turn", "role", F.explode(T.tokens(F.col("text"))).alias("term"))
+        T.exploded(turns, ["conv_id", "turn", "role"], T.tokens(F.col("text")), "term")
         .groupBy("conv_id", "turn", "role", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -113,13 +113,12 @@ def token_echo(turns: DataFrame) -> DataFrame:
     null without a query."""
     pairs = pair_turns(turns).select("conv_id", "turn", "query_turn", "response_text")
     said = (
-        turns.filter(F.col("role") == "user")
-        .select(
-            "conv_id",
-            F.col("turn").alias("query_turn"),
-            F.explode(T.distinct_tokens(F.col("text"))).alias("term"),
-        )
-        .withColumn("_said", F.lit(1))
+        T.exploded(
+            turns.filter(F.col("role") == "user").withColumnRenamed("turn", "query_turn"),
+            ["conv_id", "query_turn"],
+            T.distinct_tokens(F.col("text")),
+            "term",
+        ).withColumn("_said", F.lit(1))
     )
     positions = T.token_rows(pairs, ["conv_id", "turn"], "response_text")
     return (

@@ -134,6 +134,6 @@ def split_documents(docs: DataFrame, units_per_source: int = 5) -> DataFrame:
 
 def document_units(requests: DataFrame) -> DataFrame:
     """``resp_id, unit_ix, source_id, text`` of :func:`split_documents`."""
-    return requests.select("resp_id", F.posexplode("support_units").alias("unit_ix", "u")).select(
-        "resp_id", F.col("unit_ix").cast("bigint").alias("unit_ix"), "u.source_id", "u.text"
+    return T.positions(requests, ["resp_id"], F.col("support_units"), "unit_ix", "u").select(
+        "resp_id", "unit_ix", "u.source_id", "u.text"
     )

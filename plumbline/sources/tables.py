@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.text import positions
+
 SUPPORT_UNIT = T.StructType(
     [
         T.StructField("text", T.StringType()),
@@ -75,9 +77,9 @@ def parse_interactions(df: DataFrame, body: str) -> DataFrame:
 
 def explode_units(df: DataFrame, key: str, units: Column) -> DataFrame:
     """``array<support unit>`` to ``key, unit_ix, text, source_id, speaker, ts, metadata``."""
-    return df.select(key, F.posexplode(units).alias("unit_ix", "unit")).select(
+    return positions(df, [key], units, "unit_ix", "unit").select(
         key,
-        F.col("unit_ix").cast("bigint").alias("unit_ix"),
+        "unit_ix",
         F.col("unit.text").alias("text"),
         F.col("unit.source_id").alias("source_id"),
         F.col("unit.speaker").alias("speaker"),
