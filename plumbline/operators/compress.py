@@ -33,10 +33,13 @@ def keep_scores(df: DataFrame, keys: list[str], text: str = "text") -> DataFrame
     pieces = segments(df, keys, text)
     ids = [*keys, "ix"]
     terms = T.exploded(pieces, ids, T.distinct_tokens(F.col("text")), "term")
-    total = pieces.agg(F.count(F.lit(1))).scalar()
+    # Frequencies need neither order nor offsets: count over the cut text, row by row.
+    cut = F.filter(T.pieces(F.col(text), T.SEGMENT_END), T.has_token)
+    total = df.agg(F.sum(F.size(cut))).scalar()
+    plain = T.exploded(df, [], F.flatten(F.transform(cut, T.distinct_tokens)), "term")
     weight = G.idf(F.col("df"), total)
     mean = (
-        skew.lookup(terms, G.document_frequency(terms), "term", "df", ids)
+        skew.lookup(terms, G.document_frequency(plain), "term", "df", ids)
         .groupBy(*ids)
         .agg(F.avg(weight).alias("_mean"))
     )

@@ -96,11 +96,11 @@ def fit_calibration(labelled: DataFrame, at: float = 0.5) -> DataFrame:
     )
 
 
-def corpus_route(features: DataFrame) -> DataFrame:
+def corpus_route(features: DataFrame, *keep: str) -> DataFrame:
     """Corpus class by rules on ``pair_count, context_literals, digit_share, n_claims``.
 
     Three rules vote for a structured source; the confidence is the share of rules
-    that agree with the outcome.
+    that agree with the outcome. ``keep`` names columns to pass through.
     """
     votes = {
         "pairs": F.col("pair_count") >= 2,
@@ -128,6 +128,7 @@ def corpus_route(features: DataFrame) -> DataFrame:
         r6(share).alias("p_structured"),
         r6(1 - share).alias("p_prose"),
         F.when(structured, "structured,prose").otherwise("prose,structured").alias("top_classes"),
+        *keep,
     )
 
 

@@ -37,6 +37,7 @@ def _consensus(responses, units):
 def route_features(responses: DataFrame, units: DataFrame) -> DataFrame:
     """What the class rules look at, per response."""
     context = units.groupBy("resp_id").agg(
+        F.count(F.lit(1)).alias("n_units"),
         F.sum(F.size(L.literals(F.col("text")))).alias("context_literals"),
         F.sum(F.size(F.regexp_extract_all("text", F.lit(L.PAIR), F.lit(0)))).alias("pair_count"),
         F.sum(F.regexp_count("text", F.lit("[0-9]"))).alias("_digits"),
@@ -52,6 +53,7 @@ def route_features(responses: DataFrame, units: DataFrame) -> DataFrame:
         .select(
             "resp_id",
             "n_claims",
+            F.coalesce("n_units", zero).alias("n_units"),
             F.coalesce("context_literals", zero).alias("context_literals"),
             F.coalesce("pair_count", zero).alias("pair_count"),
             F.coalesce(F.try_divide("_digits", "_chars"), F.lit(0.0)).alias("digit_share"),
@@ -63,14 +65,11 @@ def banded(spark, sf_dir) -> DataFrame:
     """Documents with score, class, language, cut-offs and band."""
     responses, units = requests(spark, sf_dir)
     language = read_table(spark, sf_dir, "documents", "doc_id", "lang")
-    sizes = units.groupBy("resp_id").agg(F.count(F.lit(1)).alias("_n"))
+    features = route_features(responses, units)
+    routes = D.corpus_route(features, "n_units").select("resp_id", "class_key", "n_units")
     scored = (
         G.reverse_context(responses, units)
-        .join(sizes, "resp_id", "left")
-        .join(
-            D.corpus_route(route_features(responses, units)).select("resp_id", "class_key"),
-            "resp_id",
-        )
+        .join(routes, "resp_id")
         .join(
             language.select(F.col("doc_id").alias("resp_id"), F.col("lang").alias("language")),
             "resp_id",
@@ -79,8 +78,8 @@ def banded(spark, sf_dir) -> DataFrame:
             "resp_id",
             "class_key",
             "language",
-            F.coalesce("_n", F.lit(0)).alias("n_units"),
-            F.when(F.col("_n").isNotNull(), F.col("reverse_context")).alias("score"),
+            "n_units",
+            F.when(F.col("n_units") > 0, F.col("reverse_context")).alias("score"),
         )
     )
     return D.calibrated_band(scored)
