@@ -26,7 +26,8 @@ class SnapshotStore:
     """Session snapshots in a bucketed table: save, load, delete by session id.
 
     A session's bucket follows from its id, so a load reads one partition and a save
-    or delete rewrites only the buckets it touches.
+    or delete rewrites only the buckets it touches. A deleted session leaves a mark
+    without content, so that its bucket is rewritten even when nothing else is in it.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema, session: str, buckets: int = BUCKETS):
@@ -34,6 +35,8 @@ class SnapshotStore:
         self.schema = schema
 
     def _write(self, df: DataFrame) -> None:
+        if "_deleted" not in df.columns:
+            df = df.withColumn("_deleted", F.lit(False))
         placed = df.withColumn("_bucket", _bucket(F.col(self.session), self.buckets))
         (
             placed.write.mode("overwrite")
@@ -42,9 +45,14 @@ class SnapshotStore:
             .parquet(self.path)
         )
 
-    def all(self) -> DataFrame:
+    def _rows(self) -> DataFrame:
         fields = [f.simpleString().replace(":", " ", 1) for f in self.schema]
-        return self.spark.read.schema(", ".join([*fields, "_bucket int"])).parquet(self.path)
+        full = ", ".join([*fields, "_deleted boolean", "_bucket int"])
+        return self.spark.read.schema(full).parquet(self.path)
+
+    def all(self) -> DataFrame:
+        """All live snapshots."""
+        return self._rows().filter(~F.col("_deleted")).drop("_deleted", "_bucket")
 
     def create(self, df: DataFrame) -> None:
         """First load of the table."""
@@ -53,17 +61,30 @@ class SnapshotStore:
     def load(self, session_id) -> DataFrame:
         key = F.lit(session_id)
         return (
-            self.all()
+            self._rows()
             .filter((F.col("_bucket") == _bucket(key, self.buckets)) & (F.col(self.session) == key))
-            .drop("_bucket")
+            .filter(~F.col("_deleted"))
+            .drop("_deleted", "_bucket")
         )
 
     def save(self, df: DataFrame, staging: str) -> None:
         """Replace the sessions in ``df``. The merged buckets are written to
         ``staging`` first, because a table cannot be overwritten while it is read."""
+        self._merge(df.withColumn("_deleted", F.lit(False)), staging)
+
+    def delete(self, ids: DataFrame, staging: str) -> None:
+        """Remove the sessions whose ids are in ``ids``."""
+        blank = [
+            F.col(f.name) if f.name == self.session else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in self.schema
+        ]
+        marks = ids.select(self.session).distinct().select(*blank, F.lit(True).alias("_deleted"))
+        self._merge(marks, staging)
+
+    def _merge(self, df: DataFrame, staging: str) -> None:
         touched = df.select(_bucket(F.col(self.session), self.buckets).alias("_bucket")).distinct()
         kept = (
-            self.all()
+            self._rows()
             .join(F.broadcast(touched), "_bucket", "left_semi")
             .join(df.select(self.session).distinct(), self.session, "left_anti")
             .drop("_bucket")

@@ -55,3 +55,7 @@ def test_snapshot_store(spark, tmp_path):
     assert store.load(3).collect() == [(3, "new")]
     assert store.load(5).collect() == [(5, "v5")]
     assert store.all().count() == 21
+    store.delete(spark.createDataFrame([(3,), (5,)], "sid int"), str(tmp_path / "stage2"))
+    assert store.load(3).count() == 0 and store.all().count() == 19
+    store.save(spark.createDataFrame([(3, "back")], "sid int, v string"), str(tmp_path / "stage3"))
+    assert store.load(3).collect() == [(3, "back")] and store.all().count() == 20
