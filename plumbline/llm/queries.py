@@ -2,20 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from plumbline.llm import simhash
+from plumbline.llm import langid, simhash
 from plumbline.llm.common import table
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public vocabulary file, installed on every executor."""
+    return public_tokenizers.path(name)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, radius=4)
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.detect(spark, table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_language_id": op9_language_id,
 }
 
 ORACLES: dict[str, str] = {}
