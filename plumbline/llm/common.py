@@ -66,3 +66,27 @@ def with_group_min(df: DataFrame, key: str, value: str, out: str, salt_from: lis
     """``df`` with the least ``value`` among rows of the same (non-null) ``key`` in column ``out``."""
     least = min_by_group(df, key, value, salt_from, salts).withColumnRenamed("group_min", out)
     return df.withColumn("salt", salt(salt_from, salts)).join(least, [key, "salt"]).drop("salt")
+
+
+def held_out(id_col: str = "doc_id", buckets: int = 5, left: int = 0) -> Column:
+    """Whether crc32 of the id as text leaves ``left`` modulo ``buckets`` (false for a null id)."""
+    return F.coalesce(crc_bucket(id_col, buckets) == left, F.lit(False))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: int) -> DataFrame:
+    """``docs`` columns and ``label_col`` of about ``bound`` labelled documents, none of them held out.
+
+    The documents are those whose id hashes below a share taken from one count of the
+    labels. Several labels of one id count as the largest. The ids of the sample,
+    bounded by ``bound``, are broadcast, so the documents are filtered where they are
+    read.
+    """
+    known = (
+        labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
+        .groupBy("doc_id")
+        .agg(F.max(label_col).alias(label_col))
+    )
+    n = known.count()
+    share = min(1.0, bound / n) if n else 1.0
+    picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * float(1 << 20))
+    return docs.join(F.broadcast(picked), "doc_id")

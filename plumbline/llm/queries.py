@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plumbline.llm import langid, simhash
-from plumbline.llm.common import table
+from plumbline.llm import langid, simhash, toxicity
+from plumbline.llm.common import held_out, labelled_sample, table
 
 
 def tokenizer(name: str) -> str:
@@ -23,7 +24,19 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(spark, table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic", toxicity.SAMPLE_DOCS))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
 }
