@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import langid, packing, simhash, toxicity
+from plumbline.llm import langid, packing, pieces, simhash, toxicity
 from plumbline.llm.common import held_out, labelled_sample, table
 
 
@@ -24,6 +24,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(spark, table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).drop("ids")
@@ -41,6 +45,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
