@@ -31,7 +31,7 @@ from plumbline.llm import common
 CAPACITY = 2048
 END_ID = 1
 BLOCK_TOKENS = 1 << 20
-CACHE_WORDS = 200_000
+CACHE_WORDS = 800_000
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 
 # A text of these characters alone is split as the tokenizer's own pattern splits it,
