@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from plumbline.llm import langid, packing, pieces, simhash, toxicity
-from plumbline.llm.common import held_out, labelled_sample, table
-
-
-def tokenizer(name: str) -> str:
-    """The place of a public vocabulary file, installed on every executor."""
-    return public_tokenizers.path(name)
+from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +45,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
