@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import langid, packing, pieces, simhash, toxicity
+from plumbline.llm import langid, packing, pieces, quality_rules, simhash, toxicity
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 
 
@@ -23,6 +23,12 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_rules.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", quality_rules.SAMPLE_DOCS))
+    return quality_rules.judge(docs, field)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).drop("ids")
@@ -41,6 +47,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_quality_rules": op2_quality_rules,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
