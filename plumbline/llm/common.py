@@ -96,3 +96,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: i
     share = min(1.0, bound / n) if n else 1.0
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * float(1 << 20))
     return docs.join(F.broadcast(picked), "doc_id")
+
+
+_held: dict[str, object] = {}
+
+
+def per_worker(key: str, build: Callable):
+    """What ``build`` makes, kept in this Python worker from task to task.
+
+    One object at a time: a worker that turns to another operator lets the last
+    one's vocabulary and caches go.
+    """
+    if key not in _held:
+        _held.clear()
+        _held[key] = build()
+    return _held[key]

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import crc_bucket, map_rows
+from plumbline.llm.common import crc_bucket, map_rows, per_worker
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -265,10 +265,10 @@ class Scorer:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         langs, scores = [], []
-        words = [words_of(t) for t in texts]
-        for i in range(0, len(words), 100):
-            self.learn(words[i : i + 100])
-            for own in words[i : i + 100]:
+        for i in range(0, len(texts), 100):
+            words = [words_of(t) for t in texts[i : i + 100]]
+            self.learn(words)
+            for own in words:
                 if not own or not self.model.langs:
                     langs.append(UNDETERMINED)
                     scores.append(0.0)
@@ -281,17 +281,6 @@ class Scorer:
         return langs, scores
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, shared) -> Scorer:
-    """The scorer of this Python worker, kept from task to task."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(shared.value)
-    return _scorers[key]
-
-
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (the posterior of that language).
 
@@ -305,7 +294,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts):
-        langs, scores = _scorer(key, shared).predict([t if isinstance(t, str) else None for t in texts])
+        langs, scores = per_worker(key, lambda: Scorer(shared.value)).predict([t if isinstance(t, str) else None for t in texts])
         return pd.DataFrame({"lang_pred": langs, "score": scores})
 
     kept = [c for c in docs.columns if c.lower() not in ("lang_pred", "score", "__found")]

@@ -131,16 +131,6 @@ def _schema(id_field: T.StructField) -> T.StructType:
     )
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(tokenizer_file: str) -> Encoder:
-    """The encoder of this Python worker, kept from task to task."""
-    if tokenizer_file not in _encoders:
-        _encoders[tokenizer_file] = Encoder(tokenizer_file)
-    return _encoders[tokenizer_file]
-
-
 def pack_documents(
     docs: DataFrame,
     tokenizer_file: str,
@@ -163,7 +153,7 @@ def pack_documents(
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer_file)
+        encoder = common.per_worker(f"packing {tokenizer_file}", lambda: Encoder(tokenizer_file))
         base = TaskContext.get().partitionId() << 32
         block, held, sequences = [], 0, 0
 

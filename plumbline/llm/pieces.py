@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from plumbline.llm.common import map_rows
+from plumbline.llm.common import map_rows, per_worker
 
 SPACE = "▁"
 # runs of space marks with the word behind them; a line end never merges
@@ -221,14 +221,8 @@ class Codec:
         return sha256(" ".join(map(self.decimal.__getitem__, ids.tolist())).encode()).hexdigest()
 
 
-_codecs: dict[str, Codec] = {}
-
-
 def _codec(model_file: str) -> Codec:
-    """The codec of this Python worker, kept from task to task."""
-    if model_file not in _codecs:
-        _codecs[model_file] = Codec(model_file)
-    return _codecs[model_file]
+    return per_worker(f"pieces {model_file}", lambda: Codec(model_file))
 
 
 BATCH = 100

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.common import map_rows
+from plumbline.llm.common import map_rows, per_worker
 
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]*", re.S)
@@ -178,17 +178,6 @@ class _Weights(dict):
         return value
 
 
-_scorers: dict[str, Scorer] = {}
-
-
-def _scorer(key: str, shared) -> Scorer:
-    """The scorer of this Python worker, kept from task to task."""
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(shared.value)
-    return _scorers[key]
-
-
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the toxic probability of each whole text in ``out`` (0 for null and wordless texts).
 
@@ -199,7 +188,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
 
     @F.pandas_udf("double")
     def probability(texts: pd.Series) -> pd.Series:
-        scorer = _scorer(key, shared)
+        scorer = per_worker(key, lambda: Scorer(shared.value))
         return pd.Series([scorer.document(t if isinstance(t, str) else None) for t in texts], dtype="float64")
 
     return docs.withColumn(out, probability(F.col(text_col)))
@@ -220,7 +209,7 @@ def offending_sentences(docs: DataFrame, model: Model, id_col: str = "doc_id", t
     )
 
     def step(ids, texts):
-        scorer, rows = _scorer(key, shared), []
+        scorer, rows = per_worker(key, lambda: Scorer(shared.value)), []
         for i, text in zip(ids, texts, strict=True):
             spans, logits = scorer.logits(text or "")
             for (a, b), z in zip(spans, logits, strict=True):
