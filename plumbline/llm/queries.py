@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import langid, packing, pieces, quality_rules, simhash, toxicity
+from plumbline.llm import langid, packing, pieces, quality_fm, quality_rules, simhash, toxicity
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 
 
@@ -29,6 +29,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, field)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_fm.fit(labelled_sample(docs, table(spark, sf_dir, "labels"), "quality", quality_fm.SAMPLE_DOCS))
+    return quality_fm.score(docs, model).select(
+        "doc_id",
+        held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality_fm.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).drop("ids")
@@ -48,6 +59,7 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
+    "op3_quality_classifier": op3_quality_classifier,
     "op5_packing": op5_packing,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
