@@ -37,13 +37,11 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Repeated rows of that id leave one row. Rows without an id cannot be named and stay.
     """
     found = simhash.near_duplicates(docs, shingle=4, radius=4)
-    kept = materialise(
-        found.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("__copies")), "kept"
-    )
-    joined = docs.join(kept, "doc_id", "left")
-    once = joined.filter("__copies = 1 or doc_id is null")
-    repeated = joined.filter("__copies > 1").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).select(*docs.columns)
+    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    # what is kept grows with the input, so texts meet it by shuffle at every size; the
+    # rows of an id are together then, and dropping repeated ones needs no second shuffle
+    named = docs.filter("doc_id is not null").join(kept.hint("merge"), "doc_id").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).union(docs.filter("doc_id is null").select(*docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
