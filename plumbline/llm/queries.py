@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import langid, packing, pieces, quality_fm, quality_rules, simhash, toxicity
+from plumbline.llm import langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 
 
@@ -56,6 +56,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -64,6 +68,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
     "pipeline": corpus_pipeline.run,
 }
 
