@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity
+from plumbline.llm import html_text, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, warc
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
+from plumbline.session import scratch_path
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,6 +41,25 @@ def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    back = warc.read(spark, path)
+    # what was written is measured again where the archive holds it
+    own = F.col("record_type") == "response"
+    return back.select(
+        warc.page_number("record_id").alias("page_id"),
+        F.when(own, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(own, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        warc.page_number("refers_to").alias("refers_to"),
+    )
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json")).drop("ids")
@@ -64,7 +84,9 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_html_extraction": op4_html_extraction,
     "op5_packing": op5_packing,
+    "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
@@ -72,4 +94,28 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS largest FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN payload_bytes >= 1000 AND page_id < largest THEN largest END AS refers_to
+        FROM g
+    """,
+    "op10_nearest_neighbours": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        ), r AS (
+            SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM s
+        )
+        SELECT * FROM r WHERE rank <= 20
+    """,
+}
