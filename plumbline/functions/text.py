@@ -31,46 +31,6 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def running_totals(lengths: Column) -> Column:
-    """Inclusive running sums of an integer array, in blocks of about sqrt(n).
-
-    A single fold would copy its growing array at every step; folding inside
-    blocks keeps the copying near linear for texts of tens of thousands of words.
-    """
-
-    def append(acc: Column, x: Column) -> Column:
-        return F.concat(acc, F.array(F.element_at(acc, -1) + x))
-
-    def blocked(arg: Column) -> Column:
-        values, width = arg["v"], arg["w"]
-        pieces = F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(values) - 1) / width).cast("int")),
-            lambda b: F.slice(values, b * width + 1, width),
-        )
-        sums = F.transform(
-            pieces, lambda p: F.aggregate(p, F.lit(0).cast("bigint"), lambda a, x: a + x)
-        )
-        carried = F.aggregate(sums, F.array(F.lit(0).cast("bigint")), append)
-        return F.flatten(
-            F.zip_with(
-                pieces,
-                F.slice(carried, 1, F.size(carried) - 1),
-                lambda p, c: let(
-                    F.aggregate(p, F.array(c), append), lambda t: F.slice(t, 2, F.size(t) - 1)
-                ),
-            )
-        )
-
-    def start(values: Column) -> Column:
-        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values))).cast("int"))
-        return F.when(
-            F.size(values) > 0,
-            let(F.struct(values.alias("v"), width.alias("w")), blocked),
-        ).otherwise(F.array().cast("array<bigint>"))
-
-    return let(lengths, start)
-
-
 def running_totals(lengths: Column) -> Column:
     """Inclusive running sums of an integer array, in blocks of about sqrt(n).
 

@@ -292,11 +292,9 @@ def cascade(
         F.col("reverse_context").alias("score"),
         F.col("first_band").alias("band"),
     )
-    mixed = r6(
-        F.coalesce(
-            (F.col("reverse_context") + F.col("nli_aggregate")) / 2, F.col("reverse_context")
-        )
-    )
+    # half millionths go up: whole millionths are added as integers
+    micros = sum(F.round(F.col(c) * 1_000_000).cast("bigint") for c in ("reverse_context", "nli_aggregate"))
+    mixed = F.coalesce(F.floor((micros + 1) / 2) / 1_000_000, F.col("reverse_context"))
     escalated = (
         first.filter(F.col("first_band") == "amber")
         .join(checked, "resp_id", "left")

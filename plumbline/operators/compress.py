@@ -81,7 +81,10 @@ def choose_segments(scored: DataFrame, keys: list[str], target_token_ratio: floa
 def compress_text(
     df: DataFrame, keys: list[str], text: str = "text", target_token_ratio: float = 0.5
 ) -> DataFrame:
-    """Compressed text per row with its statistics, kept segments in original order."""
+    """Compressed text per row with its statistics, kept segments in original order.
+
+    A text without a token stays as it is (null: empty) with counts 0 and null ratios.
+    """
     chosen = choose_segments(keep_scores(df, keys, text), keys, target_token_ratio)
     kept_text = F.array_join(
         F.transform(
@@ -91,7 +94,12 @@ def compress_text(
         " ",
     )
     before, after = F.col("tokens_before"), F.col("tokens_after")
-    return (
+    bare = df.filter(T.token_count(F.coalesce(F.col(text), F.lit(""))) == 0).select(
+        *keys,
+        F.coalesce(F.col(text), F.lit("")).alias("compressed_text"),
+        *(F.lit(0).cast("bigint").alias(c) for c in ("tokens_before", "tokens_after", "spans_total", "spans_kept", "spans_repeated")),
+    )
+    counted = (
         chosen.groupBy(*keys)
         .agg(
             kept_text.alias("compressed_text"),
@@ -101,13 +109,14 @@ def compress_text(
             F.count_if("kept").alias("spans_kept"),
             F.count_if("is_repeat").alias("spans_repeated"),
         )
-        .withColumns(
-            {
-                "compression_ratio": r6(after / before),
-                "compression_percentage": r6((1 - after / before) * 100),
-                "tokens_saved": before - after,
-            }
-        )
+    )
+    kept_share = F.try_divide(after, before)
+    return counted.unionByName(bare).withColumns(
+        {
+            "compression_ratio": r6(kept_share),
+            "compression_percentage": r6((1 - kept_share) * 100),
+            "tokens_saved": before - after,
+        }
     )
 
 

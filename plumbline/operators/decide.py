@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import r6
@@ -33,13 +33,6 @@ def band_of(score: Column, amber_at: Column | float, green_at: Column | float) -
     )
 
 
-def calibration_table(spark: SparkSession, rows: Sequence[tuple] = CALIBRATION) -> DataFrame:
-    """The cut-offs as a table."""
-    return spark.createDataFrame(
-        list(rows), "class_key string, language string, amber_at double, green_at double"
-    )
-
-
 def calibrated_band(scored: DataFrame, rows: Sequence[tuple] = CALIBRATION) -> DataFrame:
     """Band by class and language, falling back to the class, then to ``*``.
 
@@ -84,10 +77,10 @@ def calibrated_band(scored: DataFrame, rows: Sequence[tuple] = CALIBRATION) -> D
 def fit_calibration(labelled: DataFrame, at: float = 0.5) -> DataFrame:
     """Cut-offs per class from labelled scores: ``class_key, score, is_good``.
 
-    Scores are rounded to four decimals first. A percentile keeps one counter per
-    distinct value, so its state is at most 10,001 counters whatever the class holds.
+    Scores carry six decimals. A percentile keeps one counter per distinct value, so
+    its state is at most 1,000,001 counters whatever the class holds.
     """
-    score = F.round("score", 4)
+    score = r6(F.col("score"))
     return labelled.groupBy("class_key").agg(
         r6(F.percentile(F.when(~F.col("is_good"), score), at)).alias("amber_at"),
         r6(F.percentile(F.when(F.col("is_good"), score), at)).alias("green_at"),
@@ -133,12 +126,12 @@ def corpus_route(features: DataFrame, *keep: str) -> DataFrame:
 
 
 def runtime_decision(banded: DataFrame) -> DataFrame:
-    """Action and reason codes from ``score, band, amber_at, green_at`` and the two
+    """Action and reason codes (unsupported is never allowed) from ``score, band, amber_at, green_at`` and the two
     switches ``allow_disabled, block_disabled``."""
     score, band = F.col("score"), F.col("band")
     raw = (
         F.when(band == "red", "block")
-        .when(score >= F.col("green_at"), "allow")
+        .when((score >= F.col("green_at")) & (band != "unsupported"), "allow")
         .when(score <= F.col("amber_at"), "block")
         .otherwise("review")
     )

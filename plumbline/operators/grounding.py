@@ -282,7 +282,7 @@ def heatmap_spans(responses: DataFrame, units: DataFrame) -> DataFrame:
 def coverage_stats(
     responses: DataFrame, units: DataFrame, threshold: float = COVERAGE_THRESHOLD
 ) -> DataFrame:
-    """Unit-side coverage of each response."""
+    """Unit-side coverage of each response; without units the counts are 0, the ratios null."""
     coverage = (
         unit_coverage(responses, units)
         .groupBy("resp_id")
@@ -299,9 +299,9 @@ def coverage_stats(
         .groupBy("resp_id")
         .agg(F.count_distinct("j_star").alias("context_attribution_used_count"))
     )
-    return coverage.join(used, "resp_id", "left").select(
+    return responses.select("resp_id").join(coverage, "resp_id", "left").join(used, "resp_id", "left").select(
         "resp_id",
-        "n_units",
+        F.coalesce("n_units", F.lit(0)).alias("n_units"),
         "coverage_score_u",
         "context_coverage_ratio",
         F.lit(threshold).alias("context_coverage_threshold"),
@@ -320,7 +320,7 @@ def usage_states(
     used_at: float = USED_AT,
     uncertain_at: float = UNCERTAIN_AT,
 ) -> DataFrame:
-    """Units counted as used, uncertain or unused; the ratios sum to 1."""
+    """Units counted as used, uncertain or unused; the ratios sum to 1 (null without units)."""
     state = (
         F.when(F.col("coverage") >= used_at, "used")
         .when(F.col("coverage") >= uncertain_at, "uncertain")
@@ -338,13 +338,14 @@ def usage_states(
             ],
         )
     )
-    return counted.select(
+    counts = [c for c in counted.columns if c != "resp_id"]
+    return responses.select("resp_id").join(counted, "resp_id", "left").na.fill(0, counts).select(
         "*",
         *[
-            r6(F.col(f"context_{s}_count") / F.col("n_units")).alias(f"context_{s}_ratio")
+            r6(F.try_divide(F.col(f"context_{s}_count"), F.col("n_units"))).alias(f"context_{s}_ratio")
             for s in ("used", "uncertain", "unused")
         ],
-        r6(F.col("context_used_count") / F.col("n_units")).alias("context_usage_ratio"),
+        r6(F.try_divide(F.col("context_used_count"), F.col("n_units"))).alias("context_usage_ratio"),
     )
 
 
@@ -379,8 +380,8 @@ def file_attribution(responses: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def dead_weight(responses: DataFrame, units: DataFrame) -> DataFrame:
-    """Share of context tokens in sources that own no token of the response."""
-    return (
+    """Share of context tokens in sources that own no token of the response (null without units)."""
+    dead = (
         file_attribution(responses, units)
         .groupBy("resp_id")
         .agg(
@@ -391,6 +392,7 @@ def dead_weight(responses: DataFrame, units: DataFrame) -> DataFrame:
             F.count_if("is_dead").alias("dead_weight_file_count"),
         )
     )
+    return responses.select("resp_id").join(dead, "resp_id", "left").na.fill(0, ["dead_weight_file_count"])
 
 
 def top_evidence(responses: DataFrame, units: DataFrame, limit: int = 3) -> DataFrame:

@@ -189,9 +189,13 @@ def trusted_units(units: DataFrame, enabled: bool = True) -> DataFrame:
     return assess_units(units).filter(F.col("trust_state") != "blocked").select(*units.columns)
 
 
-def context_trust(units: DataFrame) -> DataFrame:
-    """Trust per response: counts, labels, highest risk, score."""
-    return (
+def context_trust(units: DataFrame, responses: DataFrame | None = None) -> DataFrame:
+    """Trust per response: counts, highest risk, score.
+
+    With ``responses`` every one of them gets a row; without units its counts are 0
+    and risk and score null.
+    """
+    counted = (
         assess_units(units)
         .groupBy("resp_id")
         .agg(
@@ -202,3 +206,6 @@ def context_trust(units: DataFrame) -> DataFrame:
             r6(1 - F.max("risk")).alias("context_trust_score"),
         )
     )
+    if responses is None:
+        return counted
+    return responses.select("resp_id").join(counted, "resp_id", "left").na.fill(0, ["n_units", "suspicious_count", "blocked_count"])

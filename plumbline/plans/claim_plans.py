@@ -243,7 +243,7 @@ QUERIES = {
     "literal_lane": _on(L.literal_lane),
     "mismatched_literals": _on(L.mismatched_literals),
     "structured_lane": _on(L.structured_lane),
-    "context_trust": _on(lambda r, u: L.context_trust(u)),
+    "context_trust": _on(lambda r, u: L.context_trust(u, r)),
     "unit_trust": _unit_trust,
     "trusted_context": _trusted,
     "corpus_route": _on(lambda r, u: D.corpus_route(route_features(r, u))),
@@ -464,7 +464,7 @@ ORACLES = {
        CASE WHEN NOT nli_cascade_triggered THEN first_band WHEN score >= 0.35 THEN 'green'
             WHEN score >= 0.2 THEN 'amber' ELSE 'red' END AS band
 FROM (SELECT *, CASE WHEN nli_cascade_triggered
-                     THEN round(coalesce((reverse_context + nli_aggregate) / 2, reverse_context), 6)
+                     THEN coalesce(floor((round(reverse_context * 1000000)::BIGINT + round(nli_aggregate * 1000000)::BIGINT + 1) / 2) / 1000000, reverse_context)
                      ELSE reverse_context END AS score
       FROM (SELECT resp_id, reverse_context, first_band, first_band = 'amber' AS nli_cascade_triggered,
                    CASE WHEN first_band = 'amber' THEN agg.nli_aggregate END AS nli_aggregate
@@ -495,9 +495,9 @@ FROM (SELECT resp_id, reverse_context, coalesce(pair_count, 0) AS pair_count, co
              coalesce(aligned_count, 0) AS aligned_count, round(aligned_count / nullif(typed_count, 0), 6) AS ratio
       FROM rc LEFT JOIN sc USING (resp_id))""",
     "context_trust": S.with_(S.REQUESTS, _TRUST)
-    + """SELECT resp_id, count(*) AS n_units, count(*) FILTER (trust_state = 'suspicious') AS suspicious_count,
+    + """SELECT req.resp_id, count(trust_state) AS n_units, count(*) FILTER (trust_state = 'suspicious') AS suspicious_count,
        count(*) FILTER (trust_state = 'blocked') AS blocked_count, max(risk) AS max_risk,
-       round(1 - max(risk), 6) AS context_trust_score FROM ts GROUP BY resp_id""",
+       round(1 - max(risk), 6) AS context_trust_score FROM req LEFT JOIN ts USING (resp_id) GROUP BY ALL""",
     "unit_trust": S.with_(S.REQUESTS, _TRUST)
     + "SELECT resp_id, unit_ix, risk, trust_state, coalesce(trust_labels, '') AS trust_labels FROM ts",
     "trusted_context": S.with_(
@@ -523,12 +523,12 @@ FROM (SELECT *, list_sort(list_filter([
         CASE WHEN band = 'unsupported' THEN 'no_evidence' END,
         CASE WHEN raw = 'allow' AND language = 'es' THEN 'allow_disabled' END,
         CASE WHEN raw = 'block' AND language = 'de' THEN 'block_disabled' END], lambda c: c IS NOT NULL)) AS codes
-      FROM (SELECT *, CASE WHEN band = 'red' THEN 'block' WHEN score >= green_at THEN 'allow'
+      FROM (SELECT *, CASE WHEN band = 'red' THEN 'block' WHEN score >= green_at AND band <> 'unsupported' THEN 'allow'
                            WHEN score <= amber_at THEN 'block' ELSE 'review' END AS raw FROM bd))""",
     "fit_calibration": S.with_(S.REQUESTS, S.UNIT_TERMS, *_PRIMARY)
     + """SELECT lang AS class_key,
-       round(quantile_cont(round(reverse_context, 4), 0.5) FILTER (quality <> 1), 6) AS amber_at,
-       round(quantile_cont(round(reverse_context, 4), 0.5) FILTER (quality = 1), 6) AS green_at,
+       round(quantile_cont(reverse_context, 0.5) FILTER (quality <> 1), 6) AS amber_at,
+       round(quantile_cont(reverse_context, 0.5) FILTER (quality = 1), 6) AS green_at,
        count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad
 FROM rc JOIN labels ON labels.doc_id = resp_id JOIN documents ON documents.doc_id = resp_id GROUP BY lang""",
     "head_features": S.with_(*_LANES)
@@ -559,27 +559,28 @@ ORACLES["score_groundedness"] = (
         S.OWNERS,
         S.COVERAGE.replace("FROM un LEFT", "FROM tun un LEFT"),
         """bnd AS (
-  SELECT fu.*, reverse_context, c.coverage_score_u, c.n_units, coalesce(o.used, 0) AS used,
-         CASE WHEN groundedness_v2 IS NULL THEN 'unknown' WHEN groundedness_v2 >= 0.35 THEN 'green'
+  SELECT fu.* EXCLUDE (resp_id), a.resp_id, reverse_context, c.coverage_score_u, coalesce(c.n_units, 0) AS n_units, coalesce(o.used, 0) AS used,
+         CASE WHEN c.n_units IS NULL THEN 'unsupported' WHEN groundedness_v2 IS NULL THEN 'unknown' WHEN groundedness_v2 >= 0.35 THEN 'green'
               WHEN groundedness_v2 >= 0.2 THEN 'amber' ELSE 'red' END AS risk_band
-  FROM fu LEFT JOIN rc USING (resp_id)
-  JOIN (SELECT resp_id, count(*) AS n_units, """
+  FROM (SELECT resp_id FROM req WHERE response_text <> '') a LEFT JOIN fu USING (resp_id) LEFT JOIN rc USING (resp_id)
+  LEFT JOIN (SELECT resp_id, count(*) AS n_units, """
         + S.mean6("coverage")
         + """ AS coverage_score_u FROM cov GROUP BY resp_id) c USING (resp_id)
-  LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id)
-  WHERE resp_id IN (SELECT resp_id FROM req WHERE response_text <> ''))""",
+  LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id))""",
         """evi AS (
   SELECT resp_id, string_agg(unit_ix::VARCHAR, ',' ORDER BY rk) AS evidence
   FROM (SELECT *, row_number() OVER (PARTITION BY resp_id ORDER BY coverage DESC, unit_ix) AS rk FROM cov) WHERE rk <= 3
   GROUP BY resp_id)""",
     )
     + """SELECT resp_id, groundedness_v1, groundedness_v2, reverse_context, coverage_score_u,
-       round(used / n_units, 6) AS context_attribution_ratio, risk_band,
-       CASE WHEN risk_band = 'red' THEN 'block' WHEN groundedness_v2 >= 0.35 THEN 'allow'
+       round(used / nullif(n_units, 0), 6) AS context_attribution_ratio, risk_band,
+       CASE WHEN risk_band = 'red' THEN 'block' WHEN groundedness_v2 >= 0.35 AND risk_band <> 'unsupported' THEN 'allow'
             WHEN groundedness_v2 <= 0.2 THEN 'block' ELSE 'review' END AS action,
        concat_ws(',', CASE WHEN groundedness_v2 >= 0.35 THEN 'above_allow_threshold' END,
                  CASE WHEN groundedness_v2 <= 0.2 THEN 'below_block_threshold' END,
                  CASE WHEN risk_band = 'red' THEN 'calibration_band_coercion:red' END,
+                 CASE WHEN risk_band = 'unsupported' THEN 'no_evidence' END,
                  CASE WHEN groundedness_v2 IS NULL THEN 'no_score' END) AS reason_codes, evidence
-FROM bnd LEFT JOIN evi USING (resp_id)"""
+FROM bnd LEFT JOIN evi USING (resp_id)
+UNION ALL SELECT resp_id, NULL, NULL, NULL, NULL, NULL, 'red', 'block', 'empty_input', NULL FROM req WHERE coalesce(response_text, '') = ''"""
 )

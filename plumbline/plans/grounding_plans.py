@@ -131,22 +131,22 @@ FROM (SELECT resp_id, g_t, run, count(*) AS n FROM gi GROUP BY ALL) GROUP BY res
 FROM (SELECT resp_id, g_t, run, min(ix) AS token_index, min(char_start) AS char_start, max(char_end) AS char_end
       FROM gi GROUP BY ALL) r JOIN req USING (resp_id)""",
     "coverage_stats": S.with_(*_SCORED, S.OWNERS, S.COVERAGE)
-    + f"""SELECT c.resp_id, n_units, coverage_score_u, context_coverage_ratio,
+    + f"""SELECT resp_id, coalesce(n_units, 0) AS n_units, coverage_score_u, context_coverage_ratio,
        CAST(0.3 AS DOUBLE) AS context_coverage_threshold, coalesce(used, 0) AS context_attribution_used_count,
        round(coalesce(used, 0) / n_units, 6) AS context_attribution_ratio
-FROM (SELECT resp_id, count(*) AS n_units, {S.mean6('coverage')} AS coverage_score_u,
+FROM (SELECT resp_id FROM req) r LEFT JOIN (SELECT resp_id, count(*) AS n_units, {S.mean6('coverage')} AS coverage_score_u,
              round(avg(CASE WHEN coverage >= 0.3 THEN 1.0 ELSE 0.0 END), 6) AS context_coverage_ratio
-      FROM cov GROUP BY resp_id) c
+      FROM cov GROUP BY resp_id) c USING (resp_id)
 LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id)""",
     "usage_states": S.with_(*_SCORED, S.COVERAGE)
     + """SELECT *, round(context_used_count / n_units, 6) AS context_used_ratio,
        round(context_uncertain_count / n_units, 6) AS context_uncertain_ratio,
        round(context_unused_count / n_units, 6) AS context_unused_ratio,
        round(context_used_count / n_units, 6) AS context_usage_ratio
-FROM (SELECT resp_id, count(*) AS n_units, count(*) FILTER (coverage >= 0.5) AS context_used_count,
+FROM (SELECT req.resp_id, count(coverage) AS n_units, count(*) FILTER (coverage >= 0.5) AS context_used_count,
              count(*) FILTER (coverage >= 0.2 AND coverage < 0.5) AS context_uncertain_count,
              count(*) FILTER (coverage < 0.2) AS context_unused_count
-      FROM cov GROUP BY resp_id)""",
+      FROM req LEFT JOIN cov USING (resp_id) GROUP BY ALL)""",
 }
 
 _FILES = rf"""ow AS (
@@ -163,11 +163,11 @@ ORACLES |= {
        owned_tokens = 0 AS is_dead
 FROM (SELECT *, sum(owned_tokens) OVER (PARTITION BY resp_id) AS all_owned FROM fa)""",
     "dead_weight": S.with_(*_SCORED, S.OWNERS, _FILES)
-    + """SELECT resp_id,
+    + """SELECT req.resp_id,
        round(sum(CASE WHEN owned_tokens = 0 THEN source_tokens ELSE 0 END) / sum(source_tokens), 6)
          AS dead_weight_ratio,
        count(*) FILTER (owned_tokens = 0) AS dead_weight_file_count
-FROM fa GROUP BY resp_id""",
+FROM req LEFT JOIN fa USING (resp_id) GROUP BY ALL""",
     "top_evidence": S.with_(*_SCORED, S.COVERAGE)
     + """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY resp_id ORDER BY coverage DESC, unit_ix) AS rank
                FROM cov) WHERE rank <= 3""",

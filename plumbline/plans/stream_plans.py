@@ -112,7 +112,7 @@ WHERE end_us // 1000 <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)""",
   SELECT user_id, event_id, round(value / 1000, 6) AS score,
          row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events)
 SELECT user_id, count(*) AS turns, round(avg((score >= 0.2 AND score < 0.35)::INT), 6) AS noise_pct,
-       round(avg(score), 6) AS mean_score, arg_max(score, event_id) AS last_score,
+       floor(sum(round(score * 1000000)::BIGINT)::DOUBLE / count(*) + 0.5) / 1000000 AS mean_score, arg_max(score, event_id) AS last_score,
        coalesce(round(CASE WHEN count(*) > 2 AND stddev_samp(score) FILTER (back > 1) > 0
          THEN (arg_max(score, event_id) - avg(score) FILTER (back > 1)) / stddev_samp(score) FILTER (back > 1) ELSE 0.0 END, 6), 0.0) AS z_last
 FROM o GROUP BY user_id""",

@@ -38,8 +38,9 @@ def score_groundedness(
 
     ``responses(resp_id, response_text)``; ``units(resp_id, unit_ix, source_id, text)``.
     In ``open_domain`` mode the evidence is looked up in ``corpus_table(doc_id, text)``
-    and ``units`` is ignored. Empty responses are left out, as is every response
-    without evidence in closed-book mode.
+    and ``units`` is ignored. Every response gets a row: one without trusted evidence is
+    ``unsupported`` and never allowed, an empty one is red and blocked for
+    ``empty_input``.
 
     About ten branches of the plan start from the evidence, so it is written to the
     shared folder once when this is called.
@@ -50,13 +51,18 @@ def score_groundedness(
     limit = evidence_limit or preset["evidence_limit"]
     threshold = coverage_threshold if coverage_threshold is not None else preset["coverage_threshold"]
     answered = responses.filter(~R.is_empty(F.col("response_text")))
+    blank = responses.filter(R.is_empty(F.col("response_text"))).select(
+        "resp_id",
+        F.lit("red").alias("risk_band"),
+        F.lit("block").alias("action"),
+        F.array(F.lit("empty_input")).alias("reason_codes"),
+        F.lit("empty_input").alias("risk_reason"),
+    )
     if attribution_mode == "open_domain":
         if corpus_table is None:
             raise ValueError("open_domain needs corpus_table")
         units = open_domain_units(answered, corpus_table, limit)
     evidence = materialise(literals.trusted_units(units, context_trust_enabled), "evidence")
-    if attribution_mode == "closed_book":
-        answered = answered.join(evidence.select("resp_id").distinct(), "resp_id", "left_semi")
     scores = claims.fuse(claims.lanes(answered, evidence), primary_metric)
     coverage = G.coverage_stats(answered, evidence, threshold)
     best = (
@@ -65,7 +71,9 @@ def score_groundedness(
         .agg(F.array_sort(F.collect_list(F.struct("rank", "unit_ix", "coverage"))).alias("evidence"))
     )
     banded = (
-        scores.join(coverage, "resp_id", "left")
+        answered.select("resp_id")
+        .join(scores, "resp_id", "left")
+        .join(coverage, "resp_id", "left")
         .withColumn("score", F.col("primary_score"))
         .withColumn("amber_at", F.lit(amber_at))
         .withColumn("green_at", F.lit(green_at))
@@ -82,6 +90,7 @@ def score_groundedness(
         .join(best, "resp_id", "left")
         .withColumnRenamed("band", "risk_band")
         .drop("allow_disabled", "block_disabled", "score", "score_channel")
+        .unionByName(blank, allowMissingColumns=True)
     )
 
 

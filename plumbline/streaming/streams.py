@@ -148,7 +148,7 @@ def session_rollup(outcomes: DataFrame, key: str, order: str, score: str) -> Dat
         key,
         "turns",
         r6(F.col("_noise") / F.col("turns")).alias("noise_pct"),
-        r6(F.col("_s").cast("double") / F.col("turns") / 1_000_000).alias("mean_score"),
+        (F.floor(F.col("_s").cast("double") / F.col("turns") + 0.5) / 1_000_000).alias("mean_score"),
         (F.col("_last") / 1_000_000).alias("last_score"),
         r6(
             F.when(

@@ -29,7 +29,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(value):
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else round(value, 5) + 0.0
+        return "nan" if math.isnan(value) else round(value, 6) + 0.0
     if hasattr(value, "tzinfo"):
         return value.replace(tzinfo=None).isoformat(" ")
     if hasattr(value, "isoformat"):
