@@ -52,9 +52,14 @@ def resolve_band_strict(
     ).otherwise(filled)
 
 
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
 def resolve_score(*candidates: Column) -> Column:
-    """First candidate that reads as a number; else 0."""
-    return F.coalesce(*[c.try_cast("double") for c in candidates], F.lit(0.0))
+    """First candidate that reads as a decimal number; else 0. Number suffixes of programs
+    (``0.5f``, ``1d``) do not count."""
+    numbers = [F.when(c.cast("string").rlike(NUMBER), c.try_cast("double")) for c in candidates]
+    return F.coalesce(*numbers, F.lit(0.0))
 
 
 def coerce_context(items: Column) -> Column:
@@ -78,7 +83,7 @@ def join_context(chunks: Column) -> Column:
 
 def flatten_content(content: Column) -> Column:
     """Message content from a JSON column: a string as it is, a list as its text
-    parts joined by a line end, null as ''."""
+    parts joined by a line end, null as ''. Text that is no JSON is content itself."""
     value = F.try_parse_json(content)
 
     def part(item: Column) -> Column:
@@ -89,7 +94,7 @@ def flatten_content(content: Column) -> Column:
         )
 
     parts = F.try_variant_get(value, "$", "array<variant>")
-    return F.when(content.isNull(), "").otherwise(
+    return F.when(content.isNull(), "").when(value.isNull(), content).otherwise(
         F.when(
             F.schema_of_variant(value).startswith("ARRAY"),
             F.array_join(F.array_compact(F.transform(parts, part)), "\n"),

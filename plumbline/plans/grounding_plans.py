@@ -139,10 +139,10 @@ FROM (SELECT resp_id FROM req) r LEFT JOIN (SELECT resp_id, count(*) AS n_units,
       FROM cov GROUP BY resp_id) c USING (resp_id)
 LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id)""",
     "usage_states": S.with_(*_SCORED, S.COVERAGE)
-    + """SELECT *, round(context_used_count / n_units, 6) AS context_used_ratio,
-       round(context_uncertain_count / n_units, 6) AS context_uncertain_ratio,
-       round(context_unused_count / n_units, 6) AS context_unused_ratio,
-       round(context_used_count / n_units, 6) AS context_usage_ratio
+    + """SELECT *, round(context_used_count / nullif(n_units, 0), 6) AS context_used_ratio,
+       round(context_uncertain_count / nullif(n_units, 0), 6) AS context_uncertain_ratio,
+       round(context_unused_count / nullif(n_units, 0), 6) AS context_unused_ratio,
+       round(context_used_count / nullif(n_units, 0), 6) AS context_usage_ratio
 FROM (SELECT req.resp_id, count(coverage) AS n_units, count(*) FILTER (coverage >= 0.5) AS context_used_count,
              count(*) FILTER (coverage >= 0.2 AND coverage < 0.5) AS context_uncertain_count,
              count(*) FILTER (coverage < 0.2) AS context_unused_count

@@ -25,7 +25,7 @@ RESPONSES = {
     "scores_band": "CASE event_id % 5 WHEN 0 THEN 'Green' WHEN 1 THEN 'medium' WHEN 2 THEN '  ' END",
     "band": "CASE event_id % 3 WHEN 0 THEN 'HIGH' WHEN 1 THEN 'purple' END",
     "decision_band": "CASE event_id % 2 WHEN 0 THEN 'unsupported' END",
-    "trace_score": "CASE event_id % 6 WHEN 0 THEN CAST(event_id % 100 AS STRING) WHEN 1 THEN 'n/a' END",
+    "trace_score": "CASE event_id % 6 WHEN 0 THEN CAST(event_id % 100 AS STRING) WHEN 1 THEN 'n/a' WHEN 2 THEN '0.5f' WHEN 3 THEN '1d' END",
     "groundedness": "CASE event_id % 4 WHEN 0 THEN '0.25' WHEN 1 THEN '' END",
     "score": "CASE event_id % 9 WHEN 0 THEN '1e-1' END",
     "groundedness_v2": "CASE event_id % 5 WHEN 0 THEN '0.82' END",
@@ -47,7 +47,7 @@ ANSWERS = {
     "response_text": "CASE WHEN conv_id % 5 = 4 THEN NULL ELSE text END",
 }
 # Logged bodies of a hosted job, one per event.
-BODIES = """CASE event_id % 8
+BODIES = """CASE event_id % 12
   WHEN 0 THEN '{"id":"job-' || CAST(event_id AS STRING) || '","status":"COMPLETED","output":{"result":{"band":"amber","score":' || CAST(event_id % 10 AS STRING) || '}}}'
   WHEN 1 THEN '{"id":' || CAST(event_id AS STRING) || ',"status":"completed_with_errors","output":{"band":"green"}}'
   WHEN 2 THEN '{"id":"job-' || CAST(event_id AS STRING) || '","status":"FAILED","error":"boom ' || event_type || '"}'
@@ -55,6 +55,10 @@ BODIES = """CASE event_id % 8
   WHEN 4 THEN '{"band":"red","score":0.5,"id":"direct"}'
   WHEN 5 THEN '{"success":false}'
   WHEN 6 THEN '{"id":"q","status":"IN_QUEUE","output":null,"error":""}'
+  WHEN 7 THEN 'not json'
+  WHEN 8 THEN '{"status":null,"output":{"band":"red"}}'
+  WHEN 9 THEN '{"status":"COMPLETED","output":null}'
+  WHEN 10 THEN '{"success":"false","band":"amber"}'
   ELSE '{"status":"TIMED_OUT","output":"late"}' END"""
 ROLLUPS = """CASE event_id % 5
   WHEN 0 THEN '{"success":true,"action":"rollup","version":"1","rollup":{"turns":' || CAST(event_id AS STRING) || ',"noise_pct":0.25}}'
@@ -62,14 +66,16 @@ ROLLUPS = """CASE event_id % 5
   WHEN 2 THEN '{"success":true,"version":"2","extra":' || CAST(event_id AS STRING) || '}'
   WHEN 3 THEN '{"other":1}'
   ELSE '{"rollup":null,"action":"rollup"}' END"""
-STATUSES = "CAST(CASE event_id % 9 WHEN 0 THEN 401 WHEN 1 THEN 402 WHEN 2 THEN 422 WHEN 3 THEN 429 WHEN 4 THEN 500 WHEN 5 THEN 503 WHEN 6 THEN 404 WHEN 7 THEN 403 ELSE 422 END AS INT)"
-ERRORS = """CASE event_id % 7
+STATUSES = "CAST(CASE event_id % 10 WHEN 0 THEN 401 WHEN 1 THEN 402 WHEN 2 THEN 422 WHEN 3 THEN 429 WHEN 4 THEN 500 WHEN 5 THEN 503 WHEN 6 THEN 404 WHEN 7 THEN 403 ELSE 422 END AS INT)"
+ERRORS = """CASE event_id % 9
   WHEN 0 THEN '{"detail":{"code":"license_missing","message":"no licence ' || CAST(event_id AS STRING) || '","hint":"buy"}}'
   WHEN 1 THEN '{"success":false,"error_code":"E' || CAST(event_id % 3 AS STRING) || '","error":"bad ' || event_type || '"}'
   WHEN 2 THEN '{"detail":"plain text"}'
   WHEN 3 THEN '{"detail":[{"loc":["body","response_text"],"msg":"Field required"}]}'
   WHEN 4 THEN '{"code":"only_code"}'
   WHEN 5 THEN '{"detail":[{"msg":"no place"}]}'
+  WHEN 6 THEN '{"detail":["bad"]}'
+  WHEN 7 THEN '{"detail":[]}'
   ELSE '[]' END"""
 
 
@@ -236,6 +242,7 @@ def _content(spark, sf_dir):
         F.when(F.expr("turn % 3 = 0"), quoted)
         .when(F.expr("turn % 3 = 1"), F.to_json(F.array(part, image, role)))
         .when(F.expr("conv_id % 2 = 0"), F.concat(F.lit("["), quoted, F.lit(',"tail",7]')))
+        .when(F.expr("conv_id % 4 = 1"), F.col("text"))  # plain, not JSON
     )
     turns = read_table(spark, sf_dir, "conversations")
     return turns.select("conv_id", "turn", R.flatten_content(body).alias("content"))
@@ -463,6 +470,7 @@ e2 AS (
          json_type(b, '$.detail') = 'ARRAY' AND status = 422 AS listed,
          CASE WHEN b->>'$.detail[0].loc[0]' IS NOT NULL
               THEN 'validation error at ' || (b->>'$.detail[0].loc[0]') || '.' || (b->>'$.detail[0].loc[1]') || ': ' || (b->>'$.detail[0].msg')
+              WHEN coalesce(json_type(b, '$.detail[0]'), '') <> 'OBJECT' THEN 'validation error: ' || json_extract(b, '$.detail')::VARCHAR
               ELSE 'validation error: ' || coalesce(b->>'$.detail[0].msg', 'validation error') END AS invalid
   FROM e1),
 ec AS (
@@ -482,7 +490,7 @@ ORACLES = {
        text AS first_unit, 'v' || conv_id AS unlisted FROM conversations""",
     "flatten_content": """SELECT conv_id, turn,
        CASE WHEN turn % 3 = 0 THEN text WHEN turn % 3 = 1 THEN text || chr(10) || role
-            WHEN conv_id % 2 = 0 THEN text || chr(10) || 'tail' ELSE '' END AS content FROM conversations""",
+            WHEN conv_id % 2 = 0 THEN text || chr(10) || 'tail' WHEN conv_id % 4 = 1 THEN text ELSE '' END AS content FROM conversations""",
     "explode_units": S.with_(S.REQUESTS)
     + """SELECT resp_id, unit_ix, text, source_id, CASE WHEN unit_ix % 2 = 0 THEN 'user' END AS speaker,
        CASE WHEN unit_ix % 3 = 0 THEN '2024-01-01 00:00:00' END AS said_at,
@@ -491,18 +499,20 @@ ORACLES = {
     "missing_chunk_ids": S.with_(_CHUNK_REQ)
     + "SELECT * FROM cr WHERE chunk_id NOT IN (SELECT 'doc-' || doc_id FROM documents)",
     "normalize_envelopes": f"""WITH e AS (
-  SELECT event_id, CAST({BODIES} AS JSON) AS b, CASE WHEN event_id % 16 = 0 THEN 'hdr' END AS header FROM events),
+  SELECT event_id, TRY_CAST({BODIES} AS JSON) AS b, CASE WHEN event_id % 16 = 0 THEN 'hdr' END AS header FROM events),
 w AS (
-  SELECT *, upper(b->>'$.status') AS st,
-         b->>'$.status' IS NOT NULL AND (json_type(b, '$.output') IS NOT NULL OR json_type(b, '$.error') IS NOT NULL) AS wrapped
+  SELECT *, upper(coalesce(b->>'$.status', '')) AS st,
+         json_type(b, '$.status') IS NOT NULL AND (json_type(b, '$.output') IS NOT NULL OR json_type(b, '$.error') IS NOT NULL) AS wrapped
   FROM e),
 o AS (
   SELECT *, wrapped AND st NOT IN ('COMPLETED', 'COMPLETED_WITH_ERRORS') AS unfinished,
          CASE WHEN wrapped THEN json_extract(b, '$.output') ELSE b END AS out FROM w),
 p AS (
   SELECT *, CASE WHEN json_type(out, '$.result') = 'OBJECT' THEN json_extract(out, '$.result') ELSE out END AS pay,
-         CASE WHEN unfinished THEN 'job ' || lower(st) || ': ' || coalesce(nullif(b->>'$.error', ''), nullif(b->>'$.output', ''), b::VARCHAR)
-              WHEN out->>'$.success' = 'false' THEN coalesce(nullif(out->>'$.error', ''), nullif(out->>'$.message', ''), 'job failed')
+         CASE WHEN b IS NULL THEN 'response is not JSON' WHEN unfinished THEN 'job ' || lower(st) || ': ' || coalesce(nullif(b->>'$.error', ''), nullif(b->>'$.output', ''), b::VARCHAR)
+              WHEN json_type(out, '$.success') = 'BOOLEAN' AND out->>'$.success' = 'false'
+              THEN coalesce(nullif(out->>'$.error', ''), nullif(out->>'$.message', ''), 'job failed')
+              WHEN coalesce(json_type(out), 'NULL') = 'NULL' THEN 'job without output'
          END AS error FROM o)
 SELECT event_id, coalesce(header, CASE WHEN json_type(b, '$.id') = 'VARCHAR' THEN b->>'$.id' END) AS request_id,
        error IS NULL AS ok, error, CASE WHEN error IS NULL THEN pay->>'$.band' END AS band,

@@ -38,12 +38,13 @@ def _filled(column: Column) -> Column:
 def normalize_envelopes(logs: DataFrame, body: str, header_id: str | None = None) -> DataFrame:
     """Job-wrapped and plain responses to ``request_id, ok, error, payload``.
 
-    A wrapper that did not finish, or a payload with ``success`` false, is an error.
+    A body that is no JSON, a wrapper that did not finish (no status counts as
+    unfinished) or has no output, and a payload whose ``success`` is the boolean false are errors.
     A header id wins over the wrapper's; an id that is no string is dropped.
     """
     v = F.col("_v")
-    state = F.upper(_text(v, "$.status"))
-    wrapped = state.isNotNull() & (
+    state = F.upper(F.coalesce(_text(v, "$.status"), F.lit("")))
+    wrapped = _kind(v, "$.status").isNotNull() & (
         _kind(v, "$.output").isNotNull() | _kind(v, "$.error").isNotNull()
     )
     unfinished = wrapped & ~state.isin(*FINISHED)
@@ -54,16 +55,17 @@ def normalize_envelopes(logs: DataFrame, body: str, header_id: str | None = None
         .withColumn("_unfinished", F.coalesce(unfinished, F.lit(False)))
     )
     o = F.col("_output")
-    refused = F.coalesce(F.try_variant_get(o, "$.success", "boolean") == F.lit(False), F.lit(False))
+    refused = (_kind(o, "$.success") == "BOOLEAN") & (F.try_variant_get(o, "$.success", "boolean") == F.lit(False))
+    missing = F.coalesce(_kind(o, "$"), F.lit("VOID")) == "VOID"
     detail = F.coalesce(
         _filled(_text(v, "$.error")), _filled(_text(v, "$.output")), F.col(body)
     )
-    error = F.when(
+    error = F.when(v.isNull(), "response is not JSON").when(
         F.col("_unfinished"), F.concat(F.lit("job "), F.lower(state), F.lit(": "), detail)
     ).when(
         refused,
         F.coalesce(_filled(_text(o, "$.error")), _filled(_text(o, "$.message")), F.lit("job failed")),
-    )
+    ).when(missing, "job without output")
     payload = F.when(
         _kind(o, "$.result") == "OBJECT", F.try_variant_get(o, "$.result", "variant")
     ).otherwise(o)
@@ -115,7 +117,10 @@ def classify_errors(logs: DataFrame, status: str, body: str) -> DataFrame:
     location = F.array_join(F.try_variant_get(first, "$.detail[0].loc", "array<string>"), ".")
     problem = F.coalesce(_filled(_text(first, "$.detail[0].msg")), F.lit("validation error"))
     listed = (F.col(status) == 422) & (_kind(first, "$.detail") == "ARRAY")
+    whole = F.to_json(F.try_variant_get(first, "$.detail", "variant"))
     invalid = F.when(
+        F.coalesce(_kind(first, "$.detail[0]"), F.lit("")) != "OBJECT", F.concat(F.lit("validation error: "), whole)
+    ).when(
         _filled(location).isNotNull(),
         F.concat(F.lit("validation error at "), location, F.lit(": "), problem),
     ).otherwise(F.concat(F.lit("validation error: "), problem))
