@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 1000
+HOT_SHARE = 10_000
 
 
 def lookup(
@@ -14,20 +14,20 @@ def lookup(
     key: str,
     frequency: str,
     spread: list[str],
-    hot: int = HOT_KEYS,
+    share: int = HOT_SHARE,
 ) -> DataFrame:
     """Left join ``rows`` with ``table`` (one row per string ``key``).
 
-    The ``hot`` most frequent keys (a fixed number of rows, so a bounded
-    broadcast) are resolved on the map side. Rows resolved there carry a
+    Keys that hold more than one row in ``share`` are resolved on the map side: there are
+    fewer than ``share`` of them whatever the input, so the broadcast is bounded, and
+    no key that is left holds more than that part of the rows. Rows resolved there carry a
     stand-in key made of their ``spread`` columns through the shuffle join, so
     they land evenly; only rows with rarer keys meet by key.
     """
     values = [c for c in table.columns if c != key]
-    frequent = (
-        table.orderBy(F.desc(frequency), F.asc(key))
-        .limit(hot)
-        .select(F.col(key), *[F.col(c).alias(f"_hot_{c}") for c in values])
+    total = table.agg(F.sum(frequency)).scalar()
+    frequent = table.filter(F.col(frequency) * share > total).select(
+        F.col(key), *[F.col(c).alias(f"_hot_{c}") for c in values]
     )
     marked = rows.join(F.broadcast(frequent), key, "left").withColumn(
         "_meet",

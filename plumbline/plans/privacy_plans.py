@@ -9,17 +9,17 @@ from plumbline.functions import privacy as P
 from plumbline.operators import compress as K
 from plumbline.operators import privacy as E
 from plumbline.plans import sqlparts as S
-from plumbline.sources.tables import read_table, spread
+from plumbline.sources.tables import read_table
 
 CUSTOM = (("licence", r"[Ll]icen[cs]ed?"), ("hex_id", r"[0-9a-f]{40}"))
 
 
 def _docs(spark, sf_dir, *columns) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "documents", "doc_id", "text", *columns))
+    return read_table(spark, sf_dir, "documents", "doc_id", "text", *columns)
 
 
 def _turns(spark, sf_dir) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
 
 
 def _entities(spark, sf_dir, **options):

@@ -11,11 +11,11 @@ from plumbline.operators import grounding as G
 from plumbline.operators import sessions as N
 from plumbline.plans import sqlparts as S
 from plumbline.sources import interactions as I
-from plumbline.sources.tables import read_table, spread
+from plumbline.sources.tables import read_table
 
 
 def _turns(spark, sf_dir) -> DataFrame:
-    return spread(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    return read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
 
 
 def _events(spark, sf_dir) -> DataFrame:
@@ -113,7 +113,7 @@ def _maxsim(spark, sf_dir):
 
 def _open_domain(spark, sf_dir):
     items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
-    docs = spread(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
     return Q.open_domain_topk(
         items.select(F.col("item_id").alias("resp_id"), F.col("text").alias("response_text")), docs
     )
@@ -124,7 +124,7 @@ def _entropy(spark, sf_dir):
 
 
 def _entropy_text(spark, sf_dir):
-    docs = spread(read_table(spark, sf_dir, "documents", "lang", "text"))
+    docs = read_table(spark, sf_dir, "documents", "lang", "text")
     keyed = docs.select("lang", Q.answer_key(F.col("text")).alias("_key"))
     return Q.semantic_entropy(keyed, "lang", "_key")
 

@@ -10,7 +10,7 @@ from plumbline.operators import sessions as N
 from plumbline.plans import privacy_plans, session_plans
 from plumbline.session import scratch_path
 from plumbline.sources import sinks
-from plumbline.sources.tables import read_table, spread
+from plumbline.sources.tables import read_table
 from plumbline.streaming import stateful, streams
 
 
@@ -74,7 +74,7 @@ def _drift(spark, sf_dir):
 
 
 def _sink(spark, sf_dir):
-    turns = spread(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     scores = N.turn_scores(turns).withColumnRenamed("band", "risk_band")
     path = scratch_path(spark, "results")
     sinks.write_results(scores, path)

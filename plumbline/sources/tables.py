@@ -53,16 +53,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition only when the scan has fewer splits than there are cores.
-
-    A small file would keep heavy text work on one task; a large table already
-    has the splits and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_interactions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Interactions from files with the explicit schema; ``fmt`` json, parquet or orc."""
     return spark.read.schema(INTERACTION).format(fmt).load(path)

@@ -10,10 +10,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 OUTPUT = "session bigint, turn bigint, score double, z double"
 STATE = "n bigint, mean double, m2 double"
-IDLE_MS = 24 * 60 * 60 * 1000
+IDLE_HOURS = 24
 
 
-def _drift(key, batches: Iterator[pd.DataFrame], state: GroupState):
+def _drift(idle_ms: int, key, batches: Iterator[pd.DataFrame], state: GroupState):
     if state.hasTimedOut:
         state.remove()
         return
@@ -28,23 +28,29 @@ def _drift(key, batches: Iterator[pd.DataFrame], state: GroupState):
         mean += step / n
         m2 += step * (x - mean)
     state.update((n, mean, m2))
-    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + IDLE_MS)
+    state.setTimeoutTimestamp(state.getCurrentWatermarkMs() + idle_ms)
     yield rows.assign(session=key[0], z=zs)[["session", "turn", "score", "z"]]
 
 
-def drift_stream(outcomes: DataFrame, late: str = "1 hour") -> DataFrame:
+def drift_stream(outcomes: DataFrame, late: str = "1 hour", idle_hours: float = IDLE_HOURS) -> DataFrame:
     """``z`` of every outcome (``session, turn, score, at``) against the earlier ones of
     its session; rows of one trigger are taken in turn order. The state is a running mean and variance;
-    it is dropped once the watermark is a day past the last outcomes.
+    it is dropped once the watermark is ``idle_hours`` past the last outcomes, and a
+    session that goes on after that starts anew.
 
     Needed because each row depends on the rows before it, which no built-in
     streaming aggregate can express. One session's new rows meet in one task, so
     the amount per trigger (``maxFilesPerTrigger``) bounds that task.
     """
+    idle_ms = int(idle_hours * 3_600_000)
+
+    def drift(key, batches, state):
+        yield from _drift(idle_ms, key, batches, state)
+
     return (
         outcomes.withWatermark("at", late)
         .groupBy("session")
         .applyInPandasWithState(
-            _drift, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
+            drift, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout
         )
     )
