@@ -253,6 +253,8 @@ QUERIES = {
     "head_features": _head,
     "nest_response": _nested,
     "score_groundedness": _bundle,
+    "score_quality": lambda s, d: _flat(products.score_groundedness(*requests(s, d), profile="quality")),
+    "rag": lambda s, d: _flat(products.rag(*requests(s, d))),
     "score_open_domain": _open_bundle,
 }
 
@@ -548,16 +550,20 @@ _TRUSTED = tuple(
     else c + ",\n" + _TRUST + ",\ntun AS (SELECT resp_id, unit_ix, source_id, text FROM th JOIN (SELECT resp_id, unit_ix FROM ts WHERE trust_state <> 'blocked') USING (resp_id, unit_ix))"
     for c in _LANES
 )
-ORACLES["score_groundedness"] = (
+
+
+def _bundle_sql(lanes: tuple[str, ...], units: str, limit: int) -> str:
+    """The whole scored record over the given lane CTEs and units table."""
+    return (
     S.with_(
-        *_TRUSTED,
+        *lanes,
         _RC,
         """wt AS (
   SELECT rt.resp_id, rt.term, rt.n, ln((n_units + 1) / (coalesce(df, 0) + 1)) + 1 AS weight
   FROM rt LEFT JOIN stat USING (term) CROSS JOIN total)""",
         S.MATCHES,
         S.OWNERS,
-        S.COVERAGE.replace("FROM un LEFT", "FROM tun un LEFT"),
+        S.COVERAGE.replace("FROM un LEFT", f"FROM {units} un LEFT"),
         """bnd AS (
   SELECT fu.* EXCLUDE (resp_id), a.resp_id, reverse_context, c.coverage_score_u, coalesce(c.n_units, 0) AS n_units, coalesce(o.used, 0) AS used,
          CASE WHEN c.n_units IS NULL THEN 'unsupported' WHEN groundedness_v2 IS NULL THEN 'unknown' WHEN groundedness_v2 >= 0.35 THEN 'green'
@@ -569,7 +575,9 @@ ORACLES["score_groundedness"] = (
   LEFT JOIN (SELECT resp_id, count(DISTINCT j_star) AS used FROM own GROUP BY resp_id) o USING (resp_id))""",
         """evi AS (
   SELECT resp_id, string_agg(unit_ix::VARCHAR, ',' ORDER BY rk) AS evidence
-  FROM (SELECT *, row_number() OVER (PARTITION BY resp_id ORDER BY coverage DESC, unit_ix) AS rk FROM cov) WHERE rk <= 3
+  FROM (SELECT *, row_number() OVER (PARTITION BY resp_id ORDER BY coverage DESC, unit_ix) AS rk FROM cov) WHERE rk <= """
+        + str(limit)
+        + """
   GROUP BY resp_id)""",
     )
     + """SELECT resp_id, groundedness_v1, groundedness_v2, reverse_context, coverage_score_u,
@@ -584,3 +592,8 @@ ORACLES["score_groundedness"] = (
 FROM bnd LEFT JOIN evi USING (resp_id)
 UNION ALL SELECT resp_id, NULL, NULL, NULL, NULL, NULL, 'red', 'block', 'empty_input', NULL FROM req WHERE coalesce(response_text, '') = ''"""
 )
+
+
+ORACLES["score_groundedness"] = _bundle_sql(_TRUSTED, "tun", 3)
+ORACLES["score_quality"] = _bundle_sql(_TRUSTED, "tun", 5)
+ORACLES["rag"] = _bundle_sql(_LANES, "un", 3)

@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
-BATCH = sorted(q for q in QUERIES if not q.startswith(("stream_", "sink_", "score_", "pipeline")) and not re.match(r"op\d+_", q))
+BATCH = sorted(q for q in QUERIES if not q.startswith(("stream_", "sink_", "score_", "rag", "pipeline")) and not re.match(r"op\d+_", q))
 
 
 @pytest.mark.parametrize("name", BATCH)
