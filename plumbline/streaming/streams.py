@@ -17,11 +17,13 @@ from plumbline.session import scratch_path
 def table_stream(
     spark: SparkSession, folder: str, pattern: str, schema, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """New parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    """New parquet files as a stream: files of ``folder`` that match ``pattern``, or the files of
+    matching folders."""
+    reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    # a pattern, even of one file, so that the source does not take a file for its base folder
+    return reader.parquet(f"{folder}/{pattern}*")
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:
