@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What counts as a token, a segment end, an atom end, blank space.
@@ -126,28 +126,23 @@ def trimmed(text: Column) -> Column:
 def token_rows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row per token: ``keys, ix, token, char_start, char_end``.
 
-    The texts are partitioned by key before they are exploded, so the running sum
-    of lengths needs no further exchange: one shuffle of texts, none of tokens.
-    The text itself does not travel through the window.
+    Offsets are running sums inside the row: neither texts nor tokens are shuffled.
     """
-    parts = F.arrays_zip(
-        F.regexp_extract_all(F.col(text), F.lit(GAP_AND_TOKEN), F.lit(1)).alias("gap"),
-        F.regexp_extract_all(F.col(text), F.lit(GAP_AND_TOKEN), F.lit(2)).alias("tok"),
+
+    def found(group: int) -> Column:
+        return F.regexp_extract_all(F.col(text), F.lit(GAP_AND_TOKEN), F.lit(group))
+
+    parts = F.zip_with(
+        found(2),
+        running_totals(F.transform(found(0), F.length)),
+        lambda t, e: F.struct(t.alias("token"), e.alias("end")),
     )
-    in_order = Window.partitionBy(*keys).orderBy("ix")
-    return (
-        positions(df.select(*keys, text).repartition(*keys), keys, parts, "ix", "part")
-        .select(
-            *keys,
-            "ix",
-            F.col("part.tok").alias("token"),
-            F.length("part.tok").alias("_len"),
-            (F.length("part.gap") + F.length("part.tok")).alias("_step"),
-        )
-        .withColumn("char_end", F.sum("_step").over(in_order))
-        .select(
-            *keys, "ix", "token", (F.col("char_end") - F.col("_len")).alias("char_start"), "char_end"
-        )
+    return positions(df, keys, parts, "ix", "part").select(
+        *keys,
+        "ix",
+        F.col("part.token").alias("token"),
+        (F.col("part.end") - F.length("part.token")).alias("char_start"),
+        F.col("part.end").alias("char_end"),
     )
 
 
@@ -157,23 +152,30 @@ def piece_rows(
     """One row per piece that holds a token: ``keys, ix, text, char_start, char_end``.
 
     Offsets are absolute (shifted by ``base``) and exclude outer blank space;
-    ``ix`` counts the kept pieces from 0.
+    ``ix`` counts the kept pieces from 0. Nothing is shuffled.
     """
     base = F.lit(0) if base is None else base
-    in_order = Window.partitionBy(*keys).orderBy("_pos")
-    placed = df.select(*keys, text, base.cast("bigint").alias("_base")).repartition(*keys)
+
+    def kept(parts: Column) -> Column:
+        ends = running_totals(F.transform(parts, F.length))
+        placed = F.zip_with(parts, ends, lambda r, e: F.struct(r.alias("raw"), e.alias("end")))
+        return F.filter(placed, lambda p: has_token(p["raw"]))
+
+    raw = F.col("_part.raw")
     return (
-        positions(placed, [*keys, "_base"], pieces(F.col(text), boundary), "_pos", "_raw")
-        .withColumn("_end", F.sum(F.length("_raw")).over(in_order))
-        .filter(has_token(F.col("_raw")))
+        positions(
+            df.select(*keys, text, base.cast("bigint").alias("_base")),
+            [*keys, "_base"],
+            let(pieces(F.col(text), boundary), kept),
+            "ix",
+            "_part",
+        )
         .select(
             *keys,
-            (F.row_number().over(in_order) - 1).cast("bigint").alias("ix"),
-            trimmed(F.col("_raw")).alias("text"),
+            "ix",
+            trimmed(raw).alias("text"),
             (
-                F.col("_base")
-                + F.col("_end")
-                - F.length(F.regexp_replace("_raw", LEADING_BLANK, ""))
+                F.col("_base") + F.col("_part.end") - F.length(F.regexp_replace(raw, LEADING_BLANK, ""))
             ).alias("char_start"),
         )
         .withColumn("char_end", F.col("char_start") + F.length("text"))

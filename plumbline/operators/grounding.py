@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import skew
 from plumbline.functions import text as T
 from plumbline.functions.text import mean6, r6
+from plumbline.session import materialise
 
 MIN_RUN = 3
 COVERAGE_THRESHOLD = 0.3
@@ -25,9 +26,26 @@ def _big(column: Column) -> Column:
     return column.cast("bigint")
 
 
+TERMS = "_terms"
+TOKENS = "_tokens"
+
+
+def tokenised(responses: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables with their terms, written once to the shared folder.
+
+    Every lane of a score starts from the same terms. Where several lanes are wanted,
+    they read the written arrays instead of cutting the texts again.
+    """
+    return (
+        materialise(responses.withColumn(TOKENS, T.tokens(F.col("response_text"))), "responses"),
+        materialise(units.withColumn(TERMS, T.distinct_tokens(F.col("text"))), "units"),
+    )
+
+
 def unit_terms(units: DataFrame) -> DataFrame:
     """``resp_id, unit_ix, term``: distinct terms of each unit."""
-    return T.exploded(units, ["resp_id", "unit_ix"], T.distinct_tokens(F.col("text")), "term")
+    array = F.col(TERMS) if TERMS in units.columns else T.distinct_tokens(F.col("text"))
+    return T.exploded(units, ["resp_id", "unit_ix"], array, "term")
 
 
 def context_terms(units: DataFrame) -> DataFrame:
@@ -37,8 +55,9 @@ def context_terms(units: DataFrame) -> DataFrame:
 
 def response_terms(responses: DataFrame, text: str = "response_text") -> DataFrame:
     """``resp_id, term, n``: terms of each response with their count."""
+    array = F.col(TOKENS) if TOKENS in responses.columns else T.tokens(F.col(text))
     return (
-        T.exploded(responses, ["resp_id"], T.tokens(F.col(text)), "term")
+        T.exploded(responses, ["resp_id"], array, "term")
         .groupBy("resp_id", "term")
         .agg(F.count(F.lit(1)).alias("n"))
     )

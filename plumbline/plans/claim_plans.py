@@ -12,7 +12,7 @@ from plumbline.operators import decide as D
 from plumbline.operators import grounding as G
 from plumbline.operators import literals as L
 from plumbline.plans import sqlparts as S
-from plumbline.plans.grounding_plans import requests
+from plumbline.plans.grounding_plans import requests, shared_requests
 from plumbline.sources.tables import read_table
 
 
@@ -20,6 +20,10 @@ def _on(operator):
     return lambda spark, sf_dir: operator(*requests(spark, sf_dir))
 
 
+def _on_shared(operator):
+    return lambda spark, sf_dir: operator(*shared_requests(spark, sf_dir))
+
+
 def _lanes(responses: DataFrame, units: DataFrame) -> DataFrame:
     return C.lanes(responses, units).drop("reverse_context", "n_claims", "contradiction_prob_max")
 
@@ -63,7 +67,7 @@ def route_features(responses: DataFrame, units: DataFrame) -> DataFrame:
 
 def banded(spark, sf_dir) -> DataFrame:
     """Documents with score, class, language, cut-offs and band."""
-    responses, units = requests(spark, sf_dir)
+    responses, units = shared_requests(spark, sf_dir)
     language = read_table(spark, sf_dir, "documents", "doc_id", "lang")
     features = route_features(responses, units)
     routes = D.corpus_route(features, "n_units").select("resp_id", "class_key", "n_units")
@@ -125,7 +129,7 @@ def _fit(spark, sf_dir):
 
 def _head(spark, sf_dir):
     lanes = ["groundedness_v1", "literal_match_ratio", "nli_aggregate"]
-    out = D.head_features(C.lanes(*requests(spark, sf_dir)), lanes)
+    out = D.head_features(C.lanes(*shared_requests(spark, sf_dir)), lanes)
     return out.select(
         "resp_id",
         F.array_join(
@@ -156,7 +160,7 @@ def _nested(spark, sf_dir):
 
     Every list belongs to one response text, so a list is never longer than it.
     """
-    responses, units = requests(spark, sf_dir)
+    responses, units = shared_requests(spark, sf_dir)
     atoms = (
         C.atom_verification(responses, units)
         .groupBy("resp_id", "claim_ix")
@@ -233,13 +237,13 @@ def _open_bundle(spark, sf_dir):
 
 
 QUERIES = {
-    "claim_verification": _on(C.claim_verification),
-    "atom_verification": _on(C.atom_verification),
-    "atom_lift": _on(lambda r, u: C.lift_atoms(C.atom_verification(r, u))),
-    "claim_aggregates": _on(lambda r, u: C.claim_aggregates(C.claim_verification(r, u))),
-    "cascade": _on(C.cascade),
-    "fused_score": _on(_fused),
-    "consensus": _on(_consensus),
+    "claim_verification": _on_shared(C.claim_verification),
+    "atom_verification": _on_shared(C.atom_verification),
+    "atom_lift": _on_shared(lambda r, u: C.lift_atoms(C.atom_verification(r, u))),
+    "claim_aggregates": _on_shared(lambda r, u: C.claim_aggregates(C.claim_verification(r, u))),
+    "cascade": _on_shared(C.cascade),
+    "fused_score": _on_shared(_fused),
+    "consensus": _on_shared(_consensus),
     "literal_lane": _on(L.literal_lane),
     "mismatched_literals": _on(L.mismatched_literals),
     "structured_lane": _on(L.structured_lane),

@@ -19,10 +19,19 @@ def requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return split.select("resp_id", "response_text"), document_units(split)
 
 
+def shared_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """As :func:`requests`, cut and tokenised once for plans that read them in several branches."""
+    return G.tokenised(*requests(spark, sf_dir))
+
+
 def _on_requests(operator):
     return lambda spark, sf_dir: operator(*requests(spark, sf_dir))
 
 
+def _on_shared(operator):
+    return lambda spark, sf_dir: operator(*shared_requests(spark, sf_dir))
+
+
 def _documents(spark, sf_dir):
     return read_table(spark, sf_dir, "documents", "doc_id", "text")
 
@@ -49,18 +58,18 @@ QUERIES = {
     "chunk_response": lambda s, d: _chunks(requests(s, d)[0], "resp_id", "response_text", 16),
     "split_claims": _claims,
     "split_atoms": _atoms,
-    "token_grounding": _on_requests(G.token_grounding),
-    "unit_coverage": _on_requests(G.unit_coverage),
+    "token_grounding": _on_shared(G.token_grounding),
+    "unit_coverage": _on_shared(G.unit_coverage),
     "reverse_context": _on_requests(G.reverse_context),
-    "calibrated_context": _on_requests(G.calibrated_context),
+    "calibrated_context": _on_shared(G.calibrated_context),
     "grounded_coverage": _on_requests(G.grounded_coverage),
     "unsupported_spans": _on_requests(G.unsupported_spans),
     "heatmap_spans": _on_requests(G.heatmap_spans),
-    "coverage_stats": _on_requests(G.coverage_stats),
-    "usage_states": _on_requests(G.usage_states),
-    "file_attribution": _on_requests(G.file_attribution),
-    "dead_weight": _on_requests(G.dead_weight),
-    "top_evidence": _on_requests(G.top_evidence),
+    "coverage_stats": _on_shared(G.coverage_stats),
+    "usage_states": _on_shared(G.usage_states),
+    "file_attribution": _on_shared(G.file_attribution),
+    "dead_weight": _on_shared(G.dead_weight),
+    "top_evidence": _on_shared(G.top_evidence),
     "novel_tokens": _on_requests(G.novel_tokens),
 }
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from plumbline.functions import rules as R
 from plumbline.operators import claims, compress, corpus, decide, literals, privacy
 from plumbline.operators import grounding as G
-from plumbline.session import materialise
 
 # Named parameter bundles. "quality" checks more evidence and asks for more of it.
 PROFILES = {
@@ -42,8 +41,8 @@ def score_groundedness(
     ``unsupported`` and never allowed, an empty one is red and blocked for
     ``empty_input``.
 
-    About ten branches of the plan start from the evidence, so it is written to the
-    shared folder once when this is called.
+    About ten branches of the plan start from the responses and the evidence, so both are
+    tokenised and written to the shared folder once when this is called.
     """
     if attribution_mode not in ("closed_book", "open_domain"):
         raise ValueError("attribution_mode is closed_book or open_domain")
@@ -62,7 +61,7 @@ def score_groundedness(
         if corpus_table is None:
             raise ValueError("open_domain needs corpus_table")
         units = open_domain_units(answered, corpus_table, limit)
-    evidence = materialise(literals.trusted_units(units, context_trust_enabled), "evidence")
+    answered, evidence = G.tokenised(answered, literals.trusted_units(units, context_trust_enabled))
     scores = claims.fuse(claims.lanes(answered, evidence), primary_metric)
     coverage = G.coverage_stats(answered, evidence, threshold)
     best = (
