@@ -2,11 +2,12 @@
 
 A lexical stand-in for an entailment model: overlap in idf mass, turned into a
 contradiction when negation or numbers disagree with the best premise. A user
-model plugs in as a pandas UDF that returns the same columns.
+model plugs in as the ``scorer`` of :func:`verify`.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -64,12 +65,17 @@ def verify(
     premises: int = 3,
     budget: int | None = None,
     corpus: DataFrame | None = None,
+    scorer: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Verdict per item; ``ids`` are the item's positions inside its response.
 
     Items meet units on shared terms only. ``premise_ixs`` lists the best
     ``premises`` units. Items past ``budget`` (by the first position) are kept
     and marked as skipped. Term weights come from ``corpus``, or from ``units``.
+
+    ``scorer(text, premise)``, a pandas UDF as a rule, gives a struct of
+    ``entailment, contradiction`` for an item and its best premise in place of the
+    lexical rule. It sees a null premise where there is none; that result is not used.
     """
     keys = ["resp_id", *ids]
     terms = T.exploded(items, keys, T.distinct_tokens(F.col("text")), "term")
@@ -96,7 +102,10 @@ def verify(
         )
     )
     premise_facts = units.select(
-        "resp_id", "unit_ix", F.struct(*_facts(F.col("text"))).alias("_premise")
+        "resp_id",
+        "unit_ix",
+        F.struct(*_facts(F.col("text"))).alias("_premise"),
+        F.col("text").alias("_premise_text"),
     )
     joined = (
         items.withColumn("_claim", F.struct(*_facts(F.col("text"))))
@@ -109,10 +118,20 @@ def verify(
         & (F.size(F.array_except("_claim.numbers", "_premise.numbers")) > 0)
     )
     over_budget = F.lit(False) if budget is None else F.col(ids[0]) >= budget
+    if scorer is None:
+        judged = joined.withColumn("entailment", r6(F.col("_overlap") / F.col("_mass"))).withColumn(
+            "contradiction", F.when(differs, F.col("entailment")).otherwise(F.col("entailment") * 0)
+        )
+    else:
+        verdict = joined.withColumn("_verdict", scorer(F.col("text"), F.col("_premise_text")))
+        judged = verdict.withColumns(
+            {
+                name: F.when(F.col("_premise_text").isNotNull(), r6(F.col("_verdict")[name]))
+                for name in ("entailment", "contradiction")
+            }
+        )
     scored = (
-        joined.withColumn("entailment", r6(F.col("_overlap") / F.col("_mass")))
-        .withColumn("contradiction", F.when(differs, F.col("entailment")).otherwise(F.col("entailment") * 0))
-        .withColumn(
+        judged.withColumn(
             "neutral",
             F.when(
                 F.col("entailment").isNotNull(),
@@ -159,16 +178,21 @@ def claim_verification(
     premises: int = 3,
     budget: int | None = None,
     corpus: DataFrame | None = None,
+    scorer: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Verdict per claim."""
-    return verify(split_claims(responses), units, ["claim_ix"], premises, budget, corpus)
+    return verify(split_claims(responses), units, ["claim_ix"], premises, budget, corpus, scorer)
 
 
-def atom_verification(responses: DataFrame, units: DataFrame, premises: int = 3) -> DataFrame:
+def atom_verification(
+    responses: DataFrame,
+    units: DataFrame,
+    premises: int = 3,
+    scorer: Callable[[Column, Column], Column] | None = None,
+) -> DataFrame:
     """Verdict per atom."""
-    return verify(
-        split_atoms(split_claims(responses)), units, ["claim_ix", "atom_ix"], premises
-    )
+    atoms = split_atoms(split_claims(responses))
+    return verify(atoms, units, ["claim_ix", "atom_ix"], premises, scorer=scorer)
 
 
 def lift_atoms(atoms: DataFrame) -> DataFrame:
@@ -211,7 +235,9 @@ LANE_WEIGHTS = {"groundedness_v1": 0.5, "nli_aggregate": 0.3, "literal_match_rat
 DISAGREEMENT = 0.3
 
 
-def lanes(responses: DataFrame, units: DataFrame) -> DataFrame:
+def lanes(
+    responses: DataFrame, units: DataFrame, scorer: Callable[[Column, Column], Column] | None = None
+) -> DataFrame:
     """The single-lane scores of each response; null where a lane does not apply."""
 
     terms = G.weighted_terms(responses, units)
@@ -225,7 +251,7 @@ def lanes(responses: DataFrame, units: DataFrame) -> DataFrame:
             r6(F.sum(F.col("n") * F.coalesce("_g", F.lit(0))) / F.sum("n")).alias("reverse_context"),
         )
     )
-    claim_lane = claim_aggregates(claim_verification(responses, units)).select(
+    claim_lane = claim_aggregates(claim_verification(responses, units, scorer=scorer)).select(
         "resp_id", "nli_aggregate", "n_claims", "contradiction_prob_max"
     )
     literal_lane = literal_counts(responses, units).select(

@@ -74,6 +74,50 @@ def calibrated_band(scored: DataFrame, rows: Sequence[tuple] = CALIBRATION) -> D
     )
 
 
+def table_band(scored: DataFrame, cuts: DataFrame) -> DataFrame:
+    """As :func:`calibrated_band`, with the cut-offs in a table.
+
+    ``cuts(class_key, amber_at, green_at)``, and ``language`` where they differ by it, one
+    row per key; :func:`fit_calibration` writes such a table. Keys are looked up in the
+    same order: class and language, class, then ``*``. Null cut-offs count as absent;
+    a score without any cut-off is ``unknown``. The joins are left to adaptive
+    execution, which broadcasts the table where it is small and splits a frequent class.
+    """
+    if "language" not in cuts.columns:
+        cuts = cuts.withColumn("language", F.lit(ANY))
+    cuts = cuts.filter("amber_at is not null and green_at is not null").select(
+        F.col("class_key").alias("_class"),
+        F.col("language").alias("_language"),
+        F.struct("amber_at", "green_at").alias("_found"),
+    )
+    found = scored
+    keys = (("class_key", "language"), ("class_key", None), (None, None))
+    for step, (key, lang) in enumerate(keys):
+        at = cuts.withColumnRenamed("_found", f"_cut{step}")
+        meets = [
+            F.col("_class") == (F.col(key) if key else F.lit(ANY)),
+            F.col("_language") == (F.col(lang) if lang else F.lit(ANY)),
+        ]
+        if key is None:
+            # one row at most, so a scalar and no join on a constant
+            only = at.filter((F.col("_class") == ANY) & (F.col("_language") == ANY))
+            found = found.withColumn(f"_cut{step}", only.agg(F.first(f"_cut{step}")).scalar())
+        else:
+            found = found.join(at, meets, "left").drop("_class", "_language")
+    cut = F.coalesce("_cut0", "_cut1", "_cut2")
+    return (
+        found.withColumn("amber_at", cut["amber_at"])
+        .withColumn("green_at", cut["green_at"])
+        .withColumn(
+            "band",
+            F.when(F.col("n_units") == 0, "unsupported")
+            .when(F.col("green_at").isNull(), "unknown")
+            .otherwise(band_of(F.col("score"), F.col("amber_at"), F.col("green_at"))),
+        )
+        .drop("_cut0", "_cut1", "_cut2")
+    )
+
+
 def fit_calibration(labelled: DataFrame, at: float = 0.5) -> DataFrame:
     """Cut-offs per class from labelled scores: ``class_key, score, is_good``.
 

@@ -431,22 +431,25 @@ def novel_tokens(responses: DataFrame, units: DataFrame) -> DataFrame:
     return response_terms(responses).select("resp_id", "term").subtract(context_terms(units))
 
 
+def query_context(queries: DataFrame, units: DataFrame) -> DataFrame:
+    """``resp_id, query_context``: share of a query's tokens that its units hold."""
+    asked = queries.filter(F.col("query_text").isNotNull()).select(
+        "resp_id", F.col("query_text").alias("response_text")
+    )
+    return (
+        grounded_terms(asked, units)
+        .groupBy("resp_id")
+        .agg(r6(F.sum(F.col("n") * F.col("g")) / F.sum("n")).alias("query_context"))
+    )
+
+
 def annotate_nodes(queries: DataFrame, units: DataFrame) -> DataFrame:
     """Score the retrieved units of a query as a whole; put the result on each unit.
 
     The score is the share of the query's tokens that its units hold. A unit that
     carries an ``annotation`` already keeps it; without a query nothing is added.
     """
-    scored = (
-        grounded_terms(
-            queries.filter(F.col("query_text").isNotNull()).select(
-                "resp_id", F.col("query_text").alias("response_text")
-            ),
-            units,
-        )
-        .groupBy("resp_id")
-        .agg(r6(F.sum(F.col("n") * F.col("g")) / F.sum("n")).alias("query_context"))
-    )
+    scored = query_context(queries, units)
     sizes = units.groupBy("resp_id").agg(F.count(F.lit(1)).alias("n_nodes"))
     fresh = scored.join(sizes, "resp_id").select(
         "resp_id",

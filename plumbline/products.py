@@ -5,10 +5,13 @@ Every argument that names a table is a DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions import rules as R
+from plumbline.functions import text as T
 from plumbline.operators import claims, compress, corpus, decide, literals, privacy
 from plumbline.operators import grounding as G
 
@@ -21,8 +24,16 @@ PROFILES = {
 
 def score_groundedness(
     responses: DataFrame,
-    units: DataFrame,
+    units: DataFrame | None = None,
     *,
+    raw_context: DataFrame | None = None,
+    chunk_tokens: int = 64,
+    chunk_ids: DataFrame | None = None,
+    queries: DataFrame | None = None,
+    calibration: DataFrame | None = None,
+    class_key: str = decide.ANY,
+    language: str = decide.ANY,
+    scorer: Callable[[Column, Column], Column] | None = None,
     attribution_mode: str = "closed_book",
     corpus_table: DataFrame | None = None,
     primary_metric: str = "groundedness_v2",
@@ -35,7 +46,14 @@ def score_groundedness(
 ) -> DataFrame:
     """Scores, band, decision and evidence of each response.
 
-    ``responses(resp_id, response_text)``; ``units(resp_id, unit_ix, source_id, text)``.
+    ``responses(resp_id, response_text)``; ``units(resp_id, unit_ix, source_id, text)``,
+    or ``raw_context(resp_id, source_id, text)``, cut into units of ``chunk_tokens``
+    tokens. ``chunk_ids(resp_id, unit_ix)`` names the units to use. ``queries(resp_id,
+    query_text)`` adds ``query_context``, the share of a query's tokens that its units
+    hold. ``calibration`` is a table of cut-offs (see ``decide.table_band``) in place of
+    ``amber_at`` and ``green_at``; class and language come from columns ``class_key`` and
+    ``language`` of ``responses`` where it has them, else from the arguments. ``scorer``
+    judges claims (see ``claims.verify``).
     In ``open_domain`` mode the evidence is looked up in ``corpus_table(doc_id, text)``
     and ``units`` is ignored. Every response gets a row: one without trusted evidence is
     ``unsupported`` and never allowed, an empty one is red and blocked for
@@ -61,29 +79,42 @@ def score_groundedness(
         if corpus_table is None:
             raise ValueError("open_domain needs corpus_table")
         units = open_domain_units(answered, corpus_table, limit)
+    elif (units is None) == (raw_context is None):
+        raise ValueError("give either units or raw_context")
+    elif raw_context is not None:
+        units = raw_units(raw_context, chunk_tokens)
+    if chunk_ids is not None:
+        units = units.join(chunk_ids.select("resp_id", "unit_ix").distinct(), ["resp_id", "unit_ix"], "left_semi")
     answered, evidence = G.tokenised(answered, literals.trusted_units(units, context_trust_enabled))
-    scores = claims.fuse(claims.lanes(answered, evidence), primary_metric)
+    scores = claims.fuse(claims.lanes(answered, evidence, scorer), primary_metric)
     coverage = G.coverage_stats(answered, evidence, threshold)
     best = (
         G.top_evidence(answered, evidence, limit)
         .groupBy("resp_id")
         .agg(F.array_sort(F.collect_list(F.struct("rank", "unit_ix", "coverage"))).alias("evidence"))
     )
-    banded = (
-        answered.select("resp_id")
+    given = {"class_key": class_key, "language": language}
+    scored = (
+        answered.select(
+            "resp_id", *[F.col(c) if c in answered.columns else F.lit(v).alias(c) for c, v in given.items()]
+        )
         .join(scores, "resp_id", "left")
         .join(coverage, "resp_id", "left")
         .withColumn("score", F.col("primary_score"))
-        .withColumn("amber_at", F.lit(amber_at))
-        .withColumn("green_at", F.lit(green_at))
-        .withColumn(
-            "band",
-            F.when(F.coalesce("n_units", F.lit(0)) == 0, "unsupported").otherwise(
-                decide.band_of(F.col("primary_score"), amber_at, green_at)
-            ),
-        )
-        .withColumns({"allow_disabled": F.lit(False), "block_disabled": F.lit(False)})
+        .withColumn("n_units", F.coalesce("n_units", F.lit(0)))
     )
+    if queries is not None:
+        asked = G.query_context(queries, evidence)
+        scored = scored.join(asked, "resp_id", "left")
+    if calibration is None:
+        fixed = scored.withColumns({"amber_at": F.lit(amber_at), "green_at": F.lit(green_at)})
+        band = F.when(F.col("n_units") == 0, "unsupported").otherwise(
+            decide.band_of(F.col("score"), amber_at, green_at)
+        )
+        banded = fixed.withColumn("band", band)
+    else:
+        banded = decide.table_band(scored, calibration)
+    banded = banded.withColumns({"allow_disabled": F.lit(False), "block_disabled": F.lit(False)})
     return (
         decide.runtime_decision(banded)
         .join(best, "resp_id", "left")
@@ -93,6 +124,15 @@ def score_groundedness(
     )
 
 
+def raw_units(raw_context: DataFrame, chunk_tokens: int) -> DataFrame:
+    """Whole context texts, one row per source of a response, as units numbered per response."""
+    in_order = Window.partitionBy("resp_id").orderBy("source_id", "chunk_ix")
+    chunks = T.chunk_rows(raw_context, ["resp_id", "source_id"], "text", chunk_tokens)
+    return chunks.select(
+        "resp_id", (F.row_number().over(in_order) - 1).cast("bigint").alias("unit_ix"), "source_id", "text"
+    )
+
+
 def open_domain_units(responses: DataFrame, corpus_table: DataFrame, limit: int) -> DataFrame:
     """The best corpus documents of each response as its support units."""
     best = corpus.open_domain_topk(responses, corpus_table, limit)
@@ -104,7 +144,7 @@ def open_domain_units(responses: DataFrame, corpus_table: DataFrame, limit: int)
     )
 
 
-def rag(responses: DataFrame, units: DataFrame, *, context_trust_enabled: bool = False, **options) -> DataFrame:
+def rag(responses: DataFrame, units: DataFrame | None = None, *, context_trust_enabled: bool = False, **options) -> DataFrame:
     """:func:`score_groundedness` for retrieval answers: context trust is off unless asked for."""
     return score_groundedness(
         responses, units, context_trust_enabled=context_trust_enabled, **options

@@ -4,7 +4,9 @@ import pytest
 
 from plumbline import products
 from plumbline.functions import rules as R
+from plumbline.operators import claims as C
 from plumbline.operators import compress as K
+from plumbline.operators import decide as D
 from plumbline.operators import grounding as G
 from plumbline.operators import literals as L
 from plumbline.sources import envelopes as X
@@ -70,3 +72,45 @@ def test_odd_records(spark):
     listed = spark.createDataFrame([(422, '{"detail":["bad"]}'), (422, '{"detail":[]}')], "status int, body string")
     said = {r.message for r in X.classify_errors(listed, "status", "body").collect()}
     assert said == {'validation error: ["bad"]', "validation error: []"}
+
+
+def test_raw_context_chosen_units_and_query(spark):
+    responses = spark.createDataFrame([(1, "The refund takes five days.")], "resp_id long, response_text string")
+    raw = spark.createDataFrame(
+        [(1, "a", "The refund takes five days. " * 3), (1, "b", "Shipping is free.")],
+        "resp_id long, source_id string, text string",
+    )
+    asked = spark.createDataFrame([(1, "refund price")], "resp_id long, query_text string")
+    row = products.score_groundedness(responses, raw_context=raw, chunk_tokens=5, queries=asked).first()
+    assert row.n_units == 4 and row.query_context == 0.5 and row.action == "allow"
+    last = spark.createDataFrame([(1, 3)], "resp_id long, unit_ix long")
+    row = products.score_groundedness(responses, raw_context=raw, chunk_tokens=5, chunk_ids=last).first()
+    assert row.n_units == 1 and row.risk_band == "red"
+    with pytest.raises(ValueError):
+        products.score_groundedness(responses)
+
+
+def test_cut_offs_from_a_table(spark, requests):
+    scored = spark.createDataFrame(
+        [(1, 0.3, 1, "a", "de"), (2, 0.3, 1, "a", "fr"), (3, 0.3, 1, "b", None), (4, 0.3, 0, None, None), (5, None, 1, "a", "de")],
+        "resp_id long, score double, n_units long, class_key string, language string",
+    )
+    rows = [("*", "*", 0.4, 0.5), ("a", "*", 0.2, 0.5), ("a", "de", 0.1, 0.3), ("b", "*", None, 0.1)]
+    cuts = spark.createDataFrame(rows, "class_key string, language string, amber_at double, green_at double")
+    got = {r.resp_id: r.band for r in D.table_band(scored, cuts).collect()}
+    assert got == {1: "green", 2: "amber", 3: "red", 4: "unsupported", 5: "unknown"}
+    assert {r.band for r in D.table_band(scored, cuts.filter("false")).collect()} == {"unknown", "unsupported"}
+    responses, units = requests
+    strict = spark.createDataFrame([("*", 1.1, 1.2)], "class_key string, amber_at double, green_at double")
+    row = products.score_groundedness(responses, units, calibration=strict).filter(f"resp_id = {CLEAN}").first()
+    assert row.risk_band == "red" and row.green_at == 1.2
+
+
+def test_own_scorer_judges_claims(spark, requests):
+    def certain(text, premise):
+        return F.struct(F.lit(0.0).alias("entailment"), F.lit(1.0).alias("contradiction"))
+
+    responses, units = requests
+    rows = {r.resp_id: r for r in C.claim_verification(responses, units, scorer=certain).collect()}
+    assert (rows[CLEAN].label, rows[CLEAN].band, rows[CLEAN].contradiction) == ("contradiction", "red", 1.0)
+    assert rows[BARE].skip_reason == "no_premises" and rows[BARE].entailment is None
