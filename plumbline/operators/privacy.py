@@ -108,10 +108,14 @@ def redact_column(df: DataFrame, text: str, output: str, **options) -> DataFrame
     )
 
 
+def chunks_processed(text: str = "text") -> Column:
+    """Number of text chunks that hold a token."""
+    return F.size(F.filter(T.pieces(F.col(text), T.SEGMENT_END), T.has_token)).cast("bigint")
+
+
 def redaction_usage(df: DataFrame, key: str, text: str = "text", **options) -> DataFrame:
     """Entities, labels and text chunks per document."""
-    chunks = F.size(F.filter(T.pieces(F.col(text), T.SEGMENT_END), T.has_token)).cast("bigint")
-    found = with_entities(df.withColumn("chunks_processed", chunks), text, **options)
+    found = with_entities(df.withColumn("chunks_processed", chunks_processed(text)), text, **options)
     labels = F.transform("entities", lambda e: e["label"])
     return found.select(
         key,

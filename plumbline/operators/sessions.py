@@ -19,6 +19,7 @@ from plumbline.functions.clock import epoch_micros
 from plumbline.functions.text import r6
 from plumbline.operators.decide import band_of, runtime_decision
 from plumbline.sources.interactions import pair_turns
+from plumbline.session import materialise
 
 AMBER_AT = 0.2
 GREEN_AT = 0.35
@@ -263,13 +264,15 @@ def trajectory_features(scores: DataFrame) -> DataFrame:
 def band_trail(scores: DataFrame) -> DataFrame:
     """The bands of a session in order, as runs: a run per change of band.
 
-    Runs keep the whole trail in order without collecting a session into one value.
+    Runs keep the whole trail in order without collecting a session into one value. The
+    starts of runs are read twice, so they are written to the shared folder once.
     """
     key, order = ["conv_id"], F.col("turn")
     before = scan.prefix(
         scores.select("conv_id", "turn", "band"), key, order, {"_last": ("max", F.struct("turn", "band"))}
     ).withColumn("_starts", F.coalesce(F.col("_last.band") != F.col("band"), F.lit(True)).cast("bigint"))
-    numbered = scan.prefix(before.drop("_last"), key, order, {"_runs": ("sum", F.col("_starts"))})
+    starts = materialise(before.drop("_last"), "run-starts")
+    numbered = scan.prefix(starts, key, order, {"_runs": ("sum", F.col("_starts"))})
     return numbered.groupBy(
         "conv_id", (F.col("_runs") + F.col("_starts") - 1).alias("run_ix"), "band"
     ).agg(
@@ -380,9 +383,12 @@ def top_dead_files(usage: DataFrame, limit: int = 3) -> DataFrame:
 
 
 def session_rollup(turns: DataFrame, drift_below: float = -2.0) -> DataFrame:
-    """Turns, noise (amber or unknown), drift (z below -2) and waste (files never used)."""
+    """Turns, noise (amber or unknown), drift (z below -2) and waste (files never used).
+
+    Drift reads its scores twice, so they are written to the shared folder once.
+    """
     scored = (
-        drift(turn_scores(turns))
+        drift(materialise(turn_scores(turns), "scores"))
         .groupBy("conv_id")
         .agg(
             F.count(F.lit(1)).alias("turns"),

@@ -65,13 +65,13 @@ def route_features(responses: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
-def banded(spark, sf_dir) -> DataFrame:
-    """Documents with score, class, language, cut-offs and band."""
+def _scored(spark, sf_dir) -> DataFrame:
+    """Documents with score, class and language."""
     responses, units = shared_requests(spark, sf_dir)
     language = read_table(spark, sf_dir, "documents", "doc_id", "lang")
     features = route_features(responses, units)
     routes = D.corpus_route(features, "n_units").select("resp_id", "class_key", "n_units")
-    scored = (
+    return (
         G.reverse_context(responses, units)
         .join(routes, "resp_id")
         .join(
@@ -86,7 +86,17 @@ def banded(spark, sf_dir) -> DataFrame:
             F.when(F.col("n_units") > 0, F.col("reverse_context")).alias("score"),
         )
     )
-    return D.calibrated_band(scored)
+
+
+def banded(spark, sf_dir) -> DataFrame:
+    """Documents with score, class, language, cut-offs and band."""
+    return D.calibrated_band(_scored(spark, sf_dir))
+
+
+def _fitted_band(spark, sf_dir):
+    """Bands by the cut-offs that labelled scores of the same language give."""
+    scored = _scored(spark, sf_dir).withColumns({"class_key": F.col("language"), "language": F.lit(None).cast("string")})
+    return D.table_band(scored, _fit(spark, sf_dir)).drop("language")
 
 
 def _decision(spark, sf_dir):
@@ -252,6 +262,7 @@ QUERIES = {
     "trusted_context": _trusted,
     "corpus_route": _on(lambda r, u: D.corpus_route(route_features(r, u))),
     "calibrated_band": lambda s, d: banded(s, d),
+    "fitted_band": _fitted_band,
     "runtime_decision": _decision,
     "fit_calibration": _fit,
     "head_features": _head,
@@ -457,6 +468,12 @@ bd AS (
   FROM bd0)""",
 )
 
+_FIT = """SELECT lang AS class_key,
+       round(quantile_cont(reverse_context, 0.5) FILTER (quality <> 1), 6) AS amber_at,
+       round(quantile_cont(reverse_context, 0.5) FILTER (quality = 1), 6) AS green_at,
+       count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad
+FROM rc JOIN labels ON labels.doc_id = resp_id JOIN documents ON documents.doc_id = resp_id GROUP BY lang"""
+
 ORACLES = {
     "claim_verification": S.with_(*_CLAIMS) + "SELECT * FROM cv",
     "atom_verification": S.with_(*_ATOMS) + "SELECT * FROM av",
@@ -515,6 +532,11 @@ FROM (SELECT resp_id, reverse_context, coalesce(pair_count, 0) AS pair_count, co
     + "SELECT resp_id, reverse_context FROM rc",
     "corpus_route": S.with_(S.REQUESTS, _ROUTE) + "SELECT * FROM ro",
     "calibrated_band": S.with_(*_BANDED) + "SELECT * FROM bd",
+    "fitted_band": S.with_(*_BANDED, f"fit AS ({_FIT})")
+    + """SELECT resp_id, sb.language AS class_key, n_units, score, amber_at, green_at,
+       CASE WHEN n_units = 0 THEN 'unsupported' WHEN green_at IS NULL OR score IS NULL THEN 'unknown'
+            WHEN score >= green_at THEN 'green' WHEN score >= amber_at THEN 'amber' ELSE 'red' END AS band
+FROM sb LEFT JOIN (SELECT * FROM fit WHERE amber_at IS NOT NULL AND green_at IS NOT NULL) f ON f.class_key = sb.language""",
     "runtime_decision": S.with_(*_BANDED)
     + """SELECT resp_id, class_key, score, 'reverse_context' AS score_channel, band,
        CASE WHEN (raw = 'allow' AND language = 'es') OR (raw = 'block' AND language = 'de')
@@ -532,11 +554,7 @@ FROM (SELECT *, list_sort(list_filter([
       FROM (SELECT *, CASE WHEN band = 'red' THEN 'block' WHEN score >= green_at AND band <> 'unsupported' THEN 'allow'
                            WHEN score <= amber_at THEN 'block' ELSE 'review' END AS raw FROM bd))""",
     "fit_calibration": S.with_(S.REQUESTS, S.UNIT_TERMS, *_PRIMARY)
-    + """SELECT lang AS class_key,
-       round(quantile_cont(reverse_context, 0.5) FILTER (quality <> 1), 6) AS amber_at,
-       round(quantile_cont(reverse_context, 0.5) FILTER (quality = 1), 6) AS green_at,
-       count(*) FILTER (quality = 1) AS n_good, count(*) FILTER (quality <> 1) AS n_bad
-FROM rc JOIN labels ON labels.doc_id = resp_id JOIN documents ON documents.doc_id = resp_id GROUP BY lang""",
+    + _FIT,
     "head_features": S.with_(*_LANES)
     + """SELECT resp_id,
        concat_ws(',', CASE WHEN groundedness_v1 IS NOT NULL THEN printf('groundedness_v1=%.6f', groundedness_v1) END,

@@ -46,19 +46,14 @@ def _detect_only(spark, sf_dir):
 
 
 def _documents(spark, sf_dir):
-    docs = _docs(spark, sf_dir)
-    usage = E.redaction_usage(docs, "doc_id").select("doc_id", "chunks_processed")
-    return (
-        E.redact(docs)
-        .join(usage, "doc_id")
-        .select(
-            "doc_id",
-            "redacted_text",
-            "entity_count",
-            "chunks_processed",
-            F.array_join("unique_labels", ",").alias("unique_labels"),
-            F.to_json("entities").alias("entities"),
-        )
+    docs = _docs(spark, sf_dir).withColumn("chunks_processed", E.chunks_processed())
+    return E.redact(docs).select(
+        "doc_id",
+        "redacted_text",
+        "entity_count",
+        "chunks_processed",
+        F.array_join("unique_labels", ",").alias("unique_labels"),
+        F.to_json("entities").alias("entities"),
     )
 
 

@@ -10,6 +10,7 @@ from plumbline.operators import corpus as Q
 from plumbline.operators import grounding as G
 from plumbline.operators import sessions as N
 from plumbline.plans import sqlparts as S
+from plumbline.session import materialise
 from plumbline.sources import interactions as I
 from plumbline.sources.tables import read_table
 
@@ -26,6 +27,11 @@ def _scores(spark, sf_dir) -> DataFrame:
     return N.turn_scores(_turns(spark, sf_dir))
 
 
+def _on_saved_scores(operator):
+    """For operators that read the scores in several branches."""
+    return lambda spark, sf_dir: operator(materialise(_scores(spark, sf_dir), "scores"))
+
+
 def _on_turns(operator):
     return lambda spark, sf_dir: operator(_turns(spark, sf_dir))
 
@@ -168,13 +174,13 @@ QUERIES = {
     "echo_mean": _lane("echo_mean"),
     "triangular": _triangular,
     "shared_tokens": _on_turns(N.shared_tokens),
-    "trajectory_features": _on_scores(N.trajectory_features),
-    "turn_drift": lambda s, d: N.drift(_scores(s, d)).select("conv_id", "turn", "z"),
-    "drift_trend": _on_scores(N.drift_trend),
+    "trajectory_features": _on_saved_scores(N.trajectory_features),
+    "turn_drift": _on_saved_scores(lambda scores: N.drift(scores).select("conv_id", "turn", "z")),
+    "drift_trend": _on_saved_scores(N.drift_trend),
     "event_drift_trend": _event_drift,
     "ema_owner_share": _ema,
     "top_dead_files": lambda s, d: N.top_dead_files(N.file_usage(_turns(s, d))),
-    "band_trail": _on_scores(N.band_trail),
+    "band_trail": _on_saved_scores(N.band_trail),
     "band_rollup": _on_scores(N.band_rollup),
     "session_rollup": _on_turns(N.session_rollup),
     "recommendations": _recommend,
