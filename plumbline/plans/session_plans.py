@@ -10,8 +10,9 @@ from plumbline.operators import corpus as Q
 from plumbline.operators import grounding as G
 from plumbline.operators import sessions as N
 from plumbline.plans import sqlparts as S
-from plumbline.session import materialise
+from plumbline.session import materialise, scratch_path
 from plumbline.sources import interactions as I
+from plumbline.sources.sinks import SnapshotStore
 from plumbline.sources.tables import read_table
 
 
@@ -91,6 +92,19 @@ def _snapshot(spark, sf_dir):
     return pages.withColumn("events", F.array_join("events", ","))
 
 
+def _snapshot_store(spark, sf_dir):
+    """Saved, partly replaced, partly deleted, merged, and partly saved once more."""
+    users = _events(spark, sf_dir).groupBy("user_id").agg(F.count(F.lit(1)).alias("n_events"))
+    users = materialise(users, "users")
+    store = SnapshotStore(spark, scratch_path(spark, "store"), users.schema, "user_id", buckets=8)
+    store.save(users)
+    store.save(users.filter("user_id % 3 = 0").withColumn("n_events", F.col("n_events") * 2))
+    store.delete(users.filter("user_id % 5 = 0"))
+    store.compact()
+    store.save(users.filter("user_id % 7 = 0").withColumn("n_events", F.col("n_events") * 3))
+    return store.all()
+
+
 def _annotated(spark, sf_dir):
     turns = _turns(spark, sf_dir)
     pairs = I.pair_turns(turns).select(
@@ -187,6 +201,7 @@ QUERIES = {
     "reason_histogram": _histogram,
     "dedup_events": _dedup,
     "session_snapshot": _snapshot,
+    "snapshot_store": _snapshot_store,
     "maxsim": _maxsim,
     "open_domain_topk": _open_domain,
     "semantic_entropy": _entropy,
@@ -360,6 +375,8 @@ FROM (SELECT *, count(*) OVER (PARTITION BY conv_id) AS total FROM sc) GROUP BY
     "dedup_events": f"""SELECT user_id, event_id, value, idempotency_key
 FROM (SELECT *, row_number() OVER (PARTITION BY user_id, idempotency_key ORDER BY event_id) AS rk
       FROM (SELECT *, {DEDUP_KEY} AS idempotency_key FROM events)) WHERE rk = 1 OR idempotency_key IS NULL""",
+    "snapshot_store": """SELECT user_id, CAST(CASE WHEN user_id % 7 = 0 THEN 3 WHEN user_id % 3 = 0 THEN 2 ELSE 1 END * count(*) AS BIGINT) AS n_events
+FROM events WHERE user_id IS NOT NULL AND (user_id % 5 <> 0 OR user_id % 7 = 0) GROUP BY user_id""",
     "session_snapshot": """SELECT user_id, page_ix, count(*) AS n_events, string_agg(event_id || ':' || event_type, ',' ORDER BY event_id) AS events
 FROM (SELECT *, (row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) // 50 AS page_ix FROM events) GROUP BY ALL""",
     "maxsim": f"""WITH s AS (SELECT vec_id // 8 AS g, vec_id, embedding AS e FROM embeddings),

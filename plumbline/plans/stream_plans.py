@@ -62,8 +62,8 @@ def _outcomes(spark, sf_dir) -> DataFrame:
 
 
 def _rollup(spark, sf_dir):
-    out = streams.session_rollup(_outcomes(spark, sf_dir), "user_id", "event_id", "score")
-    return streams.run_updates(out, "stream-rollup", "user_id")
+    parts = streams.rollup_parts(_outcomes(spark, sf_dir), "user_id", "event_id", "score", "at")
+    return streams.session_rollup(streams.run_updates(parts, "stream-rollup", ["user_id", "_period"]), "user_id")
 
 
 def _drift(spark, sf_dir):

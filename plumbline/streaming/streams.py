@@ -45,9 +45,9 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/data")
 
 
-def run_updates(stream: DataFrame, name: str, key: str) -> DataFrame:
+def run_updates(stream: DataFrame, name: str, keys: list[str]) -> DataFrame:
     """Run an update-mode stream; each batch overwrites its own folder, so a repeated
-    batch changes nothing. Returns the newest row per key."""
+    batch changes nothing. Returns the newest row per value of ``keys``."""
     spark = stream.sparkSession
     path = scratch_path(spark, name)
 
@@ -63,11 +63,11 @@ def run_updates(stream: DataFrame, name: str, key: str) -> DataFrame:
     )
     query.awaitTermination()
     rows = spark.read.option("basePath", f"{path}/data").parquet(f"{path}/data")
-    values = [c for c in stream.columns if c != key]
+    values = [c for c in stream.columns if c not in keys]
     return (
-        rows.groupBy(key)
+        rows.groupBy(*keys)
         .agg(F.max_by(F.struct(*values), "batch_id").alias("_newest"))
-        .select(key, "_newest.*")
+        .select(*keys, "_newest.*")
     )
 
 
@@ -123,24 +123,48 @@ def session_counts(events: DataFrame, ts: str, key: str, late: str, gap: str) ->
     )
 
 
-def session_rollup(outcomes: DataFrame, key: str, order: str, score: str) -> DataFrame:
-    """Running rollup per session: turns, noise, mean, last score and its ``z``.
-
-    All state is counts, sums of whole millionths and the last score: it merges, so
-    a busy session is combined before the shuffle, and replaying the input in any
-    batches gives the same rows.
+def rollup_parts(
+    outcomes: DataFrame, key: str, order: str, score: str, at: str, late: str = "1 day", period: str = "1 day"
+) -> DataFrame:
+    """Counts and sums of each session and period of ``at``, for :func:`session_rollup`.
+
+    On a stream the state is one row per session active in an open period: the watermark
+    (``late``) drops a period's state once no row of it can come, so state does not grow
+    with all sessions ever seen, while a session may pause as long as it likes. Rows that
+    come later than ``late`` are not counted, as for any windowed aggregate. All values
+    are counts, sums of whole millionths and the last score: they merge, so a busy
+    session is combined before the shuffle.
     """
     band = band_of(F.col(score), 0.2, 0.35)
     micros = F.coalesce(F.round(F.col(score) * 1_000_000).cast("bigint"), F.lit(0))
     exact = micros.cast("decimal(18,0)")
-    summed = outcomes.groupBy(key).agg(
-        F.count(F.lit(1)).alias("turns"),
-        F.count_if(band.isin("amber", "unknown")).alias("_noise"),
-        F.sum(exact).alias("_s"),
-        F.sum((exact * exact).cast("decimal(28,0)")).alias("_q"),
-        F.max_by(micros, order).alias("_last"),
+    return (
+        outcomes.withWatermark(at, late)
+        .groupBy(key, F.window(at, period).alias("_w"))
+        .agg(
+            F.count(F.lit(1)).alias("_turns"),
+            F.count_if(band.isin("amber", "unknown")).alias("_noise"),
+            F.sum(exact).alias("_s"),
+            F.sum((exact * exact).cast("decimal(28,0)")).alias("_q"),
+            F.max(F.struct(F.col(order).alias("o"), micros.alias("m"))).alias("_last"),
+        )
+        .select(key, F.unix_seconds("_w.start").alias("_period"), "_turns", "_noise", "_s", "_q", "_last")
+    )
+
+
+def session_rollup(parts: DataFrame, key: str) -> DataFrame:
+    """Rollup per session from its parts: turns, noise, mean, last score and its ``z``.
+
+    Replaying the input in any batches gives the same rows.
+    """
+    summed = parts.groupBy(key).agg(
+        F.sum("_turns").alias("turns"),
+        F.sum("_noise").alias("_noise"),
+        F.sum("_s").cast("decimal(28,0)").alias("_s"),
+        F.sum("_q").cast("decimal(38,0)").alias("_q"),
+        F.max("_last").alias("_last"),
     )
-    last = F.col("_last").cast("decimal(18,0)")
+    last = F.col("_last.m").cast("decimal(18,0)")
     n = F.col("turns") - 1
     s = (F.col("_s") - last).cast("decimal(19,0)")
     q = (F.col("_q") - last * last).cast("decimal(38,0)")
@@ -151,12 +175,11 @@ def session_rollup(outcomes: DataFrame, key: str, order: str, score: str) -> Dat
         "turns",
         r6(F.col("_noise") / F.col("turns")).alias("noise_pct"),
         (F.floor(F.col("_s").cast("double") / F.col("turns") + 0.5) / 1_000_000).alias("mean_score"),
-        (F.col("_last") / 1_000_000).alias("last_score"),
+        (F.col("_last.m") / 1_000_000).alias("last_score"),
         r6(
             F.when(
                 (n >= 2) & (spread > 0),
-                (F.col("_last").cast("double") - s.cast("double") / many)
-                / F.sqrt(spread / (many * (many - 1))),
+                (last.cast("double") - s.cast("double") / many) / F.sqrt(spread / (many * (many - 1))),
             ).otherwise(0.0)
         ).alias("z_last"),
     )

@@ -22,11 +22,16 @@ def test_rollup_in_batches_equals_one_pass(spark, tmp_path):
     stream, events = split_events(spark, tmp_path / "e")
 
     def shaped(df):
-        return df.select("user_id", "event_id", F.round(F.col("value") / 1000, 6).alias("score"))
+        return df.select(
+            "user_id", "event_id", F.round(F.col("value") / 1000, 6).alias("score"), instant("ts").alias("at")
+        )
+
+    def parts(df):
+        return streams.rollup_parts(shaped(df), "user_id", "event_id", "score", "at", late="400 days")
 
-    running = streams.session_rollup(shaped(stream), "user_id", "event_id", "score")
-    got = streams.run_updates(running, "t", "user_id")
-    want = streams.session_rollup(shaped(events), "user_id", "event_id", "score")
+    running = streams.run_updates(parts(stream), "t", ["user_id", "_period"])
+    got = streams.session_rollup(running, "user_id")
+    want = streams.session_rollup(parts(events), "user_id")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     trend = N.drift_trend(shaped(events), "user_id", "event_id", "score")
     drifted = {r["user_id"]: r["z_last"] for r in trend.collect()}
@@ -50,12 +55,31 @@ def test_drift_in_batches_equals_batch(spark, tmp_path):
 def test_snapshot_store(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "sid int, v string")
     store = SnapshotStore(spark, str(tmp_path / "s"), rows.schema, "sid", buckets=4)
-    store.create(rows)
-    store.save(spark.createDataFrame([(3, "new"), (77, "more")], "sid int, v string"), str(tmp_path / "stage"))
+
+    def some(*values):
+        return spark.createDataFrame(list(values), "sid int, v string")
+
+    assert store.all().count() == 0 and store.load(3).count() == 0
+    store.save(rows)
+    store.save(some((3, "new"), (77, "more"), (None, "nobody")))
     assert store.load(3).collect() == [(3, "new")]
     assert store.load(5).collect() == [(5, "v5")]
     assert store.all().count() == 21
-    store.delete(spark.createDataFrame([(3,), (5,)], "sid int"), str(tmp_path / "stage2"))
+    store.delete(spark.createDataFrame([(3,), (5,), (None,)], "sid int"))
     assert store.load(3).count() == 0 and store.all().count() == 19
-    store.save(spark.createDataFrame([(3, "back")], "sid int, v string"), str(tmp_path / "stage3"))
+    before = sorted(map(tuple, store.all().collect()))
+    store.compact()
+    assert sorted(map(tuple, store.all().collect())) == before and len(store._commits()) == 1
+    store.save(some((3, "back")))
     assert store.load(3).collect() == [(3, "back")] and store.all().count() == 20
+
+
+def test_two_savers_keep_both(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a")], "sid int, v string")
+    one, two = (SnapshotStore(spark, str(tmp_path / "s"), rows.schema, "sid", buckets=2) for _ in range(2))
+    one.save(rows)
+    seen = two._commits()
+    two._commits = lambda: seen  # the second saver starts before the first has committed
+    one.save(spark.createDataFrame([(2, "b")], "sid int, v string"))
+    two.save(spark.createDataFrame([(3, "c")], "sid int, v string"))
+    assert sorted(map(tuple, one.all().collect())) == [(1, "a"), (2, "b"), (3, "c")]
