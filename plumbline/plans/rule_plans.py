@@ -15,6 +15,7 @@ from plumbline.operators import grounding as G
 from plumbline.plans import sqlparts as S
 from plumbline.plans.grounding_plans import requests
 from plumbline.sources import envelopes as X
+from plumbline.sources import responses as L
 from plumbline.sources import tables
 from plumbline.sources.interactions import split_documents
 from plumbline.sources.tables import read_table
@@ -79,6 +80,21 @@ ERRORS = """CASE event_id % 9
   ELSE '[]' END"""
 
 
+# Logged responses in the nested, the flat and the wrapped form, one per event.
+SCORED = """CASE event_id % 8
+  WHEN 0 THEN '{"risk_band":"red","scores":{"primary_score":0.' || CAST(event_id % 10 AS STRING) || ',"support_units_used":4,"risk_band":"green"},"extra":' || CAST(event_id AS STRING) || ',
+    "runtime_decision":{"action":"block","band":"red","reason_codes":["a","b:' || event_type || '"],"rollback_safe":true,
+    "evidence":[{"index":0,"support_id":"s0","coverage_score":0.3},{"index":1,"support_id":"s' || CAST(event_id AS STRING) || '"}],
+    "unsupported_spans":[{"token_index":12,"token":"' || event_type || '","heatmap_score":0.1}]}}'
+  WHEN 1 THEN '{"id":"j' || CAST(event_id AS STRING) || '","status":"COMPLETED","output":{"band":"amber","groundedness_v2":0.62}}'
+  WHEN 2 THEN '{"scores":{"risk_band":"LOW","primary_score":"no number"},"band":"red","request_id":"inner"}'
+  WHEN 3 THEN '{"scores":{"risk_band":"purple"},"runtime_decision":{"band":"High","action":"warn"},"nli_diagnostics":{"aggregate":0.5}}'
+  WHEN 4 THEN '{"risk_band":"purple","groundedness_v2":1}'
+  WHEN 5 THEN '{"response_tokens":[{"token":"x","char_start":0,"char_end":1,"g_t":0.25}],"nli_diagnostics":{"aggregate_score":0.75}}'
+  WHEN 6 THEN '{"status":"FAILED","error":"boom"}'
+  ELSE 'not json' END"""
+
+
 def _sql_columns(columns: dict[str, str]) -> str:
     return ", ".join(f"{e} AS {n}" for n, e in columns.items())
 
@@ -379,6 +395,31 @@ def _classified(spark, sf_dir):
     ).drop("body", "status")
 
 
+def _typed(spark, sf_dir):
+    return L.typed_responses(_events(spark, sf_dir, body=SCORED), "body")
+
+
+def _typed_responses(spark, sf_dir):
+    scores, decision = F.col("scores"), F.col("runtime_decision")
+    return _typed(spark, sf_dir).select(
+        "event_id", "request_id", "ok", "error", "risk_band", L.is_backfilled().alias("backfilled"),
+        scores["primary_score"].alias("primary_score"), scores["support_units_used"].alias("support_units_used"),
+        "groundedness_v2", decision["action"].alias("action"), decision["rollback_safe"].alias("rollback_safe"),
+        F.array_join(decision["reason_codes"], ",").alias("reason_codes"),
+        F.col("nli_diagnostics.aggregate_score").alias("nli_aggregate_score"),
+        F.col("response_tokens")[0]["g_t"].alias("first_g_t"),
+        F.try_variant_get("raw", "$.extra", "bigint").alias("extra"),
+    )
+
+
+def _cited(spark, sf_dir):
+    return L.cited_evidence(_typed(spark, sf_dir), "event_id").select("event_id", "index", "support_id", "coverage_score")
+
+
+def _unsupported(spark, sf_dir):
+    return L.unsupported_tokens(_typed(spark, sf_dir), "event_id").select("event_id", "token_index", "token", "heatmap_score")
+
+
 def _json_rows(spark, sf_dir):
     events = read_table(spark, sf_dir, "events", "event_id", "event_type", "user_id", "value")
     return events.select(
@@ -422,6 +463,9 @@ QUERIES = {
     "normalize_rollup": _rollups,
     "classify_errors": _classified,
     "error_counts": lambda s, d: X.error_counts(_classified(s, d)),
+    "typed_responses": _typed_responses,
+    "cited_evidence": _cited,
+    "unsupported_tokens": _unsupported,
     "to_json_rows": _json_rows,
     "coerce_context": _coerce,
     "validate_requests": _validate,
@@ -518,6 +562,27 @@ SELECT event_id, coalesce(header, CASE WHEN json_type(b, '$.id') = 'VARCHAR' THE
        error IS NULL AS ok, error, CASE WHEN error IS NULL THEN pay->>'$.band' END AS band,
        CASE WHEN error IS NULL THEN CAST(pay->>'$.score' AS DOUBLE) END AS score
 FROM p""",
+    "typed_responses": """WITH e AS (SELECT event_id, event_type, event_id % 8 AS k FROM events)
+SELECT event_id, CASE k WHEN 1 THEN 'j' || event_id WHEN 2 THEN 'inner' END AS request_id,
+       k NOT IN (4, 6, 7) AS ok,
+       CASE k WHEN 4 THEN 'schema_error' WHEN 6 THEN 'job failed: boom' WHEN 7 THEN 'response is not JSON' END AS error,
+       CASE k WHEN 0 THEN 'red' WHEN 1 THEN 'amber' WHEN 2 THEN 'green' WHEN 3 THEN 'red' END AS risk_band,
+       k IN (1, 2, 3) AS backfilled,
+       CASE WHEN k = 0 THEN (event_id % 10)::DOUBLE / 10 END AS primary_score,
+       CASE WHEN k = 0 THEN 4::BIGINT END AS support_units_used,
+       CASE k WHEN 1 THEN 0.62::DOUBLE WHEN 4 THEN 1::DOUBLE END AS groundedness_v2,
+       CASE k WHEN 0 THEN 'block' WHEN 3 THEN 'warn' END AS action,
+       CASE WHEN k = 0 THEN true END AS rollback_safe,
+       CASE WHEN k = 0 THEN 'a,b:' || event_type END AS reason_codes,
+       CASE k WHEN 3 THEN 0.5::DOUBLE WHEN 5 THEN 0.75::DOUBLE END AS nli_aggregate_score,
+       CASE WHEN k = 5 THEN 0.25::DOUBLE END AS first_g_t,
+       CASE WHEN k = 0 THEN event_id END AS extra
+FROM e""",
+    "cited_evidence": """SELECT event_id, i AS "index", CASE i WHEN 0 THEN 's0' ELSE 's' || event_id END AS support_id,
+       CASE WHEN i = 0 THEN 0.3::DOUBLE END AS coverage_score
+FROM events, (VALUES (0::BIGINT), (1::BIGINT)) v(i) WHERE event_id % 8 = 0""",
+    "unsupported_tokens": """SELECT event_id, 12::BIGINT AS token_index, event_type AS token, 0.1::DOUBLE AS heatmap_score
+FROM events WHERE event_id % 8 = 0""",
     "normalize_rollup": """SELECT event_id,
        CASE WHEN event_id % 5 IN (0, 1) THEN event_id END AS turns,
        CASE WHEN event_id % 5 = 0 THEN 0.25::DOUBLE END AS noise_pct,
