@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import rules as R
+from plumbline.functions import text as T
 from plumbline.sources.envelopes import normalize_envelopes
 
 # Field names and types of a response record.
@@ -84,14 +85,18 @@ def typed_responses(logs: DataFrame, body: str, header_id: str | None = None) ->
     not ok with error ``schema_error``.
     """
     kept = [c for c in logs.columns if c not in (body, header_id)]
-    opened = normalize_envelopes(logs, body, header_id)
+    record = ", ".join(f"{name}: {' '.join(kind.split())}" for name, kind in FIELDS.items())
     payload = F.col("payload")
+    # one cast of the whole record, so that the payload is walked once
+    opened = normalize_envelopes(logs, body, header_id).withColumn(
+        "_record", F.try_variant_get(payload, "$", f"struct<{record}>")
+    )
     cast = opened.select(
         *kept,
         F.coalesce("request_id", F.try_variant_get(payload, "$.request_id", "string")).alias("request_id"),
         "ok",
         "error",
-        *[F.try_variant_get(payload, f"$.{name}", _flat(kind)).alias(name) for name, kind in FIELDS.items()],
+        *[F.col(f"_record.{name}").alias(name) for name in FIELDS],
         payload.alias("raw"),
     )
     nli = F.col("nli_diagnostics")
@@ -112,20 +117,16 @@ def typed_responses(logs: DataFrame, body: str, header_id: str | None = None) ->
     )
 
 
-def _flat(kind: str) -> str:
-    return " ".join(kind.split())
-
-
 def unsupported_tokens(responses: DataFrame, key: str) -> DataFrame:
     """``key, token_index, token, heatmap_score, char_start, char_end``: the spans a decision flagged."""
-    return responses.select(key, F.explode("runtime_decision.unsupported_spans").alias("_span")).select(
+    return T.exploded(responses, [key], F.col("runtime_decision.unsupported_spans"), "_span").select(
         key, *[F.col(f"_span.{c}").alias(c) for c in ("token_index", "token", "heatmap_score", "char_start", "char_end")]
     )
 
 
 def cited_evidence(responses: DataFrame, key: str) -> DataFrame:
     """``key`` and the columns of each evidence unit a decision cites."""
-    return responses.select(key, F.explode("runtime_decision.evidence").alias("_unit")).select(key, "_unit.*")
+    return T.exploded(responses, [key], F.col("runtime_decision.evidence"), "_unit").select(key, "_unit.*")
 
 
 def is_backfilled() -> Column:
