@@ -59,9 +59,9 @@ def test_open_domain_equals_brute_force(spark):
     asked = [(r, " ".join(rng.choices(words + ["unseen"], k=6))) for r in range(25)] + [(98, "w0 w1"), (99, "unseen")]
     corpus = spark.createDataFrame(docs, "doc_id bigint, text string")
     responses = spark.createDataFrame(asked, "resp_id bigint, response_text string")
-    plain = Q.open_domain_topk(responses, corpus, 3, common_share=1.0)
-    for share in (0.0, 0.1, 0.4):
-        assert rows_of(Q.open_domain_topk(responses, corpus, 3, share)) == rows_of(plain)
+    plain = rows_of(Q.open_domain_topk(responses, corpus, 3, shares=()))
+    for shares in ((0.0,), (0.1,), (0.05, 0.4), (0.02, 0.1, 1.0)):
+        assert rows_of(Q.open_domain_topk(responses, corpus, 3, shares)) == plain
 
 
 def test_gap_sessions_equal_plain_sessions(spark):
