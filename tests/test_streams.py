@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clock import instant
 from plumbline.operators import sessions as N
+from plumbline.sources import tables
 from plumbline.sources.sinks import SnapshotStore
 from plumbline.streaming import stateful, streams
 
@@ -83,3 +84,27 @@ def test_two_savers_keep_both(spark, tmp_path):
     one.save(spark.createDataFrame([(2, "b")], "sid int, v string"))
     two.save(spark.createDataFrame([(3, "c")], "sid int, v string"))
     assert sorted(map(tuple, one.all().collect())) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_on_band_acts_on_the_given_bands(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "red"), (2, "green"), (3, "amber"), (4, None)], "id int, band string")
+    rows.coalesce(1).write.parquet(str(tmp_path / "b"))
+    stream = streams.table_stream(spark, str(tmp_path / "b"), "*.parquet", rows.schema)
+
+    def keep(batch, batch_id):
+        batch.write.mode("overwrite").parquet(str(tmp_path / f"out/batch={batch_id}"))
+
+    streams.on_band(stream, ("red", "amber"), keep, str(tmp_path / "c")).awaitTermination()
+    got = spark.read.schema("id int, band string").parquet(str(tmp_path / "out/*"))
+    assert sorted(r["id"] for r in got.collect()) == [1, 3]
+
+
+def test_read_interactions_is_typed(spark, tmp_path):
+    (tmp_path / "log.json").write_text(
+        '{"response_text":"a","support_units":[{"text":"t","speaker":"s"}],"evidence_limit":3}\n{"response_text":null}\n'
+    )
+    rows = tables.read_interactions(spark, str(tmp_path / "log.json"))
+    assert rows.schema == tables.INTERACTION
+    got = {r["response_text"]: r for r in rows.collect()}
+    assert got["a"]["support_units"][0]["speaker"] == "s" and got["a"]["evidence_limit"] == 3
+    assert got[None]["support_units"] is None
