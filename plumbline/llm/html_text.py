@@ -3,9 +3,9 @@
 A page becomes a tree of elements. Every paragraph-like block gives points for its
 length and commas to its parent and, less, to its further ancestors; a container's
 points are discounted by the share of its text that is in links. The best container is
-kept, with siblings that score well or read like paragraphs; blocks in page furniture
-(navigation, asides, forms, adverts, comments and the like) give no points and are
-left out.
+kept, with whatever beside it, or beside what holds it, scores well or reads like
+paragraphs, however short; blocks in page furniture (navigation, asides, forms, adverts,
+comments and the like) give no points and are left out.
 
 One page is one row and never leaves its task; the walk is linear in the page.
 """
@@ -61,15 +61,17 @@ TOKEN = re.compile(
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+SENTENCE_END = re.compile(r"""[.!?…。！？｡؟۔।።][\s"'”’»)\]」』]*$""")
+PARAGRAPH_CHARS = 80  # a block of so many reads as a paragraph without a sentence end, too
 
 
 class Node:
-    __slots__ = ("tag", "parent", "furniture", "points", "chars", "link_chars", "order", "children")
+    __slots__ = ("tag", "parent", "furniture", "points", "chars", "link_chars", "paragraphs", "order", "children")
 
     def __init__(self, tag: str, parent: Node | None, furniture: bool, order: int) -> None:
         self.tag, self.parent, self.furniture, self.order = tag, parent, furniture, order
         self.points = 0.0
-        self.chars = self.link_chars = 0
+        self.chars = self.link_chars = self.paragraphs = 0
         self.children: list[Node] = []
 
 
@@ -79,6 +81,12 @@ class Block:
     def __init__(self, node: Node, text: str, links: int) -> None:
         self.node, self.text, self.links = node, text, links
 
+    def is_paragraph(self) -> bool:
+        """Whether it reads as one: no heading, mostly outside links, and a sentence or long."""
+        if self.node.tag in HEADINGS or self.links > len(self.text) / 2:
+            return False
+        return len(self.text) >= PARAGRAPH_CHARS or bool(SENTENCE_END.search(self.text))
+
 
 def is_furniture(tag: str, attributes: str) -> bool:
     """Whether a tag, or what its class, id or role say, is page furniture."""
@@ -215,6 +223,7 @@ def main_blocks(page: str | None) -> list[str]:
         depth = 0
         block.node.chars += n
         block.node.link_chars += block.links
+        block.node.paragraphs += block.is_paragraph()
         above = block.node
         while above is not None and above.order not in touched:
             touched[above.order] = above
@@ -229,6 +238,7 @@ def main_blocks(page: str | None) -> list[str]:
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.link_chars += node.link_chars
+            node.parent.paragraphs += node.paragraphs
 
     def worth(node: Node) -> float:
         bonus = 1.25 if node.tag in ("article", "main") else 1.0
@@ -242,22 +252,32 @@ def main_blocks(page: str | None) -> list[str]:
             best = up
             break
         up = up.parent
-    chosen = {best.order}
-    if best.parent is not None and best.tag not in ("body", "html"):
-        for sibling in best.parent.children:
-            if sibling.order == best.order or sibling.furniture or sibling.order not in touched:
+    # where the article is not marked, its parts may be anywhere around the best container;
+    # beside an <article>, look as far as the <main> around it, or its next siblings alone
+    outer = best.parent
+    while outer is not None and outer.tag != "main":
+        outer = outer.parent
+    chosen, around, inner = {best.order}, set(), best
+    while inner.parent is not None and inner.tag not in ("body", "html", "main"):
+        around.add(inner.parent.order)
+        for sibling in inner.parent.children:
+            if sibling.order == inner.order or sibling.furniture or sibling.order not in touched:
                 continue
-            clean = 1 - sibling.link_chars / sibling.chars
-            if worth(sibling) >= max(3.0, 0.2 * worth(best)) or (
-                sibling.tag in ("p", "blockquote", "pre", *HEADINGS) and clean >= 0.5
+            clean = 1 - sibling.link_chars / sibling.chars >= 0.5
+            if (
+                clean and (sibling.paragraphs or sibling.tag in ("p", "blockquote", "pre", *HEADINGS))
+                or inner is best and worth(sibling) >= max(3.0, 0.2 * worth(best))
             ):
                 chosen.add(sibling.order)
+        inner = inner.parent
+        if best.tag == "article" and outer is None:
+            break
 
     kept: dict[int, bool] = {}
     for order in sorted(touched):
         parent = touched[order].parent
         kept[order] = order in chosen or parent is not None and kept[parent.order]
-    return [block.text for block in blocks if kept[block.node.order]]
+    return [b.text for b in blocks if kept[b.node.order] or b.node.order in around and b.is_paragraph()]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

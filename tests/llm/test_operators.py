@@ -190,6 +190,21 @@ def test_html_main_text():
     assert html_text.main_blocks("<div><p>x, y" * 3000)[0] == "x, y"
 
 
+def test_html_uneven_sections():
+    paragraphs = [f"Paragraph {i}, of the first part, is as long as an ordinary paragraph of an article, and more." for i in range(20)]
+    first = "<div>" + "".join(f"<p>{p}</p>" for p in paragraphs) + "</div>"
+    links = "<div><a href=a>One story.</a> <a href=b>Other story.</a></div>"
+    for page in (
+        f"<div>{first}<div><p>The last part.</p></div>{links}</div>",
+        f"<body><div>{first}<section><p>The last part.</p></section>{links}</div></body>",
+        f"<body><div><div>{first}</div></div><div><div><p>The last part.</p></div></div>{links}</body>",
+        f"<div>{first}The last part.</div>{links}",
+        f"<body><main><article>{first}</article><div><p>The last part.</p></div>{links}</main><div><p>Beyond main.</p></div></body>",
+        f"<div>{first}<div><p>The last part.</p></div><div class=sidebar><p>A side note.</p></div></div><div id=footer><p>All rights.</p></div>",
+    ):
+        assert html_text.main_blocks(page) == [*paragraphs, "The last part."]
+
+
 def test_html_query(spark):
     got = {r.page_id: r.text for r in queries.op4_html_extraction(spark, SF).collect()}
     for r in table(spark, SF, "pages").collect():
