@@ -52,14 +52,15 @@ NAMES = frozenset(
     "notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe subscription signup login paywall "
     "comment comments commentlist disqus reply replies respond discussion feedback "
     "share sharing social related recommended recommendations trending popular more-like pagination pager skip search form "
-    "complementary contentinfo search dialog alertdialog hidden".split()
+    "complementary contentinfo search dialog alertdialog".split()
 )
 CONTENT_NAMES = frozenset("article content main body entry post story text page".split())
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S
 )
-NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none(?![\w-])", re.I)
+HIDDEN_CLASSES = frozenset("hidden is-hidden visually-hidden".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SENTENCE_END = re.compile(r"""[.!?…。！？｡؟۔।።][\s"'”’»)\]」』]*$""")
 PARAGRAPH_CHARS = 80  # a block of so many reads as a paragraph without a sentence end, too
@@ -88,17 +89,37 @@ class Block:
         return len(self.text) >= PARAGRAPH_CHARS or bool(SENTENCE_END.search(self.text))
 
 
-def is_furniture(tag: str, attributes: str) -> bool:
+def attributes_of(raw: str) -> dict[str, str]:
+    """The attributes of a tag; of repeated names the first counts, as in HTML."""
+    found: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(raw):
+        value = "".join(values)
+        found.setdefault(name.lower(), html.unescape(value) if "&" in value else value)
+    return found
+
+
+def is_hidden(attributes: dict[str, str]) -> bool:
+    """Whether an element is not shown: by an attribute of its own or by style."""
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    return bool(NO_DISPLAY.search(attributes.get("style", "")))
+
+
+def is_furniture(tag: str, raw: str) -> bool:
     """Whether a tag, or what its class, id or role say, is page furniture."""
     if tag in FURNITURE:
         return True
-    if not attributes:
+    if not raw:
         return False
-    if HIDDEN.search(attributes):
+    attributes = attributes_of(raw)
+    if is_hidden(attributes):
         return True
     if tag in ("article", "main", "body", "html"):
         return False
-    words = {w.lower() for m in NAMED.finditer(attributes) for w in PART.findall(m[1] or m[2] or m[3] or "")}
+    classes = attributes.get("class", "").split()
+    if not HIDDEN_CLASSES.isdisjoint(classes) and not any(":" in c for c in classes):  # md:block shows it again
+        return True
+    words = {w.lower() for name in ("class", "id", "role") for w in PART.findall(attributes.get(name, ""))}
     return bool(words & NAMES) and not (words & CONTENT_NAMES and not words & {"ad", "ads", "sidebar", "comment", "comments", "footer", "header", "nav"})
 
 

@@ -205,6 +205,21 @@ def test_html_uneven_sections():
         assert html_text.main_blocks(page) == [*paragraphs, "The last part."]
 
 
+def test_html_hidden_is_an_attribute():
+    shown = (
+        'title="a hidden door"', 'class="text-lg hidden md:block"', 'data-x="is hidden now"', "data-hidden=1", 'alt="display: none"',
+        'title="x class=nav y"', 'class="overflow-hidden"', 'aria-hidden="false"', 'data-aria-hidden="true"', 'title="aria-hidden=true"',
+        'style="--display:none; color:red"',
+    )
+    hidden = ("hidden", "class=x hidden", 'HIDDEN=""', 'title="x"hidden', 'style="color:red; Display : none"', "aria-hidden=true", "aria-hidden=' TRUE '")
+    for tag in ("body", "article", "main", "div"):
+        for value in shown:
+            assert html_text.main_blocks(f"<{tag} {value}><p>Some text, here.</p></{tag}>") == ["Some text, here."], value
+        for value in hidden:
+            assert html_text.main_blocks(f"<{tag} {value}><p>Some text, here.</p></{tag}>") == [], value
+    assert html_text.main_blocks('<div class="hidden"><p>Some text, here.</p></div>') == []
+
+
 def test_html_query(spark):
     got = {r.page_id: r.text for r in queries.op4_html_extraction(spark, SF).collect()}
     for r in table(spark, SF, "pages").collect():
