@@ -47,8 +47,9 @@ class Encoder:
     """Ids of the ``tokenizers`` library, word by word.
 
     Byte-level merges never cross the library's word split, so a text is its words'
-    ids in order. Words are kept in a bounded cache as ready 32-bit ids; new ones and
-    all texts beyond Latin letters are given to the library.
+    ids in order. Words are kept in a bounded cache as ready 32-bit ids; new ones, all
+    texts beyond Latin letters and those that hold the string of an added token, which
+    the library cuts out before it splits words, are given to the library.
     """
 
     def __init__(self, tokenizer_file: str) -> None:
@@ -56,9 +57,12 @@ class Encoder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has one task per core already
         self.library = Tokenizer.from_file(tokenizer_file)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
 
+    def _holds_added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(c.ids, "<u4").tobytes() for c in coded]
@@ -72,7 +76,7 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Little-endian 32-bit ids of one whole text."""
-        if not SIMPLE.fullmatch(text):
+        if self._holds_added(text) or not SIMPLE.fullmatch(text):
             return self._whole([text])[0]
         words = SPLIT.findall(text)
         try:

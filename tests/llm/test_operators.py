@@ -245,6 +245,23 @@ def test_ids_like_the_library():
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == coded.ids
 
 
+def test_ids_of_special_strings(spark):
+    from tokenizers import Tokenizer
+
+    fresh = Tokenizer.from_file(tokenizer("byte_bpe_50k.json"))
+    encoder, pick = packing.Encoder(tokenizer("byte_bpe_50k.json")), random.Random(6)
+    parts = ["<|endoftext|>", "<|endoftext", "|>", " ", "\n", "word", " some", "日本", "é"]
+    texts = ["a<|endoftext|> b", "<|endoftext|>", "日 <|endoftext|>本"] + ["".join(pick.choices(parts, k=pick.randint(0, 12))) for _ in range(2000)]
+    want = [c.ids for c in fresh.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in texts] == want
+    assert 50256 in want[0]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts[:3])], "doc_id long, text string")
+    for r in packing.pack_documents(df, tokenizer("byte_bpe_50k.json"), with_ids=True).collect():
+        ids = [*want[r.doc_id], packing.END_ID]
+        assert r.doc_tokens == len(ids)
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids[r.start : r.start + r.length]
+
+
 def check_pieces(rows, lengths):
     """Every token in one piece, sequences gapless, full or at a power of two."""
     by_doc, by_sequence = {}, {}
