@@ -7,8 +7,9 @@ best ``k`` are computed again in double precision from the original floats. The
 of each pair of tiles are merged by a heap along the candidate tiles of a task, then
 per query over all tasks.
 
-A candidate tile and a query tile hold ``tile_rows`` vectors at most, whatever the
-input; a task holds one tile of either kind and the ``k`` best of its queries.
+A candidate tile holds about ``tile_rows`` vectors and a query tile about ``query_rows``,
+whatever the input and however often an id is repeated; a task holds one tile of either
+kind and the ``k`` best of its queries.
 """
 
 from __future__ import annotations
@@ -99,14 +100,15 @@ def tile_best(queries: Tile, tile: Tile, k: int, best: list[list[tuple[float, in
                 break
 
 
-def _tiles(vectors: DataFrame, id_col: str, vec_col: str, rows: int, name: str) -> DataFrame:
-    """``tile, ids, vectors`` with about ``rows`` vectors each, by a hash of the id.
+def _tiles(vectors: DataFrame, id_col: str, vec_col: str, rows: int, name: str, salt: Column) -> DataFrame:
+    """``tile, ids, vectors`` with about ``rows`` vectors each, by a hash of the id and ``salt``.
 
-    The number of tiles follows from one count.
+    The salt tells rows of one id apart, so that they spread over the tiles. The number of
+    tiles follows from one count.
     """
     n = max(1, -(-vectors.count() // rows))
     return (
-        vectors.groupBy(F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias(name))
+        vectors.groupBy(F.pmod(F.xxhash64(id_col, salt), F.lit(n)).cast("int").alias(name))
         .agg(F.collect_list(F.struct(F.col(id_col).alias("id"), F.col(vec_col).alias("v"))).alias("both"))
         .select(name, F.col("both.id").alias(f"{name}_ids"), F.flatten("both.v").alias(f"{name}_vectors"))
     )
@@ -143,8 +145,11 @@ def search(
         F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"), is_query.alias("asks")
     ).filter(F.col("id").isNotNull() & usable("v"))
     valid = materialise(valid, "vectors")
-    candidates = materialise(_tiles(valid.select("id", "v"), "id", "v", tile_rows, "c"), "candidates")
-    queries = materialise(_tiles(valid.filter("asks").select("id", "v").distinct(), "id", "v", query_rows, "q"), "queries")
+    # rows are numbered as they are read from written files, the same when a task is repeated
+    numbered = valid.select("id", "v", F.monotonically_increasing_id().alias("n"))
+    candidates = materialise(_tiles(numbered, "id", "v", tile_rows, "c", F.col("n")), "candidates")
+    asking = valid.filter("asks").select("id", "v").distinct()
+    queries = materialise(_tiles(asking, "id", "v", query_rows, "q", F.col("v")), "queries")
     # each query tile is sent to every group of candidate tiles: the stated query set
     # against all rows, in blocks
     tiles = candidates.count()

@@ -453,6 +453,28 @@ def test_neighbours_like_brute_force(spark, tile_rows):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_ids_spread_over_tiles(spark, monkeypatch):
+    sizes, written = {}, neighbours.materialise
+
+    def noted(df, name):
+        out = written(df, name)
+        if name in ("candidates", "queries"):
+            sizes[name] = [r[0] for r in out.select(F.size(f"{'c' if name == 'candidates' else 'q'}_ids")).collect()]
+        return out
+
+    monkeypatch.setattr(neighbours, "materialise", noted)
+    rng = np.random.default_rng(8)
+    rows = [(7, [1.0, 2.0, 3.0])] * 300 + [(7, v) for v in rng.normal(size=(300, 3)).tolist()]
+    rows += [(i, v) for i, v in enumerate(rng.normal(size=(300, 3)).tolist(), 100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    asks = F.col("vec_id").isin(7, 100)
+    got = [tuple(r) for r in neighbours.search(df, asks, k=5, tile_rows=50, query_rows=50).collect()]
+    assert sum(sizes["candidates"]) == 900 and max(sizes["candidates"]) < 120
+    assert sum(sizes["queries"]) == 302 and max(sizes["queries"]) < 120
+    whole = [tuple(r) for r in neighbours.search(df, asks, k=5, tile_rows=5000, query_rows=5000).collect()]
+    assert len(got) == 10 and sorted(got) == sorted(whole)
+
+
 # -- pipeline ----------------------------------------------------------------------
 
 
