@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import html_text, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, warc
+from plumbline.llm import html_text, infill, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, warc
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 from plumbline.session import scratch_path
 
@@ -80,6 +80,19 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.transform(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
@@ -91,6 +104,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -118,4 +132,26 @@ ORACLES: dict[str, str] = {
         )
         SELECT * FROM r WHERE rank <= 20
     """,
+    "op13_fill_in_middle": """
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                sha256('1:' || doc_id::VARCHAR) AS h
+            FROM documents
+        ), g AS (
+            SELECT *, ('0x' || h[1:8])::BIGINT % (n + 1) AS x, ('0x' || h[9:16])::BIGINT % (n + 1) AS y,
+                CASE WHEN n = 0 OR regexp_matches(t, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 90 THEN 'plain'
+                    WHEN ('0x' || h[25:32])::BIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+            FROM d
+        ), c AS (
+            SELECT *, left(t, least(x, y)) AS p, substring(t, least(x, y) + 1, abs(x - y)) AS m, substring(t, greatest(x, y) + 1) AS s
+            FROM g
+        )
+        SELECT doc_id, n, form,
+            CASE WHEN form <> 'plain' THEN least(x, y) END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN abs(x - y) END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(t) AS restored_sha256
+        FROM c
+    """,
 }
