@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import html_text, infill, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, warc
+from plumbline.llm import html_text, infill, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, turns, warc
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 from plumbline.session import scratch_path
 
@@ -80,6 +80,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair(turns.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = infill.transform(table(spark, sf_dir, "documents"))
     return made.select(
@@ -104,6 +108,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
