@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from plumbline.llm import html_text, infill, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, turns, warc
+from plumbline.llm import html_text, hyperminhash, infill, langid, neighbours, packing, pieces, quality_fm, quality_rules, simhash, toxicity, turns, warc
 from plumbline.llm.common import held_out, labelled_sample, table, tokenizer
 from plumbline.session import scratch_path
 
@@ -80,6 +80,11 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op11_hyperminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=5, percent=85)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.repair(turns.damaged(table(spark, sf_dir, "conversations")))
 
@@ -108,6 +113,7 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_language_id": op9_language_id,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_hyperminhash_near_dedup": op11_hyperminhash_near_dedup,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
