@@ -319,7 +319,7 @@ def _narrow(rows: DataFrame) -> DataFrame:
         # a null turn comes before all others
         .withColumn("at", F.coalesce("turn", F.lit(-(1 << 63))))
     )
-    seen = with_group_min(merged, "digest", "at", "first_at", ["at"])
+    seen = with_group_min(materialise(merged, "merged"), "digest", "at", "first_at", ["at"])
     return seen.withColumn("repeated", F.col("at") > F.col("first_at"))
 
 
