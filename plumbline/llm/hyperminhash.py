@@ -41,6 +41,7 @@ MANTISSA = 10
 DEVIATIONS = 6.0
 UNIT = 1000
 TILE = 256
+BLOCK = 1 << 21
 SEED = 42
 
 
@@ -93,11 +94,15 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     one in ``2 ** MANTISSA`` mantissas does.
     """
     agree = np.zeros((len(a), len(b)), np.int32)
-    used = np.zeros_like(agree)
-    for k in range(BUCKETS):
-        x, y = a[:, k, None], b[None, :, k]
-        agree += (x == y) & (x != 0)
-        used += (x | y) != 0
+    empty = np.zeros_like(agree)
+    blank_a, blank_b = a == 0, b == 0
+    step = max(1, BLOCK // max(1, b.size))
+    for i in range(0, len(a), step):
+        part = slice(i, i + step)
+        empty[part] = blank_a[part].astype(np.float32) @ blank_b.T.astype(np.float32)
+        agree[part] = (a[part, None, :] == b[None, :, :]).sum(axis=2, dtype=np.uint8)
+    agree -= empty
+    used = BUCKETS - empty
     chance = _zeros_odds(n_a) @ _zeros_odds(n_b).T / 2.0**MANTISSA
     raw = agree / np.maximum(used, 1)
     return np.clip((raw - chance) / (1 - chance), 0, 1), used
