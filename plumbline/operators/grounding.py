@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import skew
 from plumbline.functions import text as T
 from plumbline.functions.text import mean6, r6
+from plumbline.operators import similarity
 from plumbline.session import materialise
 
 MIN_RUN = 3
@@ -148,6 +149,68 @@ def token_grounding(responses: DataFrame, units: DataFrame) -> DataFrame:
     )
 
 
+def fuzzy_owners(responses: DataFrame, units: DataFrame, threshold: float = similarity.THRESHOLD) -> DataFrame:
+    """``resp_id, term, matched_term, dice, j_star`` of response terms that no unit holds.
+
+    ``matched_term`` is the term of the units most like it by :mod:`similarity`, at least
+    ``threshold``; ``j_star`` the unit that holds it and covers most of the response.
+    Equally similar terms: the better unit, then the first term.
+    """
+    held = materialise(unit_terms(units), "unit-terms")
+    known = held.select("resp_id", "term").distinct()
+    missing = response_terms(responses).select("resp_id", "term").join(known, ["resp_id", "term"], "left_anti")
+    # only responses with a term to look for bring their context
+    wanted = known.join(missing.select("resp_id").distinct(), "resp_id", "left_semi")
+    found = similarity.similar_terms(missing, wanted, "resp_id", threshold)
+    overlap = (
+        _matches(responses, units).groupBy("resp_id", "unit_ix").agg(r6(F.sum("weight")).alias("_overlap"))
+    )
+    placed = (
+        found.join(held.withColumnRenamed("term", "matched_term"), ["resp_id", "matched_term"])
+        .join(overlap, ["resp_id", "unit_ix"], "left")
+        .withColumn("_overlap", F.coalesce("_overlap", F.lit(0.0)))
+    )
+    order = F.struct((-F.col("dice")).alias("d"), (-F.col("_overlap")).alias("o"), "unit_ix", "matched_term")
+    return (
+        placed.groupBy("resp_id", "term")
+        .agg(F.min(order).alias("_best"))
+        .select(
+            "resp_id",
+            "term",
+            F.col("_best.matched_term").alias("matched_term"),
+            (-F.col("_best.d")).alias("dice"),
+            F.col("_best.unit_ix").alias("j_star"),
+        )
+    )
+
+
+def token_grounding_fuzzy(
+    responses: DataFrame, units: DataFrame, threshold: float = similarity.THRESHOLD
+) -> DataFrame:
+    """:func:`token_grounding` with a second step for tokens that no unit holds.
+
+    Their ``g_t`` is the Dice coefficient of the most similar term of the units, 0 below
+    ``threshold``; ``matched_term`` names that term (null where the token itself was found).
+    """
+    exact = owners(responses, units).select("resp_id", "term", F.lit(None).cast("string").alias("matched_term"), F.lit(1.0).alias("dice"), "j_star")
+    best = exact.unionByName(fuzzy_owners(responses, units, threshold))
+    return (
+        T.token_rows(responses, ["resp_id"], "response_text")
+        .withColumn("term", F.lower("token"))
+        .join(best, ["resp_id", "term"], "left")
+        .select(
+            "resp_id",
+            "ix",
+            "token",
+            "char_start",
+            "char_end",
+            F.coalesce("dice", F.lit(0.0)).alias("g_t"),
+            "matched_term",
+            "j_star",
+        )
+    )
+
+
 def unit_coverage(responses: DataFrame, units: DataFrame) -> DataFrame:
     """``resp_id, unit_ix, source_id, coverage``: the share of the response's idf
     mass (distinct terms) that each unit holds; units without overlap get 0."""

@@ -59,6 +59,7 @@ QUERIES = {
     "split_claims": _claims,
     "split_atoms": _atoms,
     "token_grounding": _on_shared(G.token_grounding),
+    "token_grounding_fuzzy": _on_shared(G.token_grounding_fuzzy),
     "unit_coverage": _on_shared(G.unit_coverage),
     "reverse_context": _on_requests(G.reverse_context),
     "calibrated_context": _on_shared(G.calibrated_context),
@@ -158,6 +159,31 @@ FROM (SELECT req.resp_id, count(coverage) AS n_units, count(*) FILTER (coverage
       FROM req LEFT JOIN cov USING (resp_id) GROUP BY ALL)""",
 }
 
+_GRAMS = "list_distinct(list_transform(range(1, length(term) + 1), lambda i: substring(' ' || term || ' ', i, 3)))"
+
+ORACLES["token_grounding_fuzzy"] = S.with_(
+    *_SCORED,
+    S.OWNERS,
+    S.token_rows("tok", "req", "resp_id", "response_text"),
+    "ct AS (SELECT DISTINCT resp_id, term FROM ut)",
+    f"""mg AS (SELECT resp_id, term, unnest({_GRAMS}) AS gram, len({_GRAMS}) AS n
+       FROM (SELECT resp_id, term FROM rt EXCEPT SELECT resp_id, term FROM ct))""",
+    f"cg AS (SELECT resp_id, term AS matched_term, unnest({_GRAMS}) AS gram, len({_GRAMS}) AS m FROM ct)",
+    """near AS (
+  SELECT resp_id, term, matched_term, 2.0 * count(*) / (n + m) AS dice
+  FROM mg JOIN cg USING (resp_id, gram) GROUP BY resp_id, term, matched_term, n, m HAVING 2.0 * count(*) / (n + m) >= 0.6)""",
+    "lap AS (SELECT resp_id, unit_ix, round(sum(weight), 6) AS o FROM hit GROUP BY ALL)",
+    """fz AS (
+  SELECT near.resp_id, near.term, matched_term, round(dice, 6) AS dice, ut.unit_ix AS j_star,
+         row_number() OVER (PARTITION BY near.resp_id, near.term ORDER BY round(dice, 6) DESC, coalesce(o, 0) DESC, ut.unit_ix, matched_term) AS rk
+  FROM near JOIN ut ON ut.resp_id = near.resp_id AND ut.term = near.matched_term
+            LEFT JOIN lap ON lap.resp_id = ut.resp_id AND lap.unit_ix = ut.unit_ix)""",
+) + """SELECT tok.resp_id, ix, token, char_start, char_end,
+       CASE WHEN own.j_star IS NOT NULL THEN 1.0 ELSE coalesce(fz.dice, 0.0) END::DOUBLE AS g_t,
+       CASE WHEN own.j_star IS NULL THEN fz.matched_term END AS matched_term, coalesce(own.j_star, fz.j_star) AS j_star
+FROM tok LEFT JOIN own ON tok.resp_id = own.resp_id AND tok.term = own.term
+         LEFT JOIN fz ON tok.resp_id = fz.resp_id AND tok.term = fz.term AND fz.rk = 1"""
+
 _FILES = rf"""ow AS (
   SELECT own.resp_id, j_star AS unit_ix, sum(n) AS owned FROM own JOIN rt USING (resp_id, term) GROUP BY ALL),
 fa AS (
