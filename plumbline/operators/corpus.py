@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
 from plumbline.functions.text import r6
 from plumbline.operators import grounding as G
+from plumbline.operators import postings
 from plumbline.session import materialise
 
-# Rounds of the open-domain search: seed terms are held by at most this share of the corpus.
-SHARES = (0.001, 0.1)
-# Scores are published with six decimals; bounds leave room for that.
-MARGIN = 1e-5
-
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine of two numeric arrays; 0 when one has no length."""
@@ -87,85 +83,20 @@ def answer_key(text: Column) -> Column:
 
 
 def open_domain_topk(
-    responses: DataFrame, corpus: DataFrame, limit: int = 3, shares: tuple[float, ...] = SHARES
+    responses: DataFrame, corpus: DataFrame, limit: int = 3, block_docs: int = postings.BLOCK_DOCS
 ) -> DataFrame:
     """The ``limit`` corpus documents with the largest idf overlap, for every response.
 
-    Exact, in rounds from rare to common terms. In the round of a share, the *seed* terms of
-    a response are those held by no more than that share of the corpus; all its other terms
-    together can add at most ``_slack`` to a document's score.
-
-    1. Score on seed terms only: these meet few documents.
-    2. If the ``limit``-th best seed score exceeds ``_slack``, the response is settled: a
-       document whose seed score plus ``_slack`` stays under it cannot be in the result.
-    3. The remaining few candidates get the rest of their score by a join on document and
-       term.
-
-    A response not settled goes on to the next share, and after the last one it is scored
-    on all its terms, so nothing is lost. The corpus is cut into terms once, and the terms
-    and one row per response and round are written to the shared folder.
+    Exact, over posting blocks (:mod:`postings`): only blocks of documents that can
+    still win are opened. The corpus is cut into terms once, and the index is written
+    to the shared folder.
     """
-    terms = materialise(T.exploded(corpus, ["doc_id"], T.distinct_tokens(F.col("text")), "term"), "terms")
+    index = materialise(postings.block_index(corpus, block_docs), "postings")
     total = corpus.agg(F.count(F.lit(1))).scalar()
-    left = materialise(
+    asked = materialise(
         T.exploded(responses, ["resp_id"], T.distinct_tokens(F.col("response_text")), "term")
-        .join(G.document_frequency(terms), "term")
-        .select("resp_id", "term", G.idf(F.col("df"), total).alias("weight"), (F.col("df") / total).alias("_share")),
+        .join(postings.term_statistics(index), "term")
+        .select("resp_id", "term", G.idf(F.col("df"), total).alias("weight")),
         "asked",
     )
-    found = []
-    for share in shares:
-        seed = F.col("_share") <= share
-        scored = _overlap(left.filter(seed), terms, "_part")
-        bound = materialise(_bounds(left, scored, seed, limit), "bounds")
-        settled = bound.filter("_settled")
-        candidates = (
-            scored.join(settled, "resp_id")
-            .filter(F.col("_part") + F.col("_slack") >= F.col("_bound") - MARGIN)
-            .select("resp_id", "doc_id", "_part")
-        )
-        rest = (
-            candidates.join(left.filter(~seed), "resp_id")
-            .join(terms, ["doc_id", "term"])
-            .groupBy("resp_id", "doc_id")
-            .agg(F.sum("weight").alias("_rest"))
-        )
-        found.append(
-            candidates.join(rest, ["resp_id", "doc_id"], "left").select(
-                "resp_id", "doc_id", (F.col("_part") + F.coalesce("_rest", F.lit(0.0))).alias("_score")
-            )
-        )
-        left = left.join(bound.filter(~F.col("_settled")), "resp_id", "left_semi")
-    scores = _overlap(left, terms, "_score")
-    for part in found:
-        scores = scores.unionByName(part)
-    final = Window.partitionBy("resp_id").orderBy(F.desc("score"), F.asc("doc_id"))
-    return (
-        scores.withColumn("score", r6(F.col("_score")))
-        .withColumn("rank", F.row_number().over(final))
-        .filter(F.col("rank") <= limit)
-        .select("resp_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", "score")
-    )
-
-
-def _overlap(asked: DataFrame, terms: DataFrame, name: str) -> DataFrame:
-    """Summed weights of the terms a response and a document share."""
-    return asked.join(terms, "term").groupBy("resp_id", "doc_id").agg(F.sum("weight").alias(name))
-
-
-def _bounds(asked: DataFrame, scored: DataFrame, seed: Column, limit: int) -> DataFrame:
-    """Per response the ``limit``-th best seed score, what the other terms can add, and
-    whether the first exceeds the second."""
-    slack = asked.groupBy("resp_id").agg(F.sum(F.when(seed, 0.0).otherwise(F.col("weight"))).alias("_slack"))
-    best = Window.partitionBy("resp_id").orderBy(F.desc("_part"), F.asc("doc_id"))
-    return (
-        scored.withColumn("_rank", F.row_number().over(best))
-        .filter(F.col("_rank") <= limit)
-        .groupBy("resp_id")
-        .agg(F.min("_part").alias("_bound"), F.count(F.lit(1)).alias("_found"))
-        .join(slack, "resp_id", "right")
-        .withColumn(
-            "_settled",
-            F.coalesce((F.col("_found") == limit) & (F.col("_bound") > F.col("_slack") + MARGIN), F.lit(False)),
-        )
-    )
+    return postings.top_documents(asked, index, "resp_id", limit).withColumnRenamed("doc", "doc_id")

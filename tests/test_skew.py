@@ -1,5 +1,6 @@
 """The skew-proof forms give what the plain forms give, at any block size."""
 
+import math
 import random
 
 from pyspark.sql import Window
@@ -7,7 +8,9 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import scan, skew
 from plumbline.operators import corpus as Q
+from plumbline.operators import postings
 from plumbline.operators import sessions as N
+from plumbline.session import materialise
 
 
 def rows_of(df):
@@ -55,13 +58,35 @@ def test_lookup_equals_join(spark):
 def test_open_domain_equals_brute_force(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(60)]
-    docs = [(d, " ".join(rng.choices(words[:8] * 6 + words, k=rng.randint(3, 40)))) for d in range(80)]
+    docs = [(d, " ".join(rng.choices(words[:8] * 6 + words, k=rng.randint(3, 40)))) for d in range(80)] + [(80, ""), (81, None)]
     asked = [(r, " ".join(rng.choices(words + ["unseen"], k=6))) for r in range(25)] + [(98, "w0 w1"), (99, "unseen")]
+    held = {d: set((t or "").split()) for d, t in docs}
+    weight = {w: math.log(83 / (1 + sum(w in h for h in held.values()))) + 1 for w in words}
+    want = []
+    for r, text in asked:
+        scores = {d: round(sum(weight[w] for w in h & set(text.split())), 6) for d, h in held.items()}
+        best = sorted(((-s, d) for d, s in scores.items() if s > 0))[:3]
+        want += [(r, i, d, -s) for i, (s, d) in enumerate(best, 1)]
     corpus = spark.createDataFrame(docs, "doc_id bigint, text string")
     responses = spark.createDataFrame(asked, "resp_id bigint, response_text string")
-    plain = rows_of(Q.open_domain_topk(responses, corpus, 3, shares=()))
-    for shares in ((0.0,), (0.1,), (0.05, 0.4), (0.02, 0.1, 1.0)):
-        assert rows_of(Q.open_domain_topk(responses, corpus, 3, shares)) == plain
+    for block_docs in (1, 4, 1000):
+        got = Q.open_domain_topk(responses, corpus, 3, block_docs)
+        assert sorted((r.resp_id, r["rank"], r.doc_id, round(r.score, 6)) for r in got.collect()) == want
+
+
+def test_common_term_opens_few_blocks(spark):
+    """A term in nine of ten documents costs a row per block, and few blocks are opened."""
+    docs = [(d, f"rare{d % 400} " + ("common " if d % 10 else "") + f"w{d} v{d % 7}") for d in range(4000)]
+    corpus = spark.createDataFrame(docs, "doc_id bigint, text string")
+    index = materialise(postings.block_index(corpus, 16), "postings")
+    blocks = index.select("block").distinct().count()
+    assert 200 <= blocks <= 300 and index.filter("term = 'common'").count() <= blocks
+    assert index.filter("term = 'common'").select("part").distinct().count() == postings.PARTS
+    asked = spark.createDataFrame([(r, t, w) for r in range(20) for t, w in (("common", 1.1), (f"rare{r}", 6.0))], "resp_id bigint, term string, weight double")
+    opened = postings.winning_blocks(asked, index, "resp_id", 3).groupBy("resp_id").count().collect()
+    # ten documents hold the rare term, in ten blocks at most
+    assert len(opened) == 20 and max(r["count"] for r in opened) <= 10
+    assert postings.top_documents(asked, index, "resp_id", 3).filter("score < 6").count() == 0
 
 
 def test_gap_sessions_equal_plain_sessions(spark):
