@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.clock import instant
 from plumbline.operators import corpus as Q
 from plumbline.operators import grounding as G
+from plumbline.operators import late
 from plumbline.operators import sessions as N
 from plumbline.plans import sqlparts as S
 from plumbline.session import materialise, scratch_path
@@ -131,6 +132,23 @@ def _maxsim(spark, sf_dir):
     return Q.maxsim(sets.withColumnRenamed("set_id", "resp_id"), units)
 
 
+def _vector_sets(spark, sf_dir):
+    return Q.vector_sets(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def _maxsim_topk(spark, sf_dir):
+    """Every set against all sets, over complete lists."""
+    sets = _vector_sets(spark, sf_dir)
+    return late.maxsim_topk(sets, sets, k=5, probes=late.CENTROIDS)
+
+
+def _maxsim_recall(spark, sf_dir):
+    """What the few probes of production find of the complete result."""
+    sets = _vector_sets(spark, sf_dir)
+    found = late.maxsim_topk(sets, sets, k=5)
+    return late.recall(found, _maxsim_topk(spark, sf_dir)).drop("n_found")
+
+
 def _open_domain(spark, sf_dir):
     items = read_table(spark, sf_dir, "benchmark", "item_id", "text")
     docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
@@ -203,6 +221,8 @@ QUERIES = {
     "session_snapshot": _snapshot,
     "snapshot_store": _snapshot_store,
     "maxsim": _maxsim,
+    "maxsim_topk": _maxsim_topk,
+    "maxsim_recall": _maxsim_recall,
     "open_domain_topk": _open_domain,
     "semantic_entropy": _entropy,
     "semantic_entropy_text": _entropy_text,
@@ -292,6 +312,15 @@ FROM (SELECT event_type, CAST(floor(epoch(ts) / {step_hours * 3600}) AS BIGINT)
       FROM (SELECT event_type, ts, unnest([{offsets}]) AS o FROM events)) GROUP BY ALL"""
 
 
+_ALL_SETS = f"""WITH s AS (SELECT vec_id // 8 AS g, vec_id, embedding AS e FROM embeddings),
+p AS (
+  SELECT q.g AS query_id, u.g AS set_id, q.vec_id,
+         max(coalesce({_DOT.format(a='q.e', b='u.e')}
+                      / nullif(sqrt({_DOT.format(a='q.e', b='q.e')} * {_DOT.format(a='u.e', b='u.e')}), 0), 0.0)) AS best
+  FROM s q JOIN s u ON u.g <> q.g GROUP BY ALL),
+m AS (SELECT query_id, set_id, round(avg(best), 6) AS maxsim FROM p GROUP BY ALL),
+rk AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY maxsim DESC, set_id) AS rank, set_id, maxsim FROM m)"""
+
 ORACLES = {
     "conversation_bands": S.with_(*_BASE) + "SELECT * FROM sc",
     "pair_turns": S.with_(_PAIR)
@@ -385,6 +414,10 @@ p AS (
                             / nullif(sqrt({_DOT.format(a='q.e', b='q.e')} * {_DOT.format(a='u.e', b='u.e')}), 0), 0.0)) AS best
   FROM s q JOIN s u ON u.g = q.g + 1 GROUP BY ALL)
 SELECT g AS resp_id, round(avg(best), 6) AS maxsim FROM p GROUP BY g""",
+    "maxsim_topk": f"""{_ALL_SETS}
+SELECT * FROM rk WHERE rank <= 5""",
+    "maxsim_recall": f"""{_ALL_SETS}
+SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_exact, TRUE AS reached FROM rk WHERE rank <= 5""",
     "open_domain_topk": rf"""WITH dt AS (SELECT DISTINCT doc_id, unnest({S.terms('text')}) AS term FROM documents),
 st AS (SELECT term, count(*) AS df FROM dt GROUP BY term),
 bt AS (SELECT DISTINCT item_id AS resp_id, unnest({S.terms('text')}) AS term FROM benchmark),
