@@ -11,7 +11,7 @@ from plumbline.plans import privacy_plans, session_plans
 from plumbline.session import scratch_path
 from plumbline.sources import sinks
 from plumbline.sources.tables import read_table
-from plumbline.streaming import stateful, streams
+from plumbline.streaming import stateful, streams, trend
 
 
 def _stream(spark, sf_dir, name: str) -> DataFrame:
@@ -73,6 +73,14 @@ def _drift(spark, sf_dir):
     return streams.run_to_table(stateful.drift_stream(outcomes), "stream-drift")
 
 
+def _trend(spark, sf_dir):
+    outcomes = _outcomes(spark, sf_dir).select(
+        F.col("user_id").alias("session"), F.col("event_id").alias("turn"), "score", "at"
+    )
+    with trend.rocksdb(spark):
+        return streams.run_to_table(trend.trend_stream(outcomes), "stream-trend")
+
+
 def _sink(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     scores = N.turn_scores(turns).withColumnRenamed("band", "risk_band")
@@ -90,6 +98,7 @@ QUERIES = {
     "stream_sessions": _sessions,
     "stream_rollup": _rollup,
     "stream_drift": _drift,
+    "stream_trend": _trend,
 }
 
 _CLOSED = "WHERE end_s * 1000 <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)"
@@ -121,4 +130,17 @@ FROM o GROUP BY user_id""",
 FROM (SELECT *, count(*) OVER w AS c, avg(score) OVER w AS m, stddev_samp(score) OVER w AS d
       FROM (SELECT user_id, event_id, round(value / 1000, 6) AS score FROM events)
       WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))""",
+    "stream_trend": """WITH o AS (
+  SELECT user_id AS session, event_id AS turn, ts, round(value / 1000, 6) AS score,
+         CASE WHEN score IS NULL THEN 'unknown' WHEN score >= 0.35 THEN 'green' WHEN score >= 0.2 THEN 'amber' ELSE 'red' END AS band
+  FROM events),
+w AS (
+  SELECT *, count(score) OVER p AS c, avg(score) OVER p AS m, stddev_samp(score) OVER p AS d,
+         CASE WHEN lag(band) OVER (PARTITION BY session ORDER BY ts, turn) = band THEN 0 ELSE 1 END AS starts
+  FROM o WINDOW p AS (PARTITION BY session ORDER BY ts, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+r AS (SELECT *, CAST(sum(starts) OVER (PARTITION BY session ORDER BY ts, turn) AS BIGINT) - 1 AS run_ix FROM w)
+SELECT session, turn, score, coalesce(round(CASE WHEN c >= 2 AND d > 1e-9 THEN (score - m) / d ELSE 0.0 END, 6), 0.0) AS z,
+       band, run_ix, run_turns
+FROM (SELECT *, row_number() OVER (PARTITION BY session, run_ix ORDER BY ts, turn) AS run_turns FROM r)
+WHERE epoch_ms(ts) <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)""",
 }

@@ -1,12 +1,15 @@
 """Streams over several files give what the batch gives."""
 
+import random
+import statistics
+
 from pyspark.sql import functions as F
 
 from plumbline.functions.clock import instant
 from plumbline.operators import sessions as N
 from plumbline.sources import tables
 from plumbline.sources.sinks import SnapshotStore
-from plumbline.streaming import stateful, streams
+from plumbline.streaming import stateful, streams, trend
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
 
@@ -53,6 +56,56 @@ def test_drift_in_batches_equals_batch(spark, tmp_path):
     assert len(got) == len(want) and all(abs(r["z"] - want[r["turn"]]) < 1e-4 for r in got)
 
 
+def trend_by_hand(rows, idle_s):
+    """``(session, turn): (z, band, run_ix, run_turns)`` of ``(session, turn, score, at seconds)``."""
+    out, past = {}, {}
+    for session, turn, score, at in sorted(rows, key=lambda r: (r[0], r[3], r[1])):
+        held = past.get(session)
+        if held is None or at - held["at"] >= idle_s:
+            held = past[session] = {"scores": [], "band": None, "run": -1, "n": 0}
+        band = "unknown" if score is None else "green" if score >= 0.35 else "amber" if score >= 0.2 else "red"
+        if held["run"] < 0 or band != held["band"]:
+            held.update(band=band, run=held["run"] + 1, n=0)
+        earlier = held["scores"]
+        z = 0.0
+        if score is not None:
+            spread = statistics.stdev(earlier) if len(earlier) >= 2 else 0.0
+            z = (score - statistics.fmean(earlier)) / spread if spread > 1e-9 else 0.0
+            earlier.append(score)
+        held.update(at=at, n=held["n"] + 1)
+        out[session, turn] = (z, band, held["run"], held["n"])
+    return out
+
+
+def test_trend_over_files_out_of_order_equals_batch(spark, tmp_path):
+    pick, hour = random.Random(4), 3600
+    rows = []
+    for session in range(6):
+        at = 1_700_000_000
+        for turn in range(60):
+            # now and then a session pauses for longer than the idle time
+            at += pick.choice([0, 600, hour, 5 * hour, 5 * hour, 90 * hour])
+            rows.append((session, turn, pick.choice([None, 0.1, 0.25, 0.3, 0.6, round(pick.random(), 6)]), at))
+    # a row may come in a file up to ten hours after its time
+    shuffled = sorted(rows, key=lambda r: r[3] + pick.randint(0, 10 * hour))
+    step = len(shuffled) // 8 + 1
+    schema = "session bigint, turn bigint, score double, s bigint"
+    for i in range(0, len(shuffled), step):
+        spark.createDataFrame(shuffled[i : i + step], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+    want = trend_by_hand(rows, 72 * hour)
+    closed = max(r[3] for r in rows) - 12 * hour
+    for per_trigger in (1, 3):
+        stream = streams.table_stream(spark, str(tmp_path / "t"), "*.parquet", spark.createDataFrame([], schema).schema, per_trigger)
+        outcomes = stream.select("session", "turn", "score", F.timestamp_seconds("s").alias("at"))
+        with trend.rocksdb(spark):
+            got = streams.run_to_table(trend.trend_stream(outcomes, "12 hours", idle_hours=72), "t").collect()
+        found = {(r.session, r.turn): (r.z, r.band, r.run_ix, r.run_turns) for r in got}
+        assert len(got) == len(found) == sum(r[3] <= closed for r in rows)
+        for key, row in found.items():
+            assert row[1:] == want[key][1:] and abs(row[0] - want[key][0]) < 1e-5
+    assert spark.conf.get(trend.PROVIDER, None) != trend.ROCKSDB
+
+
 def test_snapshot_store(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "sid int, v string")
     store = SnapshotStore(spark, str(tmp_path / "s"), rows.schema, "sid", buckets=4)
