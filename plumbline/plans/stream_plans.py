@@ -81,6 +81,22 @@ def _trend(spark, sf_dir):
         return streams.run_to_table(trend.trend_stream(outcomes), "stream-trend")
 
 
+def _join_scores(spark, sf_dir):
+    """Requests and, as a second stream, their scores: late ones and missing ones among them."""
+    events = _events(spark, sf_dir)
+    requests = events.select(F.col("event_id").alias("request_id"), F.col("user_id").alias("session"), "at")
+    scores = _events(spark, sf_dir).filter("event_id % 4 <> 0").select(
+        F.col("event_id").alias("request_id"),
+        F.round(F.col("value") / 1000, 6).alias("score"),
+        F.timestamp_micros(F.unix_micros("at") + (F.col("event_id") % 9) * 600_000_000).alias("scored_at"),
+    )
+    joined = streams.join_scores(requests, scores, ["request_id"], "1 hour")
+    shaped = joined.select(
+        "request_id", "session", "score", (F.unix_seconds("scored_at") - F.unix_seconds("at")).alias("waited_s")
+    )
+    return streams.run_to_table(shaped, "stream-join")
+
+
 def _sink(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     scores = N.turn_scores(turns).withColumnRenamed("band", "risk_band")
@@ -99,6 +115,7 @@ QUERIES = {
     "stream_rollup": _rollup,
     "stream_drift": _drift,
     "stream_trend": _trend,
+    "stream_join_scores": _join_scores,
 }
 
 _CLOSED = "WHERE end_s * 1000 <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)"
@@ -143,4 +160,12 @@ SELECT session, turn, score, coalesce(round(CASE WHEN c >= 2 AND d > 1e-9 THEN (
        band, run_ix, run_turns
 FROM (SELECT *, row_number() OVER (PARTITION BY session, run_ix ORDER BY ts, turn) AS run_turns FROM r)
 WHERE epoch_ms(ts) <= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)""",
+    "stream_join_scores": """WITH q AS (SELECT event_id AS request_id, user_id AS session, epoch_us(ts) AS asked FROM events),
+s AS (SELECT event_id AS request_id, round(value / 1000, 6) AS score, epoch_us(ts) + event_id % 9 * 600000000 AS scored_at
+      FROM events WHERE event_id % 4 <> 0),
+w AS (SELECT least((SELECT max(asked) FROM q), (SELECT max(scored_at) FROM s)) // 1000 * 1000 - 3600000000 AS passed),
+j AS (SELECT q.request_id, session, asked, score, scored_at
+      FROM q LEFT JOIN s ON s.request_id = q.request_id AND scored_at BETWEEN asked AND asked + 3600000000)
+SELECT request_id, session, score, (scored_at - asked) // 1000000 AS waited_s
+FROM j, w WHERE scored_at IS NOT NULL OR asked + 3600000000 < passed""",
 }

@@ -123,6 +123,25 @@ def session_counts(events: DataFrame, ts: str, key: str, late: str, gap: str) ->
     )
 
 
+def join_scores(requests: DataFrame, scores: DataFrame, keys: list[str], within: str, late: str = "1 hour") -> DataFrame:
+    """Every request with its scores: columns of ``requests(keys, at, ...)`` and those of
+    ``scores(keys, scored_at, ...)``, null where no score came in time.
+
+    A score counts if it was made ``within`` that time after its request. On streams this bound
+    and the watermarks (``late`` on either side) say when a request can get no further score:
+    it is then published without one, and its state is dropped. State is the requests and
+    scores of the open time, however long the streams run. A null key matches nothing. The
+    same call joins tables.
+    """
+    left = requests.withWatermark("at", late) if requests.isStreaming else requests
+    right = scores.withWatermark("scored_at", late) if scores.isStreaming else scores
+    named = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    on = F.expr(f"scored_at >= at AND scored_at <= at + INTERVAL {within}")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    return left.join(named, on, "left_outer").drop(*(f"_{k}" for k in keys))
+
+
 def rollup_parts(
     outcomes: DataFrame, key: str, order: str, score: str, at: str, late: str = "1 day", period: str = "1 day"
 ) -> DataFrame:

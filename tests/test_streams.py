@@ -106,6 +106,37 @@ def test_trend_over_files_out_of_order_equals_batch(spark, tmp_path):
     assert spark.conf.get(trend.PROVIDER, None) != trend.ROCKSDB
 
 
+def test_join_of_streams_equals_join_of_tables(spark, tmp_path):
+    """Scores in other files than their requests, early, late, twice and never."""
+    pick, start = random.Random(8), 1_700_000_000
+    asked = [(i if i % 13 else None, start + 300 * i) for i in range(240)]
+    made = [(i, i / 1000, at + pick.choice([-60, 0, 900, 3600, 3601])) for i, at in asked if i and i % 3]
+    made += [(i, -1.0, at + 30) for i, at in asked if i and i % 10 == 0]
+    schemas = ("request_id bigint, s bigint", "request_id bigint, score double, s bigint")
+    for name, rows, schema in zip("qs", (asked, made), schemas):
+        rows = sorted(rows, key=lambda r: r[-1])
+        for i in range(0, len(rows), 50):
+            spark.createDataFrame(rows[i : i + 50], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+
+    def shaped(read):
+        at = F.timestamp_seconds("s")
+        requests = read(tmp_path / "q", schemas[0]).select("request_id", at.alias("at"))
+        scores = read(tmp_path / "s", schemas[1]).select("request_id", "score", at.alias("scored_at"))
+        return streams.join_scores(requests, scores, ["request_id"], "1 hour", "2 hours").select(
+            "request_id", "score", F.unix_seconds("at").alias("at"), F.unix_seconds("scored_at").alias("scored_at")
+        )
+
+    def stream(path, schema):
+        return streams.table_stream(spark, str(path), "*.parquet", spark.createDataFrame([], schema).schema, 1)
+
+    got = streams.run_to_table(shaped(stream), "j").collect()
+    whole = shaped(lambda path, schema: spark.read.schema(schema).parquet(str(path))).collect()
+    passed = min(max(r[-1] for r in asked), max(r[-1] for r in made)) - 2 * 3600
+    want = [r for r in whole if r.scored_at is not None or r.at + 3600 < passed]
+    order = lambda rows: sorted(map(tuple, rows), key=repr)
+    assert order(got) == order(want) and any(r.score is None for r in got) and len(want) < len(whole)
+
+
 def test_snapshot_store(spark, tmp_path):
     rows = spark.createDataFrame([(i, f"v{i}") for i in range(20)], "sid int, v string")
     store = SnapshotStore(spark, str(tmp_path / "s"), rows.schema, "sid", buckets=4)
