@@ -11,6 +11,7 @@ MODULES = (
     "stream_plans",
     "session_plans",
     "privacy_plans",
+    "learned_plans",
 )
 
 
