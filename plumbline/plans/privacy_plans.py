@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import privacy as P
+from plumbline.functions import text as T
 from plumbline.operators import compress as K
+from plumbline.operators import names
 from plumbline.operators import privacy as E
 from plumbline.plans import sqlparts as S
 from plumbline.sources.tables import read_table
@@ -35,6 +37,16 @@ def _redacted(spark, sf_dir, **options):
     )
 
 
+def _detect_names(spark, sf_dir):
+    """Openings of the benchmark's passages, of two and of four words, as names in documents."""
+    items = read_table(spark, sf_dir, "benchmark", "text").withColumn("_t", T.tokens(F.col("text")))
+    both = [(2, "opening"), (4, "passage")]
+    known = [
+        items.select(F.array_join(F.slice("_t", 1, n), " ").alias("name"), F.lit(label).alias("label")) for n, label in both
+    ]
+    return names.detect_names(_docs(spark, sf_dir), known[0].union(known[1]), "doc_id", "text")
+
+
 def _detect_only(spark, sf_dir):
     found = E.redact(_docs(spark, sf_dir), redact=False, include_original_text=True)
     return found.select(
@@ -80,6 +92,7 @@ def _preserved(spark, sf_dir):
 
 
 QUERIES = {
+    "detect_names": _detect_names,
     "detect_entities": lambda s, d: _entities(s, d, flat_ner=False),
     "detect_by_category": lambda s, d: _entities(
         s, d, labels=["email"], categories=["network", "finance"], country="US"
@@ -261,3 +274,25 @@ FROM (SELECT doc_id, list_sort(list_distinct(regexp_extract_all(text, '{K.PRESER
        coalesce(tokens_after, {S.n_tokens('c.text')}) AS tokens_after
 FROM conversations c LEFT JOIN co ON co.conv_id = c.conv_id AND co.turn = c.turn""",
 }
+
+ORACLES["detect_names"] = "WITH RECURSIVE " + ",\n".join((
+    S.token_rows("tok", "documents", "doc_id", "text"),
+    f"""nm AS (
+  SELECT array_to_string(t, ' ') AS phrase, len(t) AS n_tokens, min(label) AS label
+  FROM (SELECT {S.terms('text')}[1:2] AS t, 'opening' AS label FROM benchmark
+        UNION ALL SELECT {S.terms('text')}[1:4], 'passage' FROM benchmark) WHERE len(t) > 0 GROUP BY ALL)""",
+    """nx AS (
+  SELECT *, term || ' ' || lead(term) OVER w AS two, two || ' ' || lead(term, 2) OVER w || ' ' || lead(term, 3) OVER w AS four,
+         lead(char_end) OVER w AS end2, lead(char_end, 3) OVER w AS end4
+  FROM tok WINDOW w AS (PARTITION BY doc_id ORDER BY ix))""",
+    """hit AS (
+  SELECT doc_id, ix, n_tokens, label, char_start, end4 AS char_end FROM nx JOIN nm ON phrase = four
+  UNION ALL SELECT doc_id, ix, n_tokens, label, char_start, end2 FROM nx JOIN nm ON phrase = two
+  UNION ALL SELECT doc_id, ix, n_tokens, label, char_start, nx.char_end FROM nx JOIN nm ON phrase = term)""",
+    "cand AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY doc_id, ix ORDER BY n_tokens DESC) = 1)",
+    """taken AS (
+  SELECT * FROM cand QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY ix) = 1
+  UNION ALL
+  SELECT c.* FROM taken t JOIN cand c ON c.doc_id = t.doc_id AND c.ix >= t.ix + t.n_tokens
+  QUALIFY row_number() OVER (PARTITION BY c.doc_id ORDER BY c.ix) = 1)""",
+)) + "\nSELECT doc_id, ix AS token_ix, n_tokens, label, char_start, char_end FROM taken"
