@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions import text as T
 from plumbline.functions.text import r6
 from plumbline.operators import grounding as G
+from plumbline.operators import nested
 
 # Literals are emails, ISO dates, numbers and percentages;
 # structured sources are ``key = value`` / ``key: value`` pairs, JSON keys included.
@@ -111,9 +112,23 @@ def source_pairs(units: DataFrame) -> DataFrame:
     )
 
 
-def structured_lane(responses: DataFrame, units: DataFrame, detected_at: int = 2) -> DataFrame:
-    """Pairs in the context, the typed ones, and how many of those the response repeats."""
-    pairs = source_pairs(units).withColumn("_typed", F.col("value").rlike(TYPED))
+def structured_pairs(units: DataFrame) -> DataFrame:
+    """:func:`source_pairs` with JSON objects read as such: nested values by the last name on
+    their path, quoted ones whole. Pairs in prose are read from the text beside the objects."""
+    found, rest = nested.objects(units, ["resp_id", "unit_ix"])
+    inside = nested.values(found, ["resp_id", "unit_ix"]).filter("key is not null and value is not null")
+    return source_pairs(rest).unionByName(inside.select("resp_id", "unit_ix", "key", "value"))
+
+
+def structured_lane(
+    responses: DataFrame, units: DataFrame, detected_at: int = 2, json: bool = False
+) -> DataFrame:
+    """Pairs in the context, the typed ones, and how many of those the response repeats.
+
+    ``json`` reads objects with :func:`structured_pairs`.
+    """
+    found = structured_pairs(units) if json else source_pairs(units)
+    pairs = found.withColumn("_typed", F.col("value").rlike(TYPED))
     said = _response_literals(responses).select(
         "resp_id", F.col("literal").alias("value"), F.lit(1).alias("_said")
     )

@@ -1,11 +1,11 @@
-"""Queries on sketches and learned heads."""
+"""Queries on sketches, learned heads and nested sources."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
-from plumbline.operators import heads, sketches
+from plumbline.operators import heads, nested, sketches
 from plumbline.plans import sqlparts as S
 from plumbline.session import scratch_path
 from plumbline.sources.tables import read_table
@@ -81,7 +81,26 @@ def _route(spark, sf_dir):
     )
 
 
+def _json_values(spark, sf_dir):
+    """Events as prose with nested objects, quoted braces and braces without a partner."""
+    rows = read_table(spark, sf_dir, "events", "event_id", "user_id", "event_type", "props").select(
+        "event_id",
+        F.concat(
+            F.lit('} seen {"user": {"id": '),
+            "user_id",
+            F.lit(', "tags": ["'),
+            "event_type",
+            F.lit('", "a, b} c"]}, "props": '),
+            "props",
+            F.lit(', "none": null} then {"done": true} and {open'),
+        ).alias("text"),
+    )
+    found, _ = nested.objects(rows, ["event_id"])
+    return nested.values(found, ["event_id"])
+
+
 QUERIES = {
+    "json_values": _json_values,
     "sketched_quantiles": _quantiles,
     "sketched_distinct": _distinct,
     "learned_head": _head,
@@ -89,6 +108,14 @@ QUERIES = {
 }
 
 ORACLES = {
+    "json_values": """SELECT event_id, v.object_ix::BIGINT AS object_ix, v.path AS path, v.key AS key, v.value AS value
+FROM (SELECT event_id, unnest([
+  {object_ix: 0, path: '$.user.id', key: 'id', value: user_id::VARCHAR},
+  {object_ix: 0, path: '$.user.tags[0]', key: 'tags', value: event_type},
+  {object_ix: 0, path: '$.user.tags[1]', key: 'tags', value: 'a, b} c'},
+  {object_ix: 0, path: '$.props.k', key: 'k', value: json_extract_string(props, '$.k')},
+  {object_ix: 0, path: '$.none', key: 'none', value: NULL},
+  {object_ix: 1, path: '$.done', key: 'done', value: 'true'}]) AS v FROM events)""",
     "sketched_quantiles": """SELECT event_type, at_ AS at, count(*) AS n, round(quantile_cont(score, at_), 6) AS exact, TRUE AS in_bound
 FROM (SELECT event_type, round(value / 1000, 6) AS score, unnest([0.1, 0.5, 0.9]::DOUBLE[]) AS at_ FROM events) GROUP BY event_type, at_"""
     .replace("quantile_cont(score, at_)", "CASE at_ WHEN 0.1 THEN quantile_cont(score, 0.1) WHEN 0.5 THEN quantile_cont(score, 0.5) ELSE quantile_cont(score, 0.9) END")
