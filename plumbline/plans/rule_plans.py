@@ -392,7 +392,47 @@ def _rollups(spark, sf_dir):
 def _classified(spark, sf_dir):
     return X.classify_errors(
         _events(spark, sf_dir, status=STATUSES, body=ERRORS), "status", "body"
-    ).drop("body", "status")
+    ).drop("body", "status", "docs_url", "extra")
+
+
+# the same bodies with further keys, and errors in a wrapper of their own
+FURTHER = """CASE event_id % 4
+  WHEN 0 THEN '{"detail":{"code":"E0","message":"m","docs_url":"https://d/' || event_type || '","trace":{"id":' || event_id || '},"note":"n"}}'
+  WHEN 1 THEN '{"success":false,"error_code":"E1","error":"slow down","status_code":429,"docs_url":7,"retry":' || event_id || '}'
+  WHEN 2 THEN '{"detail":"gone","docs_url":"https://x"}'
+  ELSE '{"docs_url":"https://x","note":"n"}' END"""
+
+
+def _error_envelopes(spark, sf_dir):
+    rows = X.classify_errors(_events(spark, sf_dir, status="500", body=FURTHER), "status", "body")
+    shown = F.transform(F.array_sort(F.map_entries("extra")), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit(""))))
+    return rows.select("event_id", "code", "message", "docs_url", F.array_join(shown, ";").alias("extra"))
+
+
+def _quoted(column: str) -> str:
+    """A string column as a JSON string."""
+    return f"substring(to_json(array({column})), 2, length(to_json(array({column}))) - 2)"
+
+
+SHAPES = f"""CASE turn % 7
+  WHEN 0 THEN {_quoted('text')}
+  WHEN 1 THEN '""'
+  WHEN 2 THEN concat('{{"page_content":"","content":', {_quoted('role')}, ',"text":', {_quoted('text')}, '}}')
+  WHEN 3 THEN concat('[', {_quoted('text')}, ',"",{{"page_content":', {_quoted('role')}, '}},{{"content":7,"text":"t"}},5,null,["x"]]')
+  WHEN 4 THEN concat('{{"content":{{"a":1}},"other":', {_quoted('text')}, '}}')
+  WHEN 5 THEN '[]'
+  ELSE '42' END"""
+
+
+def _coerce_any(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    chunks = X.any_context(F.try_parse_json(F.expr(SHAPES)))
+    return turns.select("conv_id", "turn", chunks.alias("c")).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("c").isNotNull(), F.size("c").cast("bigint")).alias("n_chunks"),
+        R.join_context(F.col("c")).alias("raw_context"),
+    )
 
 
 def _typed(spark, sf_dir):
@@ -462,6 +502,8 @@ QUERIES = {
     "normalize_envelopes": _envelopes,
     "normalize_rollup": _rollups,
     "classify_errors": _classified,
+    "error_envelopes": _error_envelopes,
+    "coerce_any_context": _coerce_any,
     "error_counts": lambda s, d: X.error_counts(_classified(s, d)),
     "typed_responses": _typed_responses,
     "cited_evidence": _cited,
@@ -589,6 +631,14 @@ FROM events WHERE event_id % 8 = 0""",
        CASE event_id % 5 WHEN 0 THEN 'noise_pct,turns' WHEN 1 THEN 'id,session_id,turns' WHEN 2 THEN 'extra'
             WHEN 3 THEN 'other' ELSE 'rollup' END AS keys FROM events""",
     "classify_errors": S.with_(_ERR) + "SELECT * FROM ec",
+    "error_envelopes": """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'E0' WHEN 1 THEN 'E1' WHEN 2 THEN 'error' END AS code,
+       CASE event_id % 4 WHEN 0 THEN 'm' WHEN 1 THEN 'slow down' WHEN 2 THEN 'gone' ELSE 'HTTP 500' END AS message,
+       CASE WHEN event_id % 4 = 0 THEN 'https://d/' || event_type END AS docs_url,
+       CASE event_id % 4 WHEN 0 THEN 'note=n;trace={"id":' || event_id || '}' WHEN 1 THEN 'retry=' || event_id || ';success=false'
+            WHEN 2 THEN '' END AS extra FROM events""",
+    "coerce_any_context": """SELECT conv_id, turn, nullif(len(c), 0) AS n_chunks, CASE WHEN len(c) > 0 THEN array_to_string(c, chr(10) || chr(10)) END AS raw_context
+FROM (SELECT conv_id, turn, list_filter(CASE turn % 7 WHEN 0 THEN [text] WHEN 2 THEN [coalesce(nullif(role, ''), text)] WHEN 3 THEN [text, role, 't']
+             ELSE []::VARCHAR[] END, lambda x: x IS NOT NULL AND x <> '') AS c FROM conversations)""",
     "error_counts": S.with_(_ERR) + "SELECT error_class, code, count(*) AS n FROM ec GROUP BY ALL",
     "to_json_rows": """SELECT event_id, '{' || concat_ws(',',
          CASE WHEN user_id % 2 = 0 THEN '"event_type":"' || event_type || '"' END,

@@ -15,6 +15,9 @@ ROLLUP_KEYS = (
 )
 ENVELOPE_KEYS = ("success", "action", "version", "id")
 AUTH = (401, 402, 403)
+# Keys of an error that have a column of their own, and where a record keeps its text.
+ERROR_KEYS = ("code", "message", "hint", "docs_url", "error_code", "error", "status_code")
+TEXT_KEYS = ("page_content", "content", "text")
 
 
 def _text(value: Column, path: str) -> Column:
@@ -99,8 +102,28 @@ def normalize_rollup(logs: DataFrame, body: str) -> DataFrame:
     )
 
 
+def any_context(value: Column) -> Column:
+    """Texts of a context of any shape, given as a variant: a string, a record, or a list of both.
+
+    A record gives the first of ``page_content``, ``content``, ``text`` that is a non-empty string.
+    Empty strings and all else are skipped; null when nothing is left.
+    """
+
+    def one(item: Column) -> Column:
+        record = F.coalesce(*[_filled(_string(item, f"$.{k}")) for k in TEXT_KEYS])
+        return F.when(_kind(item, "$") == "STRING", _filled(_text(item, "$"))).when(_kind(item, "$") == "OBJECT", record)
+
+    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), one)
+    texts = F.array_compact(F.when(_kind(value, "$") == "ARRAY", listed).otherwise(F.array(one(value))))
+    return F.when(F.size(texts) > 0, texts)
+
+
 def classify_errors(logs: DataFrame, status: str, body: str) -> DataFrame:
-    """HTTP status and error body to ``error_class, code, message, hint``."""
+    """HTTP status and error body to ``error_class, code, message, hint, docs_url, extra``.
+
+    ``extra`` maps the further keys of a structured error to their values (nested ones as
+    JSON); it is empty for a plain message and null where there is no envelope.
+    """
     v = F.col("_v")
     staged = logs.withColumn("_v0", F.try_parse_json(F.col(body))).withColumn(
         "_v",
@@ -130,6 +153,9 @@ def classify_errors(logs: DataFrame, status: str, body: str) -> DataFrame:
         F.when(listed, invalid),
         F.concat(F.lit("HTTP "), F.col(status).cast("string")),
     )
+    whole_map = F.from_json(F.to_json(v), "map<string,string>")
+    further = F.map_filter(whole_map, lambda k, _: ~k.isin(*ERROR_KEYS))
+    none = F.create_map().cast("map<string,string>")
     return staged.select(
         *logs.columns,
         F.when(F.col(status).isin(*AUTH), "auth")
@@ -143,6 +169,8 @@ def classify_errors(logs: DataFrame, status: str, body: str) -> DataFrame:
         .alias("code"),
         message.alias("message"),
         F.when(plain.isNull() & structured, _string(v, "$.hint")).alias("hint"),
+        F.when(plain.isNull() & structured, _string(v, "$.docs_url")).alias("docs_url"),
+        F.when(plain.isNotNull(), none).when(structured, further).alias("extra"),
     )
 
 

@@ -123,3 +123,26 @@ def test_pairing_on_uneven_conversations(spark):
     assert chunks == {(0, "s0"), (1, "s5")}
     units = {(r["resp_turn"], r["unit_ix"]) for r in exchange_units(turns).collect()}
     assert units == {(3, 0), (3, 1), (6, 3), (6, 4), (6, 5)}
+
+
+def test_context_of_any_shape(spark):
+    shapes = {
+        '"one"': ["one"], '""': None, "null": None, "7": None, "[]": None, "true": None,
+        '{"page_content":"","content":"c","text":"t"}': ["c"], '{"page_content":3,"text":"t"}': ["t"], '{"content":""}': None, "{}": None,
+        '["a","",null,5,{"text":"b"},{"other":"x"},["c"],{"page_content":"d","text":"e"}]': ["a", "b", "d"], "[[],{}]": None, "not json": None,
+    }
+    rows = spark.createDataFrame([*((k,) for k in shapes), (None,)], "body string")
+    got = {r.body: r.c for r in rows.select("body", X.any_context(F.try_parse_json("body")).alias("c")).collect()}
+    assert got == {**shapes, None: None}
+
+
+def test_errors_keep_docs_and_further_keys(spark):
+    bodies = {
+        '{"detail":{"code":"c","message":"m","docs_url":"u","x":[1,2],"hint":"h"}}': ("u", {"x": "[1,2]"}),
+        '{"error":"e","status_code":500,"docs_url":null,"y":"s"}': (None, {"y": "s"}),
+        '{"detail":"plain","docs_url":"u","x":1}': (None, {}),
+        '{"docs_url":"u","x":1}': (None, None), "[1]": (None, None), "not json": (None, None),
+    }
+    rows = spark.createDataFrame([(500, k) for k in bodies], "status int, body string")
+    got = {r.body: (r.docs_url, r.extra) for r in X.classify_errors(rows, "status", "body").collect()}
+    assert got == bodies
