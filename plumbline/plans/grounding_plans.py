@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import text as T
 from plumbline.operators import grounding as G
+from plumbline.operators import record
 from plumbline.plans import sqlparts as S
 from plumbline.sources.interactions import document_units, split_documents
 from plumbline.sources.tables import read_table
@@ -52,7 +53,23 @@ def _atoms(spark, sf_dir):
     ).withColumnRenamed("ix", "atom_ix")
 
 
+def _heatmap(spark, sf_dir):
+    responses, units = requests(spark, sf_dir)
+    spans = F.transform("heatmap", lambda s: F.concat_ws(":", s["start"], s["end"], s["score"].cast("int")))
+    return record.heatmap(responses, units, "html").select("resp_id", F.array_join(spans, ",").alias("heatmap"), "heatmap_html")
+
+
+def _triangular(spark, sf_dir):
+    queries = _documents(spark, sf_dir).select(
+        F.col("doc_id").alias("resp_id"), F.when(F.col("doc_id") % 5 != 0, F.substring("text", 1, 60)).alias("query_text")
+    )
+    return record.triangular(*requests(spark, sf_dir), queries)
+
+
 QUERIES = {
+    "response_chunk_scores": _on_requests(lambda r, u: record.chunk_scores(r, u, 16)),
+    "response_heatmap": _heatmap,
+    "request_triangular": _triangular,
     "tokens_with_offsets": lambda s, d: T.token_rows(_documents(s, d), ["doc_id"], "text"),
     "chunk_context": lambda s, d: _chunks(_documents(s, d), "doc_id", "text", 64),
     "chunk_response": lambda s, d: _chunks(requests(s, d)[0], "resp_id", "response_text", 16),
@@ -209,3 +226,35 @@ FROM req LEFT JOIN fa USING (resp_id) GROUP BY ALL""",
     "novel_tokens": S.with_(*_BASE, S.RESPONSE_TERMS)
     + "SELECT resp_id, term FROM rt EXCEPT SELECT resp_id, term FROM ut",
 }
+
+_ESCAPED = "replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+
+ORACLES |= {
+    "response_chunk_scores": S.with_(*_BASE, S.POSITIONS)
+    + """SELECT resp_id, ix // 16 AS chunk_ix, min(char_start) AS char_start, max(char_end) AS char_end, count(*) AS n_tokens,
+       round(avg(g_t), 6) AS reverse_context FROM gp GROUP BY ALL""",
+    "response_heatmap": S.with_(*_BASE, S.POSITIONS)
+    + f"""SELECT resp_id, string_agg(char_start || ':' || char_end || ':' || g_t::INT, ',' ORDER BY char_start) AS heatmap,
+       string_agg({_ESCAPED.format("substring(response_text, back + 1, char_start - back)")}
+                  || CASE WHEN g_t = 1 THEN '<span class="grounded">' ELSE '<span class="unsupported">' END
+                  || {_ESCAPED.format("substring(response_text, char_start + 1, char_end - char_start)")} || '</span>', '' ORDER BY char_start)
+       || {_ESCAPED.format("substring(max(response_text), max(char_end) + 1)")} AS heatmap_html
+FROM (SELECT *, coalesce(lag(char_end) OVER (PARTITION BY resp_id ORDER BY char_start), 0) AS back
+      FROM (SELECT resp_id, g_t, run, min(char_start) AS char_start, max(char_end) AS char_end FROM gi GROUP BY ALL)
+      JOIN req USING (resp_id)) GROUP BY resp_id""",
+    "request_triangular": S.with_(
+        *_BASE,
+        S.RESPONSE_TERMS,
+        S.GROUNDED,
+        "qr AS (SELECT doc_id AS resp_id, CASE WHEN doc_id % 5 <> 0 THEN substring(text, 1, 60) END AS query_text FROM documents)",
+        f"qt AS (SELECT resp_id, unnest({S.terms('query_text')}) AS term FROM qr)",
+        """qc AS (SELECT qt.resp_id, round(avg((ct.term IS NOT NULL)::INT), 6) AS reverse_query_context
+       FROM qt LEFT JOIN ct ON qt.resp_id = ct.resp_id AND qt.term = ct.term GROUP BY qt.resp_id)""",
+        """sh AS (SELECT gt.resp_id, round(sum(n * g) / sum(n), 6) AS reverse_context,
+       round(sum(CASE WHEN q.term IS NOT NULL THEN n ELSE 0 END) / sum(n), 6) AS echo
+       FROM gt LEFT JOIN (SELECT DISTINCT resp_id, term FROM qt) q ON q.resp_id = gt.resp_id AND q.term = gt.term GROUP BY gt.resp_id)""",
+        """tr AS (SELECT sh.resp_id, reverse_context, reverse_query_context, CASE WHEN query_text IS NOT NULL THEN echo END AS echo_mean
+       FROM sh LEFT JOIN qr USING (resp_id) LEFT JOIN qc USING (resp_id))""",
+    )
+    + """SELECT *, round(pow(reverse_context * reverse_query_context * echo_mean, 1.0::DOUBLE / 3.0::DOUBLE), 6) AS triangular FROM tr""",
+}

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import rules as R
 from plumbline.functions import text as T
-from plumbline.operators import claims, compress, corpus, decide, literals, privacy
+from plumbline.operators import claims, compress, corpus, decide, heads, literals, privacy, record
 from plumbline.operators import grounding as G
 
 # Named parameter bundles. "quality" checks more evidence and asks for more of it.
@@ -21,6 +21,10 @@ PROFILES = {
     "quality": {"evidence_limit": 5, "coverage_threshold": 0.4},
 }
 
+# lanes that a learned head may use beside the features it is given
+HEAD_LANES = ("groundedness_v1", "groundedness_v2", "literal_match_ratio", "nli_aggregate")
+COMPACT = ("resp_id", "risk_band", "primary_score", "action", "risk_reason", "scoring_mode", "head_score")
+
 
 def score_groundedness(
     responses: DataFrame,
@@ -43,6 +47,16 @@ def score_groundedness(
     profile: str = "standard",
     amber_at: float = 0.2,
     green_at: float = 0.35,
+    locale: str | None = None,
+    scoring_mode: str | None = None,
+    response_chunk_tokens: int | None = None,
+    include_triangular_diagnostics: bool = False,
+    heatmap_format: str | None = None,
+    runtime_head_features: DataFrame | None = None,
+    head: heads.Head | None = None,
+    trajectory_features: DataFrame | None = None,
+    auto_decide: bool = True,
+    response_format: str = "canonical",
 ) -> DataFrame:
     """Scores, band, decision and evidence of each response.
 
@@ -64,6 +78,14 @@ def score_groundedness(
     """
     if attribution_mode not in ("closed_book", "open_domain"):
         raise ValueError("attribution_mode is closed_book or open_domain")
+    if response_format not in ("canonical", "compact"):
+        raise ValueError("response_format is canonical or compact")
+    if locale is not None:
+        if language not in (decide.ANY, locale):
+            raise ValueError("pass either language or locale, not both")
+        language = locale
+    if include_triangular_diagnostics and queries is None:
+        raise ValueError("include_triangular_diagnostics needs queries")
     preset = PROFILES[profile]
     limit = evidence_limit or preset["evidence_limit"]
     threshold = coverage_threshold if coverage_threshold is not None else preset["coverage_threshold"]
@@ -115,13 +137,36 @@ def score_groundedness(
     else:
         banded = decide.table_band(scored, calibration)
     banded = banded.withColumns({"allow_disabled": F.lit(False), "block_disabled": F.lit(False)})
-    return (
+    out = (
         decide.runtime_decision(banded)
         .join(best, "resp_id", "left")
         .withColumnRenamed("band", "risk_band")
         .drop("allow_disabled", "block_disabled", "score", "score_channel")
-        .unionByName(blank, allowMissingColumns=True)
     )
+    if response_chunk_tokens is not None:
+        chunks = record.chunk_scores(answered, evidence, response_chunk_tokens)
+        part = F.struct("chunk_ix", "char_start", "char_end", "n_tokens", "reverse_context")
+        listed = chunks.groupBy("resp_id").agg(F.array_sort(F.collect_list(part)).alias("response_chunks"))
+        out = out.join(listed, "resp_id", "left")
+    if include_triangular_diagnostics:
+        three = record.triangular(answered, evidence, queries)
+        out = out.join(three.select("resp_id", F.struct(*three.columns[1:]).alias("triangular_diagnostics")), "resp_id", "left")
+    if heatmap_format is not None:
+        out = out.join(record.heatmap(answered, evidence, heatmap_format), "resp_id", "left")
+    if runtime_head_features is not None:
+        out = record.with_features(out, runtime_head_features, "runtime_head_features", HEAD_LANES)
+        if head is not None:
+            named = out.select("resp_id", *(F.col("runtime_head_features")[f].alias(f) for f in head.features))
+            scored = heads.apply_head(named, head).select("resp_id", "head_score", "head_features_used")
+            out = out.join(scored, "resp_id", "left")
+    if trajectory_features is not None:
+        out = record.with_features(out, trajectory_features, "trajectory_features")
+    out = out.unionByName(blank, allowMissingColumns=True)
+    if scoring_mode is not None:
+        out = out.withColumn("scoring_mode", F.lit(scoring_mode))
+    if not auto_decide:
+        out = out.drop("action", "reason_codes", "risk_reason")
+    return out if response_format == "canonical" else out.select(*(c for c in COMPACT if c in out.columns))
 
 
 def raw_units(raw_context: DataFrame, chunk_tokens: int) -> DataFrame:
@@ -144,10 +189,18 @@ def open_domain_units(responses: DataFrame, corpus_table: DataFrame, limit: int)
     )
 
 
-def rag(responses: DataFrame, units: DataFrame | None = None, *, context_trust_enabled: bool = False, **options) -> DataFrame:
-    """:func:`score_groundedness` for retrieval answers: context trust is off unless asked for."""
+def rag(
+    responses: DataFrame,
+    units: DataFrame | None = None,
+    *,
+    context_trust_enabled: bool = False,
+    scoring_mode: str = "rag",
+    **options,
+) -> DataFrame:
+    """:func:`score_groundedness` for retrieval answers: context trust is off unless asked for,
+    and the scoring mode is recorded."""
     return score_groundedness(
-        responses, units, context_trust_enabled=context_trust_enabled, **options
+        responses, units, context_trust_enabled=context_trust_enabled, scoring_mode=scoring_mode, **options
     )
 
 

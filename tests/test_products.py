@@ -8,6 +8,7 @@ from plumbline.operators import claims as C
 from plumbline.operators import compress as K
 from plumbline.operators import decide as D
 from plumbline.operators import grounding as G
+from plumbline.operators import heads
 from plumbline.operators import literals as L
 from plumbline.sources import envelopes as X
 from pyspark.sql import functions as F
@@ -114,3 +115,32 @@ def test_own_scorer_judges_claims(spark, requests):
     rows = {r.resp_id: r for r in C.claim_verification(responses, units, scorer=certain).collect()}
     assert (rows[CLEAN].label, rows[CLEAN].band, rows[CLEAN].contradiction) == ("contradiction", "red", 1.0)
     assert rows[BARE].skip_reason == "no_premises" and rows[BARE].entailment is None
+
+
+def test_arguments_asked_for_by_name(spark, requests):
+    responses, units = requests
+    queries = spark.createDataFrame([(CLEAN, "How long takes the refund?"), (BARE, None)], "resp_id long, query_text string")
+    given = spark.createDataFrame([(CLEAN, {"asked": 2.0, "nli_aggregate": -1.0})], "resp_id long, runtime_head_features map<string,double>")
+    path = spark.createDataFrame([(CLEAN, {"delta": 0.5})], "resp_id long, trajectory_features map<string,double>")
+    head = heads.Head(("asked", "missing"), 0.0, (1.0, 5.0))
+    scored = products.score_groundedness(
+        responses, units, queries=queries, locale="en", scoring_mode="rag", response_chunk_tokens=2, include_triangular_diagnostics=True,
+        heatmap_format="html", runtime_head_features=given, head=head, trajectory_features=path,
+    )
+    rows = {r.resp_id: r for r in scored.collect()}
+    assert len(rows) == 5 and all(r.scoring_mode == "rag" for r in rows.values())
+    clean = rows[CLEAN]
+    assert [(c.chunk_ix, c.n_tokens, c.reverse_context) for c in clean.response_chunks] == [(0, 2, 1.0), (1, 2, 1.0), (2, 1, 1.0)]
+    assert [(h.start, h.end, h.score) for h in clean.heatmap] == [(0, 26, 1.0)]
+    assert clean.heatmap_html == '<span class="grounded">The refund takes five days</span>.'
+    three = clean.triangular_diagnostics
+    assert three.echo_mean == 0.6 and three.reverse_query_context == 0.6 and three.triangular == pytest.approx(0.36 ** (1 / 3), abs=1e-6)
+    assert rows[BARE].triangular_diagnostics.echo_mean is None
+    assert clean.runtime_head_features["asked"] == 2.0 and clean.runtime_head_features["nli_aggregate"] == -1.0
+    assert clean.head_score == pytest.approx(1 / (1 + 2.718281828 ** -2), abs=1e-6) and clean.head_features_used == ["asked"]
+    assert clean.trajectory_features == {"delta": 0.5} and rows[BARE].trajectory_features == {}
+    compact = products.rag(responses, units, response_format="compact", auto_decide=False)
+    assert compact.columns == ["resp_id", "risk_band", "primary_score", "scoring_mode"]
+    for bad in ({"language": "en", "locale": "de"}, {"response_format": "x"}, {"include_triangular_diagnostics": True}, {"heatmap_format": "x"}):
+        with pytest.raises(ValueError):
+            products.score_groundedness(responses, units, **bad)
