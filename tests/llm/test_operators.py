@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -220,6 +221,100 @@ def test_html_hidden_is_an_attribute():
     assert html_text.main_blocks('<div class="hidden"><p>Some text, here.</p></div>') == []
 
 
+PARAGRAPH = "This is a paragraph of the article, with commas, and enough of words to be read as one by any measure."
+P = f"<p>{PARAGRAPH}</p>"
+
+
+def test_html_sections_of_an_article_stay_whatever_their_names():
+    names = "introduction related-work discussion legal-framework feedback-loops side-effects menu-costs notice-and-comment social-history".split()
+    for tag, attribute in (("section", "id"), ("div", "class")):
+        parts = "".join(f'<{tag} {attribute}="{n}"><h2>{n}</h2><p>About {n}, in short.</p></{tag}>' for n in [*names, "search-methods"])
+        want = [x for n in [*names, "search-methods"] for x in (n, f"About {n}, in short.")]
+        assert html_text.main_blocks(f"<body><article>{parts}</article></body>") == want
+    code = f'<article>{P}<pre><code><span class="token comment"># a note</span> x = 1</code></pre></article>'
+    assert html_text.main_blocks(code) == [PARAGRAPH, "# a note x = 1"]
+
+
+def test_html_wrappers_and_heads():
+    assert html_text.main_blocks(f"<body><form id=all><div>{P}{P}</div><label>x</label><input></form></body>") == [PARAGRAPH] * 2
+    assert html_text.main_blocks(f"<article>{P}{P}<form><p>Write to us.</p></form></article>") == [PARAGRAPH] * 2
+    page = f"<body><header><h1>Site</h1></header><article><header><h1>Title</h1><p>The lead.</p></header>{P}</article></body>"
+    assert html_text.main_blocks(page) == ["Title", "The lead.", PARAGRAPH]
+    assert html_text.main_blocks(f"<html><head><title>t</title><body>{P}</body></html>") == [PARAGRAPH]
+
+
+def test_html_notices_teasers_and_threads_beside_an_article():
+    beside = (
+        "<div><p>We use cookies on this site to help you.</p></div>",
+        '<div class="responses"><p>A great story, I liked it.</p></div>',
+        '<ol class="thread"><li><p>A great story.</p></li></ol>',
+        "<div><h3><a href=x>Another story</a></h3><p>What happened then.</p></div>",
+        "<ul><li><b>Ann</b><p>A great story.</p></li><li><b>Bo</b><p>It is not.</p></li></ul>",
+        '<article class="comment"><p>A great story.</p></article>',
+    )
+    for other in beside:
+        for page in (f"<body><article>{P * 4}</article>{other}</body>", f"<main><article>{P * 4}</article>{other}</main>", f"<main>{P * 8}{other}</main>"):
+            got = html_text.main_blocks(page)
+            assert got == [PARAGRAPH] * len(got) and len(got) >= 4, page
+    # the same structure inside an article is its own
+    assert len(html_text.main_blocks(f"<article>{P}<ol><li><p>First do this.</p></li><li><p>Then that.</p></li></ol></article>")) == 3
+
+
+def test_html_quotes_end_as_html_says():
+    assert html_text.main_blocks('<div><p>A one.</p><p title="x>B</p><p class="y">C two.</div>') == ["A one.", "C two."]
+    assert html_text.main_blocks('<p>A one.</p><p title="x>B two.</p>') == ["A one."]
+    assert html_text.main_blocks("<p title='a > b' class=x>A one, 2 < 3.</p>") == ["A one, 2 < 3."]
+
+
+def test_html_work_is_linear():
+    n = 1_000_000
+    odd = ("<a ", "<b>", "<p title=\"", "<table>", "<", "&", "<i hidden>", "<p>a.")
+    pages = [x * (n // len(x)) for x in odd]
+    pages += ["<a " * (n // 3) + '"', "<p><button>" + "<div>" * (n // 5), "<ul><li><ul>" + "<div>" * (n // 10) + "<li>x" * (n // 10)]
+    pages += ["<b class=x><div>" + "<i id=q>" * (n // 16) + "</b>" * (n // 8)]
+    for page in pages:
+        began = time.process_time()
+        html_text.main_blocks(page)
+        assert time.process_time() - began < 10, page[:40]  # a quadratic walk takes minutes
+
+
+def test_html_scores_by_definition(spark):
+    """Points, link density and the choice against sums over the paths of every block."""
+    pick = random.Random(8)
+
+    def page(depth: int = 0) -> str:
+        if depth > 4 or pick.random() < 0.4:
+            words = ", ".join(pick.choices(("one", "two words", "three. "), k=pick.randint(1, 60)))
+            return pick.choice((f"<p>{words}", f"<p><a href=x>{words}</a>", f"<h2>{words}</h2>", f"{words}", f"<p>{words} <a>link</a></p>"))
+        tag = pick.choice(("div", "section", "article", "main", "blockquote"))
+        return f"<{tag}>" + "".join(page(depth + 1) for _ in range(pick.randint(1, 4))) + f"</{tag}>"
+
+    pages = [f"<body>{page()}{page()}</body>" for _ in range(300)] + [r.html for r in table(spark, SF, "pages").limit(100).collect()]
+    for source in pages:
+        blocks = html_text.parse(source)
+        nodes = html_text.measure(blocks)
+        html_text.score(blocks)
+        points, chars, links = Counter(), Counter(), Counter()
+        for b in blocks:
+            path = [b.node]
+            while path[-1].parent is not None:
+                path.append(path[-1].parent)
+            for node in path:
+                chars[node.order] += len(b.text)
+                links[node.order] += b.links
+            if b.links * 2 > len(b.text) or b.node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "hgroup"):
+                continue
+            if b.node.tag in ("p", "pre", "li", "td", "blockquote", "dd") and len(path) > 2:
+                path = path[1:]
+            for node, share in zip(path, (1, 1 / 2, 1 / 6, 1 / 9, 1 / 12, 1 / 15), strict=False):
+                points[node.order] += share * (1 + b.text.count(",") + min(len(b.text) / 100, 20))
+        for node in nodes:
+            density = links[node.order] / chars[node.order]
+            bonus = 1.25 if node.tag in ("article", "main") else 1
+            assert node.points == pytest.approx(points[node.order])
+            assert html_text.worth(node) == pytest.approx(points[node.order] * bonus * (1 - density))
+
+
 def test_html_query(spark):
     got = {r.page_id: r.text for r in queries.op4_html_extraction(spark, SF).collect()}
     for r in table(spark, SF, "pages").collect():
