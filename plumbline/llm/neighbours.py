@@ -4,12 +4,14 @@ Queries and candidates are cut into tiles. Every pair of tiles is one product: v
 are scaled to int8 once, the product of two int8 tiles gives each inner product up to
 a bound on the quantisation error, and only candidates that may still be among the
 best ``k`` are computed again in double precision from the original floats. The best
-of each pair of tiles are merged by a heap along the candidate tiles of a task, then
-per query over all tasks.
+of each pair of tiles are merged by a heap along the candidate tiles of a unit, then
+per query over all units.
 
 A candidate tile holds about ``tile_rows`` vectors and a query tile about ``query_rows``,
-whatever the input and however often an id is repeated; a task holds one tile of either
-kind and the ``k`` best of its queries.
+whatever the input and however often an id is repeated. A unit of work is a group of
+candidate tiles and a stripe of query tiles: it holds its candidates (``TILES_A_GROUP``
+tiles) and the query tile at hand. So a candidate is sent once per stripe and a query
+once per group, and what is shuffled is ``groups * queries + stripes * rows`` vectors.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from plumbline.session import materialise
 
 TILE_ROWS = 2048
-TILES_A_TASK = 8
+TILES_A_GROUP = 32
 QUERY_ROWS = 512
+TILES_A_STRIPE = 256
+TASKS = 20_000  # units beyond this number share tasks
 
 
 def usable(column: str) -> Column:
@@ -51,16 +55,17 @@ def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
 
     The order is the same for every row, so equal vectors get equal scores.
     """
-    return np.cumsum(vectors * query, axis=1)[:, -1]
+    return np.cumsum(vectors.astype(np.float64) * query.astype(np.float64), axis=1)[:, -1]
 
 
 class Tile:
-    """Vectors as doubles and as int8 codes, with lengths for the error bound."""
+    """Vectors as they are and as int8 codes, with lengths for the error bound."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         self.ids, self.vectors = ids, vectors
-        self.codes, self.scale, self.left = quantise(vectors)
-        self.length = np.linalg.norm(vectors, axis=1)
+        wide = vectors.astype(np.float64)
+        self.codes, self.scale, self.left = quantise(wide)
+        self.length = np.linalg.norm(wide, axis=1)
 
 
 def tile_best(queries: Tile, tile: Tile, k: int, best: list[list[tuple[float, int]]]) -> None:
@@ -131,6 +136,8 @@ def search(
     k: int = 20,
     tile_rows: int = TILE_ROWS,
     query_rows: int = QUERY_ROWS,
+    group_tiles: int = TILES_A_GROUP,
+    stripe_tiles: int = TILES_A_STRIPE,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` rows of the largest inner product per query row.
 
@@ -150,45 +157,49 @@ def search(
     candidates = materialise(_tiles(numbered, "id", "v", tile_rows, "c", F.col("n")), "candidates")
     asking = valid.filter("asks").select("id", "v").distinct()
     queries = materialise(_tiles(asking, "id", "v", query_rows, "q", F.col("v")), "queries")
-    # each query tile is sent to every group of candidate tiles: the stated query set
-    # against all rows, in blocks
+    # the stated query set against all rows, in blocks: a candidate tile goes to every
+    # stripe of queries, a query tile to every group of candidates
     tiles = candidates.count()
-    groups = max(1, min(tiles, max(-(-tiles // TILES_A_TASK), spark.sparkContext.defaultParallelism)))
-    asked = queries.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    placed = candidates.withColumn("g", F.pmod("c", F.lit(groups)).cast("int"))
-    pairs = (
-        asked.join(placed, "g")
-        .repartition(groups * max(1, queries.count()), "g", "q")
-        .sortWithinPartitions("g", "q", "c")
+    groups = max(1, -(-tiles // group_tiles), min(tiles, 2 * spark.sparkContext.defaultParallelism))
+    stripes = max(1, -(-queries.count() // stripe_tiles))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    placed = candidates.select(
+        F.pmod("c", F.lit(groups)).cast("int").alias("g"),
+        every(stripes).alias("s"),
+        F.lit(False).alias("asks"),
+        F.col("c_ids").alias("ids"),
+        F.col("c_vectors").alias("vectors"),
     )
+    asked = queries.select(
+        every(groups).alias("g"), F.pmod("q", F.lit(stripes)).cast("int").alias("s"), F.lit(True).alias("asks"), "q_ids", "q_vectors"
+    )
+    units = placed.union(asked).repartition(min(groups * stripes, TASKS), "g", "s").sortWithinPartitions("g", "s", "asks")
     arrow = to_arrow_schema(RESULT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tile, best = None, None, []
-
-        def out() -> pa.RecordBatch:
-            rows = [(int(q), -i, s) for q, heap in zip(tile.ids, best, strict=True) for s, i in heap]
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-
+        unit, held = None, []
         for batch in batches:
             for i in range(batch.num_rows):
-                row = {name: batch.column(name)[i] for name in batch.schema.names}
-                key = row["g"].as_py(), row["q"].as_py()
-                if key != now:
-                    if now is not None:
-                        yield out()
-                    now, tile = key, _tile(row["q_ids"], row["q_vectors"])
-                    best = [[] for _ in tile.ids]
-                tile_best(tile, _tile(row["c_ids"], row["c_vectors"]), k, best)
-        if now is not None:
-            yield out()
-
-    found = pairs.select("g", "q", "q_ids", "q_vectors", "c_ids", "c_vectors").mapInArrow(run, RESULT)
+                g, s, asks, ids, values = (batch.column(c)[i] for c in range(5))
+                now = g.as_py(), s.as_py()
+                if now != unit:
+                    unit, held = now, []
+                tile = _tile(ids, values)
+                if not asks.as_py():
+                    held.append(tile)  # the candidates of a unit come before its queries
+                    continue
+                best: list[list[tuple[float, int]]] = [[] for _ in tile.ids]
+                for other in held:
+                    tile_best(tile, other, k, best)
+                rows = [(int(q), -i, score) for q, heap in zip(tile.ids, best, strict=True) for score, i in heap]
+                columns = zip(*rows, strict=True) if rows else ([], [], [])
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    found = units.mapInArrow(run, RESULT)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _tile(ids: pa.Scalar, values: pa.Scalar) -> Tile:
     keys = ids.values.to_numpy()
-    return Tile(keys, values.values.to_numpy().astype(np.float64).reshape(len(keys), -1))
+    return Tile(keys, values.values.to_numpy().reshape(len(keys), -1))

@@ -570,6 +570,18 @@ def test_repeated_ids_spread_over_tiles(spark, monkeypatch):
     assert len(got) == 10 and sorted(got) == sorted(whole)
 
 
+def test_neighbours_units_are_few(spark, monkeypatch):
+    """Tiny tiles: tasks stay bounded, and each vector is sent once per group or stripe."""
+    rng = np.random.default_rng(9)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(rng.normal(size=(600, 4)).tolist())], "vec_id long, embedding array<float>")
+    whole = neighbours.search(df, F.col("vec_id") % 3 == 0, k=5)
+    monkeypatch.setattr(neighbours, "TASKS", 12)
+    found = neighbours.search(df, F.col("vec_id") % 3 == 0, k=5, tile_rows=2, query_rows=2, group_tiles=20, stripe_tiles=25)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "], 12" in plan and "Join" not in plan
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
 # -- pipeline ----------------------------------------------------------------------
 
 
