@@ -152,15 +152,18 @@ def links(distinct_fps: DataFrame, radius: int = 4, tile_rows: int = 16384) -> D
         if i + abs(j) <= radius and (i, j) >= (0, 0)
     ]
     steps = F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets)))
-    left = tiles.select("p", "q", F.col("part").alias("part_a"), F.col("fps").alias("left"), steps.alias("d")).select(
-        (F.col("p") + F.col("d.i")).alias("p"),
-        (F.col("q") + F.col("d.j")).alias("q"),
-        "part_a",
-        "left",
-        F.abs("d.j").alias("high_gap"),
-        ((F.col("d.i") == 0) & (F.col("d.j") == 0)).alias("own"),
+    # pairs of tiles by name: the table of counts (at most 33 * 33 rows) says which parts exist,
+    # so no key gathers the tiles of a frequent count
+    names = (
+        tiles.select(F.col("p").alias("p_a"), F.col("q").alias("q_a"), F.col("part").alias("part_a"), steps.alias("d"))
+        .withColumns({"p": F.col("p_a") + F.col("d.i"), "q": F.col("q_a") + F.col("d.j")})
+        .join(F.broadcast(splits), ["p", "q"])
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("own", (F.col("d.i") == 0) & (F.col("d.j") == 0))
+        .filter("not own or part_a <= part")
+        .select("p_a", "q_a", "part_a", "p", "q", "part", F.abs("d.j").alias("high_gap"), "own")
     )
-    pairs = left.join(tiles, ["p", "q"]).filter("not own or part_a <= part")
+    lefts = tiles.select(F.col("p").alias("p_a"), F.col("q").alias("q_a"), F.col("part").alias("part_a"), F.col("fps").alias("left"))
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
     def compare(frames):
@@ -169,13 +172,11 @@ def links(distinct_fps: DataFrame, radius: int = 4, tile_rows: int = 16384) -> D
                 a, b = tile_links(x.astype(np.int64).view(np.uint64), y.astype(np.int64).view(np.uint64), gap, radius, same)
                 yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    # the number is given, so that small tiles with long comparisons are not put together
-    return (
-        pairs.select("left", "fps", "high_gap", (F.col("own") & (F.col("part_a") == F.col("part"))).alias("same"), "p", "q", "part_a", "part")
-        .repartition(tasks, "p", "q", "part_a", "part", "high_gap")
-        .drop("p", "q", "part_a", "part")
-        .mapInPandas(compare, EDGES)
-    )
+    # payloads meet the names tile by tile; the number is given, so that small tiles with
+    # long comparisons are not put together
+    pairs = names.join(lefts, ["p_a", "q_a", "part_a"]).repartition(tasks, "p", "q", "part").join(tiles, ["p", "q", "part"])
+    same = F.col("own") & (F.col("part_a") == F.col("part"))
+    return pairs.select("left", "fps", "high_gap", same.alias("same")).mapInPandas(compare, EDGES)
 
 
 def near_duplicates(
