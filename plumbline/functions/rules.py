@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import trimmed
 
-# The five bands, their synonyms, and where a band leads.
+# The five bands, their synonyms, where a band leads, and the reply to a blocked answer.
 BANDS = ("green", "amber", "red", "unknown", "unsupported")
 SYNONYMS = {"low": "green", "medium": "amber", "high": "red"}
 ROUTES = {"green": "pass", "amber": "review", "red": "retry"}

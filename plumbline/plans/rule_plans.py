@@ -95,6 +95,16 @@ SCORED = """CASE event_id % 8
   ELSE 'not json' END"""
 
 
+TRACED = """CASE event_id % 4
+  WHEN 0 THEN '{"risk_band":"red","trace_score":0.' || CAST(event_id % 10 AS STRING) || ',"request_id":"r' || CAST(event_id AS STRING) || '",
+    "scores":{"groundedness_v2":0.5,"coverage_score_u":0.25,"context_coverage_ratio":0.75,"echo_mean":null},
+    "runtime_decision":{"action":"block","band":null,"reason_codes":["' || event_type || '"]},
+    "context_trust_diagnostics":{"state":"' || event_type || '","n":' || CAST(event_id AS STRING) || '}}'
+  WHEN 1 THEN '{"trace_score":"no number","scores":{"risk_band":" HIGH ","groundedness_v1":0.125}}'
+  WHEN 2 THEN 'not json'
+  ELSE '{"band":"medium","groundedness":"0.875","score":0.25}' END"""
+
+
 def _sql_columns(columns: dict[str, str]) -> str:
     return ", ".join(f"{e} AS {n}" for n, e in columns.items())
 
@@ -452,6 +462,21 @@ def _typed_responses(spark, sf_dir):
     )
 
 
+def _trace_records(spark, sf_dir):
+    typed = L.typed_responses(_events(spark, sf_dir, body=TRACED), "body")
+    record = F.try_parse_json(F.col("metadata"))
+    part = lambda path, kind: F.try_variant_get(record, f"$.{path}", kind)
+    return L.trace_records(typed).select(
+        "event_id",
+        F.array_join(F.array_sort(F.json_object_keys("metadata")), ",").alias("keys"),
+        part("risk_band", "string").alias("risk_band"),
+        *[part(c, "double").alias(c) for c in ("trace_score", "groundedness_v2", "coverage_score_u", "context_coverage_ratio")],
+        part("request_id", "string").alias("request_id"),
+        *[F.get_json_object("metadata", f"$.{c}").alias(c) for c in ("runtime_decision", "scores", "context_trust_diagnostics")],
+        part("raw.trace_score", "double").alias("raw_score"),
+    )
+
+
 def _cited(spark, sf_dir):
     return L.cited_evidence(_typed(spark, sf_dir), "event_id").select("event_id", "index", "support_id", "coverage_score")
 
@@ -506,6 +531,7 @@ QUERIES = {
     "coerce_any_context": _coerce_any,
     "error_counts": lambda s, d: X.error_counts(_classified(s, d)),
     "typed_responses": _typed_responses,
+    "trace_records": _trace_records,
     "cited_evidence": _cited,
     "unsupported_tokens": _unsupported,
     "to_json_rows": _json_rows,
@@ -620,6 +646,19 @@ SELECT event_id, CASE k WHEN 1 THEN 'j' || event_id WHEN 2 THEN 'inner' END AS r
        CASE WHEN k = 5 THEN 0.25::DOUBLE END AS first_g_t,
        CASE WHEN k = 0 THEN event_id END AS extra
 FROM e""",
+    "trace_records": """SELECT event_id,
+       CASE event_id % 4 WHEN 0 THEN 'context_coverage_ratio,context_trust_diagnostics,coverage_score_u,groundedness_v2,raw,request_id,risk_band,runtime_decision,scores,trace_score'
+            WHEN 1 THEN 'raw,risk_band,scores,trace_score' WHEN 2 THEN 'risk_band,trace_score' ELSE 'raw,risk_band,trace_score' END AS keys,
+       CASE event_id % 4 WHEN 2 THEN 'unknown' WHEN 3 THEN 'amber' ELSE 'red' END AS risk_band,
+       CASE event_id % 4 WHEN 0 THEN (event_id % 10)::DOUBLE / 10 WHEN 1 THEN 0.125::DOUBLE WHEN 2 THEN 0::DOUBLE ELSE 0.875::DOUBLE END AS trace_score,
+       CASE WHEN event_id % 4 = 0 THEN 0.5::DOUBLE END AS groundedness_v2, CASE WHEN event_id % 4 = 0 THEN 0.25::DOUBLE END AS coverage_score_u,
+       CASE WHEN event_id % 4 = 0 THEN 0.75::DOUBLE END AS context_coverage_ratio, CASE WHEN event_id % 4 = 0 THEN 'r' || event_id END AS request_id,
+       CASE WHEN event_id % 4 = 0 THEN '{"action":"block","reason_codes":["' || event_type || '"]}' END AS runtime_decision,
+       CASE event_id % 4 WHEN 0 THEN '{"groundedness_v2":0.5,"coverage_score_u":0.25,"context_coverage_ratio":0.75}'
+            WHEN 1 THEN '{"groundedness_v1":0.125,"risk_band":" HIGH "}' END AS scores,
+       CASE WHEN event_id % 4 = 0 THEN '{"n":' || event_id || ',"state":"' || event_type || '"}' END AS context_trust_diagnostics,
+       CASE WHEN event_id % 4 = 0 THEN (event_id % 10)::DOUBLE / 10 END AS raw_score
+FROM events""",
     "cited_evidence": """SELECT event_id, i AS "index", CASE i WHEN 0 THEN 's0' ELSE 's' || event_id END AS support_id,
        CASE WHEN i = 0 THEN 0.3::DOUBLE END AS coverage_score
 FROM events, (VALUES (0::BIGINT), (1::BIGINT)) v(i) WHERE event_id % 8 = 0""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline import products
 from plumbline.functions.clock import instant
 from plumbline.operators import corpus as Q
 from plumbline.operators import grounding as G
@@ -120,6 +121,19 @@ def _annotated(spark, sf_dir):
     return G.annotate_nodes(pairs, units)
 
 
+def _annotated_retrieval(spark, sf_dir):
+    turns = _turns(spark, sf_dir)
+    queries = I.pair_turns(turns).select(F.concat_ws(":", "conv_id", "turn").alias("resp_id"), "query_text")
+    units = I.exchange_units(turns).select(
+        F.concat_ws(":", "conv_id", "resp_turn").alias("resp_id"),
+        "unit_ix",
+        "source_id",
+        "text",
+        F.when(F.col("conv_id") % 5 == 0, "kept").alias("annotation"),
+    )
+    return products.annotate_retrieved(queries, units).select("resp_id", "unit_ix", "annotation")
+
+
 def _exchange(spark, sf_dir):
     return I.exchange_units(_turns(spark, sf_dir)).select(
         "conv_id", "resp_turn", "unit_ix", "source_id", "text"
@@ -200,6 +214,7 @@ QUERIES = {
     "context_chunks": _on_turns(I.context_chunks),
     "exchange_units": _exchange,
     "annotate_nodes": _annotated,
+    "annotate_retrieved": _annotated_retrieval,
     "token_echo": _on_turns(N.token_echo),
     "query_tokens": _on_turns(N.query_tokens),
     "query_context": _lane("reverse_query_context"),

@@ -204,6 +204,32 @@ def rag(
     )
 
 
+def annotate_retrieved(queries: DataFrame, units: DataFrame, **options) -> DataFrame:
+    """``units`` with ``annotation``: the record of scoring what was retrieved for a query, before an answer exists.
+
+    ``queries(resp_id, query_text)``; ``units(resp_id, unit_ix, source_id, text)`` and, if they
+    have one, an ``annotation``, which is kept. The texts of a request's units in order, joined
+    by a space, are scored as the response against the units themselves. Units without a
+    query, or whose request has no text at all, get nothing. ``options`` go to :func:`rag`.
+    """
+    asked = queries.filter(F.col("query_text").isNotNull())
+    held = units.join(asked.select("resp_id").distinct(), "resp_id", "left_semi").filter(F.col("text").isNotNull())
+    in_order = F.array_sort(F.collect_list(F.struct("unit_ix", "text")))
+    joined = held.groupBy("resp_id").agg(F.array_join(F.transform(in_order, lambda u: u["text"]), " ").alias("response_text"))
+    scored = rag(joined.filter(~R.is_empty(F.col("response_text"))), held.select("resp_id", "unit_ix", "source_id", "text"), queries=asked, **options)
+    numbers = [f.name for f in scored.schema.fields if f.dataType.typeName() in ("double", "long", "integer") and f.name != "resp_id"]
+    fields = {
+        "risk_band": F.col("risk_band"),
+        "trace_score": F.col("primary_score"),
+        **{c: F.col(c) for c in ("groundedness_v2", "coverage_score_u", "context_coverage_ratio") if c in numbers},
+        "runtime_decision": F.struct("action", "reason_codes", F.col("risk_band").alias("band")),
+        "scores": F.struct(*numbers),
+    }
+    fresh = scored.select("resp_id", R.trace_metadata(fields).alias("_fresh"))
+    given = F.col("annotation") if "annotation" in units.columns else F.lit(None).cast("string")
+    return units.join(fresh, "resp_id", "left").withColumn("annotation", F.coalesce(given, "_fresh")).drop("_fresh")
+
+
 redact = privacy.redact
 compress_text = compress.compress_text
 compress_messages = compress.compress_messages

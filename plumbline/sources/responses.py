@@ -117,6 +117,29 @@ def typed_responses(logs: DataFrame, body: str, header_id: str | None = None) ->
     )
 
 
+def trace_records(responses: DataFrame) -> DataFrame:
+    """``responses`` (see :func:`typed_responses`) with ``metadata``, the record kept next to an answer.
+
+    JSON of ten fields, nulls left out at every level: the resolved band, the headline score,
+    three scores by name, ``request_id``, the decision, all scores, the diagnostics of context
+    trust and the payload itself.
+    """
+    scores, decision = F.col("scores"), F.col("runtime_decision")
+    direct = [F.try_variant_get("raw", f"$.{name}", "string") for name in ("trace_score", "groundedness", "score")]
+    nested = [scores[name] for name in ("groundedness_v2", "groundedness_v1", "primary_score")]
+    fields = {
+        "risk_band": R.resolve_band(F.col("risk_band"), scores["risk_band"], F.col("band"), decision["band"]),
+        "trace_score": R.resolve_score(*direct, *nested),
+        **{name: scores[name] for name in ("groundedness_v2", "coverage_score_u", "context_coverage_ratio")},
+        "request_id": F.col("request_id"),
+        "runtime_decision": decision,
+        "scores": scores,
+        "context_trust_diagnostics": F.try_variant_get("raw", "$.context_trust_diagnostics", "variant"),
+        "raw": F.col("raw"),
+    }
+    return responses.withColumn("metadata", R.trace_metadata(fields))
+
+
 def unsupported_tokens(responses: DataFrame, key: str) -> DataFrame:
     """``key, token_index, token, heatmap_score, char_start, char_end``: the spans a decision flagged."""
     return T.exploded(responses, [key], F.col("runtime_decision.unsupported_spans"), "_span").select(

@@ -1,5 +1,7 @@
 """The main call keeps every response, whatever its context."""
 
+import json
+
 import pytest
 
 from plumbline import products
@@ -144,3 +146,28 @@ def test_arguments_asked_for_by_name(spark, requests):
     for bad in ({"language": "en", "locale": "de"}, {"response_format": "x"}, {"include_triangular_diagnostics": True}, {"heatmap_format": "x"}):
         with pytest.raises(ValueError):
             products.score_groundedness(responses, units, **bad)
+
+
+def test_annotate_retrieved_scores_the_joined_units(spark):
+    """The record equals that of scoring the joined units by hand; nothing else is touched."""
+    queries = spark.createDataFrame([("a", "How long does a refund take?"), ("b", None), ("c", "x"), ("d", "y")], "resp_id string, query_text string")
+    rows = [
+        ("a", 1, "s1", "It is paid to your card.", None),
+        ("a", 0, "s0", "The refund takes five days.", None),
+        ("a", 2, "s2", None, "kept"),
+        ("b", 0, "s0", "No query here.", None),
+        ("c", 0, "s0", "", None),
+        ("d", 0, "s0", None, None),
+        ("e", 0, "s0", "Nobody asked.", None),
+    ]
+    units = spark.createDataFrame(rows, "resp_id string, unit_ix long, source_id string, text string, annotation string")
+    got = {(r.resp_id, r.unit_ix): r.annotation for r in products.annotate_retrieved(queries, units).collect()}
+    assert len(got) == 7 and got["a", 2] == "kept" and got["a", 0] == got["a", 1]
+    assert [k for k, v in got.items() if v is None] == [k for k in got if k[0] in "bcde"]
+    record = json.loads(got["a", 0])
+    joined = spark.createDataFrame([("a", "The refund takes five days. It is paid to your card.")], "resp_id string, response_text string")
+    by_hand = products.rag(joined, units.filter("resp_id = 'a' and text is not null").drop("annotation"), queries=queries).first()
+    assert record["risk_band"] == by_hand.risk_band == record["runtime_decision"]["band"]
+    assert record["trace_score"] == by_hand.primary_score and record["runtime_decision"]["action"] == by_hand.action
+    assert record["scores"]["query_context"] == by_hand.query_context
+    assert products.annotate_retrieved(queries, units.limit(0)).count() == 0
