@@ -34,14 +34,19 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each near-duplicate group.
 
-    Repeated rows of that id leave one row. Rows without an id cannot be named and stay.
+    An id names one document, so unlike texts of one id are one group, too, and one row
+    of that id stays: of its texts that stand for a group, the one of the least
+    fingerprint, and of equal fingerprints the least row. Rows without an id cannot be
+    named and stay.
     """
     found = simhash.near_duplicates(docs, shingle=4, radius=4)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
+    kept = found.filter("doc_id = component_id").groupBy("doc_id").agg(F.min("fp").alias("fp"))
+    whole = simhash.fingerprints(docs.filter("doc_id is not null").select(F.struct(*docs.columns).alias("row"), "text"), "row")
     # what is kept grows with the input, so texts meet it by shuffle at every size; the
-    # rows of an id are together then, and dropping repeated ones needs no second shuffle
-    named = docs.filter("doc_id is not null").join(kept.hint("merge"), "doc_id").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.filter("doc_id is null").select(*docs.columns))
+    # rows of an id and fingerprint are together then, and choosing one needs no second shuffle
+    named = whole.withColumn("doc_id", F.col("row.doc_id")).join(kept.hint("merge"), ["doc_id", "fp"])
+    least = named.groupBy("doc_id", "fp").agg(F.min("row").alias("row")).select("row.*")
+    return least.unionByName(docs.filter("doc_id is null"))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
