@@ -85,7 +85,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: i
     The documents are those whose id hashes below a share taken from one count of the
     labels. Several labels of one id count as the largest. The ids of the sample,
     bounded by ``bound``, are broadcast, so the documents are filtered where they are
-    read.
+    read. Where ids repeat so often that their rows are more than twice ``bound``, equal
+    rows count once and a hash of the whole row chooses among the rest.
     """
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
@@ -95,7 +96,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: i
     n = known.count()
     share = min(1.0, bound / n) if n else 1.0
     picked = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share * float(1 << 20))
-    return docs.join(F.broadcast(picked), "doc_id")
+    rows = docs.select("doc_id").join(F.broadcast(picked), "doc_id").count()
+    found = docs.join(F.broadcast(picked), "doc_id")
+    if rows <= 2 * bound:
+        return found
+    return found.filter(F.pmod(F.xxhash64(*docs.columns), F.lit(1 << 20)) < bound / rows * float(1 << 20)).dropDuplicates()
 
 
 _held: dict[str, object] = {}

@@ -12,19 +12,19 @@ words of a length class. Distinct words meet once per task and cache fill.
 
 from __future__ import annotations
 
-import re
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.llm.common import crc_bucket, map_rows, per_worker
 
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")  # letters by Unicode category, so no superscripts or fractions
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 CACHE_WORDS = 200_000
 SPACE = "▁"
@@ -170,8 +170,8 @@ def words_of(text: str | None) -> list[str]:
     return LETTERS.findall(text.lower()) if text else []
 
 
-def _sample(docs: DataFrame, id_col: str, lang_col: str, sample_docs: int) -> DataFrame:
-    """About ``sample_docs`` documents of each language, chosen by a hash of the id.
+def _sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample_docs: int) -> DataFrame:
+    """About ``sample_docs`` documents of each language, chosen by a hash of id and text, equal rows once.
 
     Counts per language reach the driver: one row per language, not per document.
     """
@@ -181,7 +181,8 @@ def _sample(docs: DataFrame, id_col: str, lang_col: str, sample_docs: int) -> Da
     share = F.create_map(
         *(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, sample_docs / n)))
     )
-    return docs.filter(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < share[F.col(lang_col)] * float(1 << 20))
+    chosen = F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < share[F.col(lang_col)] * float(1 << 20)
+    return docs.filter(chosen).dropDuplicates([id_col, text_col, lang_col])
 
 
 def fit(
@@ -206,7 +207,7 @@ def fit(
         return [p[0] for p in pairs], [p[1] for p in pairs]
 
     counted = (
-        map_rows(_sample(known, id_col, lang_col, sample_docs), [text_col, lang_col], spell, schema)
+        map_rows(_sample(known, id_col, text_col, lang_col, sample_docs), [text_col, lang_col], spell, schema)
         .groupBy("lang", "word")
         .count()
         .toArrow()

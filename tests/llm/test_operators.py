@@ -604,6 +604,34 @@ def test_pipeline_stages(spark, docs, odd):
     assert labels
 
 
+def test_one_of_each_group_where_ids_clash(spark):
+    """An id with unlike texts: one row stays, and its text is of a group that the id stands for."""
+    a, b, c = ("first text about cats and dogs", "another thing entirely, rivers or hills", "numbers one two three four five six")
+    rows = [(3, a), (5, a), (5, b), (9, b), (5, b), (5, c), (None, a), (7, None), (8, "")]
+    df = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.one_of_each(spark, df, SF).collect()]
+    ids = sorted((i for i, _ in kept), key=str)
+    assert ids == sorted([3, 5, 7, None], key=str) and (3, a) in kept and (None, a) in kept and dict(kept)[5] in (b, c)
+
+
+def test_labelled_sample_is_bounded_by_rows(spark):
+    labels = spark.range(0, 40).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    one = spark.range(2000).selectExpr("CAST(1 AS BIGINT) AS doc_id", "CAST(id AS STRING) AS text")
+    same = spark.range(2000).selectExpr("CAST(2 AS BIGINT) AS doc_id", "'again' AS text")
+    rest = spark.range(40).selectExpr("id AS doc_id", "'once' AS text")
+    assert labelled_sample(one.union(same).union(rest), labels, "quality", 100).count() < 200
+    assert labelled_sample(rest, labels, "quality", 100).count() == labelled_sample(rest, labels, "quality", 10**6).count() > 20
+
+
+def test_language_letters_and_sample(spark):
+    for text in ("\u00b2\u00b3 \u00bd", "\u216b \u2460", "12 34 _", ""):
+        assert langid.words_of(text) == []
+    assert langid.words_of("Na\u00efve \u65e5\u672c x\u00b2") == ["na\u00efve", "\u65e5\u672c", "x"]
+    rows = [(None, f"word{i}", "en") for i in range(3000)] + [(7, "same words", "en")] * 3000
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert langid._sample(df, "doc_id", "text", "lang", 300).count() < 400
+
+
 def test_pipeline_on_odd_rows(spark, odd):
     given = odd.select("doc_id", "text", "lang", "source", "n_chars")
     unique = corpus_pipeline.one_of_each(spark, given, SF)
