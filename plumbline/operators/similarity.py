@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions import skew
+from plumbline.functions.meet import meet
 from plumbline.functions.text import exploded, r6
 from plumbline.session import materialise
 
@@ -63,18 +64,20 @@ def similar_terms(
 
     Both frames hold ``group, term`` without repeats. They meet on group and gram, so a pair
     is looked at only if it shares one of the rarest grams of both; it is then counted
-    once, however many grams it shares.
+    once, however many grams it shares. Terms travel by group, a row each, and pairs not at all.
     """
     known = materialise(prefixes(asked.select("term").union(held.select("term")), threshold, size), "prefixes")
 
     def indexed(rows: DataFrame, term: str, n: str) -> DataFrame:
-        placed = rows.join(known, "term").select(group, F.col("term").alias(term), F.col("n_grams").alias(n), "prefix")
-        return exploded(placed, [group, term, n], F.col("prefix"), "gram")
+        return rows.join(known, "term").select(group, F.col("term").alias(term), F.col("n_grams").alias(n), F.array_join("prefix", "").alias("prefix"))
+
+    def cut(prefix: Column) -> Column:
+        # all grams are ``size`` long, but for a short term's only one
+        return F.regexp_extract_all(prefix, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
     share = threshold / (2 - threshold) - 1e-9
     met = (
-        indexed(asked, "term", "_n")
-        .join(indexed(held, "matched_term", "_m"), [group, "gram"])
+        meet(indexed(asked, "term", "_n"), indexed(held, "matched_term", "_m"), group, "prefix", "gram", cut)
         .filter((F.col("_m") >= F.col("_n") * share) & (F.col("_n") >= F.col("_m") * share))
         .select(group, "term", "matched_term", "_n", "_m")
         .distinct()

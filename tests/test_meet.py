@@ -13,6 +13,7 @@ from plumbline.functions import text as T
 from plumbline.functions.meet import meet
 from plumbline.operators import claims as C
 from plumbline.operators import grounding as G
+from plumbline.operators import similarity
 
 
 def exchanges(df):
@@ -73,3 +74,10 @@ def test_terms_travel_once(plain):
     claims = C.claim_verification(responses, units)
     assert not [e for e in exchanges(claims) if "unit_ix" in e and "term" in e]
     assert not [e for e in exchanges(G.matched(G.response_terms(responses), units).groupBy("resp_id", "unit_ix").count()) if "unit_ix" in e]
+
+
+def test_similar_pairs_stay(plain):
+    """Pairs that share a gram are counted where they met, not dealt by pair."""
+    rows = plain.createDataFrame([(1, "singing"), (1, "sing"), (2, "singen")], "resp_id long, term string")
+    found = similarity.similar_terms(rows, rows, "resp_id")
+    assert not [e for e in exchanges(found) if "gram" in e or "matched_term" in e and "resp_id" in e]
