@@ -13,7 +13,8 @@ partner or candidate is capped.
 Equal sets are one node. Pairs are not listed: the nodes of a band meet its hub, the node
 that shares most, and are confirmed against it in slots of ``UNIT`` nodes. Bands whose
 nodes are then still in several components are compared in tiles of ``TILE`` by ``TILE``
-registers, and only nodes with a hopeful partner in another component bring their sets.
+registers, those of one hub together, and only nodes with a hopeful partner in another
+component bring their sets.
 Tasks report forests. Where very many texts are alike by less than the threshold, tiles
 grow with the square of their number: that is the price of losing no link.
 """
@@ -277,9 +278,10 @@ def _star_units(shared: DataFrame, unit: int) -> DataFrame:
 def _tile_units(shared: DataFrame, roots: DataFrame, tile: int) -> DataFrame:
     """The nodes of bands that hold several components beside their hub, in pairs of tiles.
 
-    Bands of the same nodes count once. All have met the hub already.
+    Bands of the same nodes count once, and bands of one hub, which mostly hold the same
+    nodes, are taken together where that makes fewer rows. All have met the hub already.
     """
-    labelled = shared.filter("node != hub").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
+    labelled = shared.filter("node != hub").join(roots, "node", "left").select("key", "hub", "node", F.coalesce("root", "node").alias("comp"))
     mixed = _per_key(
         labelled,
         "key",
@@ -291,16 +293,25 @@ def _tile_units(shared: DataFrame, roots: DataFrame, tile: int) -> DataFrame:
         y=(F.bit_xor, F.xxhash64("node", F.lit(1))),
     ).filter("low != high")
     once = with_group_min(mixed.withColumn("same", _unit(F.col("size"), F.col("x"), F.col("y"))), "same", "key", "least_key", ["node"])
+    first = F.row_number().over(Window.partitionBy("hub", "node").orderBy("key")) == 1
+    placed = materialise(
+        once.filter("key = least_key").select("key", "hub", "node", "comp", "size", first.alias("first")), "mixed"
+    )
     parts = F.ceil(F.col("size") / tile).cast("int")
+    by_hub = _per_key(placed, "hub", "node", whole=(F.sum, F.col("first").cast("bigint")), apart=(F.sum, parts))
+    together = F.col("whole") * F.ceil(F.col("whole") / tile) <= F.col("apart")
     mine, other = F.pmod(F.xxhash64("node", F.lit(2)), F.col("parts")).cast("int"), F.col("other")
     rows = (
-        once.filter("key = least_key")
+        by_hub.withColumn("together", together)
+        .filter("first or not together")
+        .withColumn("group", F.when(F.col("together"), F.hex("hub")).otherwise(F.col("key").cast("string")))
+        .withColumn("size", F.when(F.col("together"), F.col("whole")).otherwise(F.col("size")))
         .withColumn("parts", parts)
         .withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     )
     side = F.when(F.col("mine") == other, 2).when(F.col("mine") < other, 0).otherwise(1)
-    unit = _unit(F.col("key"), F.least("mine", "other"), F.greatest("mine", "other"))
+    unit = _unit(F.col("group"), F.least("mine", "other"), F.greatest("mine", "other"))
     return rows.select(unit.alias("unit"), side.alias("side"), "node", "comp")
 
 

@@ -141,3 +141,28 @@ def test_query_and_empty_table(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
     assert hyperminhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
     assert hyperminhash.near_duplicates(spark.createDataFrame([(1, None), (2, "")], DOCS)).count() == 2
+
+
+def test_bands_of_one_hub_are_taken_together(spark):
+    """Each of 30 bands lacks some nodes of one group: its nodes come once per pair of tiles, and pairs of a band still meet."""
+    name = lambda i: f"n{i:03d}".encode()
+    members = {k: [i for i in range(100) if i % 30 != k % 30] for k in range(30)} | {90: [5, 200]}
+    rows = [(k, name(i), b"hub") for k, found in members.items() for i in found] + [(k, b"hub", b"hub") for k in members]
+    # bands that share a hub and no node are dearer together
+    rows += [(100 + k, name(300 + 10 * k + i), b"far") for k in range(20) for i in range(10)]
+    shared = spark.createDataFrame(rows, "key long, node binary, hub binary")
+    roots = spark.createDataFrame([(name(1), name(0))], "node binary, root binary")
+    units = {}
+    for r in hyperminhash._tile_units(shared, roots, 10).collect():
+        units.setdefault(r.unit, []).append((r.side, bytes(r.node), bytes(r.comp)))
+    near = [u for u in units.values() if any(n < name(300) for _, n, _ in u)]
+    assert sum(map(len, near)) <= 101 * 11
+    met = set()
+    for rows_ in units.values():
+        for s, a, _ in rows_:
+            met |= {frozenset((a, b)) for t, b, _ in rows_ if a != b and (s == t == 2 or {s, t} == {0, 1})}
+    wanted = {frozenset((name(a), name(b))) for found in members.values() for a in found for b in found if a != b}
+    wanted |= {frozenset((name(300 + 10 * k + i), name(300 + 10 * k + j))) for k in range(20) for i in range(10) for j in range(i)}
+    assert wanted <= met
+    assert sum(len(u) for u in units.values() if u not in near) <= 200 * 2
+    assert {c for u in near for _, n, c in u if n == name(1)} == {name(0)}
