@@ -1,15 +1,18 @@
 """Text primitives: tokens, segments and their offsets.
 
-All of it is built-in expressions, no Python worker. Offsets count code points,
-start at 0 and end exclusive.
+Texts are cut by built-in expressions; only the lengths of tokens go to a Python
+worker, to be summed. Offsets count code points, start at 0 and end exclusive.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 # What counts as a token, a segment end, an atom end, blank space.
 TOKEN = r"[\p{L}\p{N}]+"
@@ -70,6 +73,16 @@ def running_totals(lengths: Column) -> Column:
     return let(lengths, start)
 
 
+@F.arrow_udf(ArrayType(LongType()))
+def summed(lengths: pa.Array) -> pa.Array:
+    """As :func:`running_totals` of arrays without nulls, a batch of rows at a time; not for use inside a lambda."""
+    counts = lengths.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(counts)])
+    totals = np.concatenate([[0], np.cumsum(lengths.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = totals[1:] - np.repeat(totals[starts[:-1]], counts)
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ends), mask=lengths.is_null())
+
+
 def tokens(text: Column) -> Column:
     """Lower-case tokens in order, repeats kept."""
     return F.transform(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), F.lower)
@@ -139,11 +152,7 @@ def token_parts(text: Column) -> Column:
     def found(group: int) -> Column:
         return F.regexp_extract_all(text, F.lit(GAP_AND_TOKEN), F.lit(group))
 
-    return F.zip_with(
-        found(2),
-        running_totals(F.transform(found(0), F.length)),
-        lambda t, e: F.struct(t.alias("token"), e.alias("end")),
-    )
+    return F.arrays_zip(found(2).alias("token"), summed(F.transform(found(0), F.length)).alias("end"))
 
 
 def token_rows(df: DataFrame, keys: list[str], text: str) -> DataFrame:
