@@ -10,13 +10,12 @@ from plumbline.operators import grounding as G
 from plumbline.operators import record
 from plumbline.plans import sqlparts as S
 from plumbline.sources.interactions import document_units, split_documents
-from plumbline.sources.tables import read_table
+from plumbline.sources.tables import read_table, spread
 
 
 def requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Responses and support units of the documents table."""
-    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
-    split = split_documents(docs)
+    split = split_documents(spread(read_table(spark, sf_dir, "documents", "doc_id", "text")))
     return split.select("resp_id", "response_text"), document_units(split)
 
 

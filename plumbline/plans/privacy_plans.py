@@ -11,7 +11,7 @@ from plumbline.operators import compress as K
 from plumbline.operators import names
 from plumbline.operators import privacy as E
 from plumbline.plans import sqlparts as S
-from plumbline.sources.tables import read_table
+from plumbline.sources.tables import read_table, spread
 
 CUSTOM = (("licence", r"[Ll]icen[cs]ed?"), ("hex_id", r"[0-9a-f]{40}"))
 
@@ -111,13 +111,13 @@ QUERIES = {
     "redaction_usage": _usage,
     "entity_cube": lambda s, d: E.entity_cube(_docs(s, d, "lang", "source"), ["lang", "source"]),
     "redact_column": _column,
-    "keep_scores": lambda s, d: K.keep_scores(_docs(s, d), ["doc_id"]),
+    "keep_scores": lambda s, d: K.keep_scores(spread(_docs(s, d)), ["doc_id"]),
     "preserved_terms": _preserved,
-    "compress_text": lambda s, d: K.compress_text(_docs(s, d), ["doc_id"]).select(
+    "compress_text": lambda s, d: K.compress_text(spread(_docs(s, d)), ["doc_id"]).select(
         "doc_id", "compressed_text", "tokens_after"
     ),
     "compression_stats": lambda s, d: K.compress_text(
-        _docs(s, d), ["doc_id"], target_token_ratio=0.4
+        spread(_docs(s, d)), ["doc_id"], target_token_ratio=0.4
     ).drop("compressed_text"),
     "compress_messages": lambda s, d: K.compress_messages(_turns(s, d)),
 }

@@ -53,6 +53,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows dealt evenly over the tasks, whatever files and row groups they came in.
+
+    A row group is never shared between tasks, so a table in a few large ones keeps a few cores busy,
+    however many there are. Meant for rows that cost much more to work on than to move.
+    """
+    return df.repartition(F.xxhash64(*df.columns))
+
+
 def read_interactions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Interactions from files with the explicit schema; ``fmt`` json, parquet or orc."""
     return spark.read.schema(INTERACTION).format(fmt).load(path)
