@@ -6,9 +6,13 @@ to its nearest centroid; a set is listed under the centroids of its vectors, and
 scored only against sets listed under the centroids nearest to its own vectors, ``probes``
 for each. With as many probes as centroids the lists are complete and the result exact.
 
-Scores of candidates are exact in any case. They are computed where a part of a list meets
-its queries: a task holds ``LIST_PART`` sets and streams the queries, and only each
-query's best of that part leave it.
+Every set lies in one part, with the sets that have most of their vectors in the same list, and
+brings its lists along. A part of about ``LIST_PART`` sets meets a block of the queries that probe
+one of its lists, so a query meets a set once, however many lists they share, and only each
+query's best of that part leave the task.
+
+Scores of candidates are exact in any case. A first pass in single precision leaves out sets that
+cannot be among the best by more than its largest possible error; the others are scored in double.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -29,7 +33,13 @@ CENTROIDS = 32
 PROBES = 4
 SAMPLE = 8192
 STEPS = 8
-LIST_PART = 512
+LIST_PART = 4096  # sets of ``SET_SIZE`` vectors held by a task
+SET_SIZE = 8
+QUERY_BLOCK = 4096  # queries that meet a part in one task
+LEAST_BLOCK = 256
+UNITS = 32  # parts times blocks, where there are queries enough
+COLUMNS = 256  # sets and vectors of queries scored by one product: small enough for a core's cache
+QUERY_VECTORS = 512
 
 
 def _unit_length(vectors: np.ndarray) -> np.ndarray:
@@ -71,8 +81,10 @@ def _vectors(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def probed(sets: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
-    """``set_id, centroid``: the ``probes`` centroids nearest to each vector of a set, once each."""
-    schema = T.StructType([sets.schema["set_id"], T.StructField("centroid", T.IntegerType())])
+    """``set_id, vectors, lists, home``: the ``probes`` centroids nearest to each vector of a set, once
+    each, and the one that is nearest to most of them."""
+    fields = [T.StructField("lists", T.ArrayType(T.IntegerType())), T.StructField("home", T.IntegerType())]
+    schema = T.StructType([sets.schema["set_id"], sets.schema["vectors"], *fields])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,20 +93,109 @@ def probed(sets: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
             if not len(vectors):
                 continue
             near = np.argsort(-(vectors @ centres.T), axis=1, kind="stable")[:, :probes]
-            lists = [np.unique(near[a:b]) for a, b in zip(starts, starts[1:])]
-            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(lists)), [len(x) for x in lists])))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(lists), pa.int32())], schema=arrow)
+            pairs = list(zip(starts, starts[1:]))
+            lists = [np.unique(near[a:b]) for a, b in pairs]
+            homes = [np.bincount(near[a:b, 0]).argmax() for a, b in pairs]
+            ends = np.cumsum([0, *map(len, lists)])
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(lists), pa.int32()))
+            columns = [batch.column(0), batch.column(1), listed, pa.array(homes, pa.int32())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     return sets.select("set_id", "vectors").mapInArrow(run, schema)
 
 
+def _marks(lists: pa.ListArray, width: int) -> np.ndarray:
+    """A row per set with 1 at the places of its lists."""
+    marks = np.zeros((len(lists), width), np.float32)
+    marks[np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), lists.flatten().to_numpy()] = 1
+    return marks
+
+
+class _Part:
+    """The sets of a part; ``pieces`` hold names, unit vectors, sizes and marks of some of them each."""
+
+    def __init__(self, pieces: list[tuple[list, np.ndarray, np.ndarray, np.ndarray]]):
+        self.names = [name for piece in pieces for name in piece[0]]
+        self.vectors, self.sizes, self.marks = (np.concatenate([piece[i] for piece in pieces]) for i in (1, 2, 3))
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.order = np.array(self.names)
+        self.places: dict = {}
+        for i, name in enumerate(self.names):
+            self.places.setdefault(name, []).append(i)
+        self.repeats = max(map(len, self.places.values()))
+        # the first vectors of some sets, their second ones and so on, long sets first
+        self.blocks = []
+        for first in range(0, len(self.names), COLUMNS):
+            members = first + np.argsort(-self.sizes[first : first + COLUMNS], kind="stable")
+            counts = [np.count_nonzero(self.sizes[members] > j) for j in range(self.sizes[members[0]])]
+            planes = [self.vectors[self.starts[members[:n]] + j].astype(np.float32).T for j, n in enumerate(counts)]
+            self.blocks.append((members, planes))
+
+    def rough(self, vectors: np.ndarray, starts: np.ndarray, sizes: np.ndarray, may: np.ndarray | None) -> np.ndarray:
+        """Scores of some queries with all sets in single precision; minus infinity where not ``may``."""
+        own = vectors.astype(np.float32)
+        scores = np.full((len(sizes), len(self.names)), -np.inf, np.float32)
+        for members, planes in self.blocks:
+            if may is not None and not may[:, members].any():
+                continue
+            best = own @ planes[0]
+            for plane in planes[1:]:
+                some = best[:, : plane.shape[1]]
+                np.maximum(some, own @ plane, out=some)
+            scores[:, members] = np.add.reduceat(best, starts, axis=0) / sizes[:, None].astype(np.float32)
+        scores[np.isnan(scores)] = -4  # after all numbers, as when sorted
+        if may is not None:
+            scores[~may] = -np.inf
+        return scores
+
+    def exact(self, own: np.ndarray, members: np.ndarray) -> np.ndarray:
+        """Scores of a query with some sets."""
+        sizes = self.sizes[members]
+        places = np.cumsum(sizes) - sizes
+        rows = np.repeat(self.starts[members] - places, sizes) + np.arange(sizes.sum())
+        return np.maximum.reduceat(own @ self.vectors[rows].T, places, axis=1).mean(axis=0).round(6)
+
+    def best(self, names: list, vectors: np.ndarray, sizes: np.ndarray, marks: np.ndarray, k: int) -> Iterator[tuple]:
+        """``query, set, score`` of the ``k`` best sets for each of some queries."""
+        starts = np.cumsum(sizes) - sizes
+        may = marks @ self.marks.T > 0 if marks.shape[1] else None
+        scores = self.rough(vectors, starts, sizes, may)
+        for i, name in enumerate(names):
+            scores[i, self.places.get(name, [])] = -np.inf
+        # two errors of unit vectors' products and of the mean, and the rounding
+        margin = 2 * (vectors.shape[1] + sizes.max() + 4) * 2.0**-23 + 1e-6
+        worst = max(len(self.names) - k * self.repeats, 0)
+        least = np.maximum(np.partition(scores, worst, axis=1)[:, worst] - margin, -5)
+        for i, name in enumerate(names):
+            members = np.flatnonzero(scores[i] >= least[i])
+            if not len(members):
+                continue
+            exact = self.exact(vectors[starts[i] : starts[i] + sizes[i]], members)
+            chosen: dict = {}
+            for j in np.lexsort((self.order[members], -exact)).tolist():
+                chosen.setdefault(self.names[members[j]], float(exact[j]))
+                if len(chosen) == k:
+                    break
+            yield from ((name, other, score) for other, score in chosen.items())
+
+
+def _chunks(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of queries with about ``QUERY_VECTORS`` vectors, at least one each."""
+    first, ends = 0, np.cumsum(sizes)
+    while first < len(sizes):
+        after = ends[first] - sizes[first] + QUERY_VECTORS
+        last = max(int(np.searchsorted(ends, after, "right")), first + 1)
+        yield first, last
+        first = last
+
+
 def maxsim_topk(
     queries: DataFrame, sets: DataFrame, k: int = 5, centroids: int = CENTROIDS, probes: int = PROBES, part: int = LIST_PART
 ) -> DataFrame:
     """``query_id, rank, set_id, maxsim``: the ``k`` candidate sets most similar to each query.
 
     ``queries`` and ``sets`` hold ``set_id, vectors``; a query never meets the set of its
-    own id. Ties go to the lesser ``set_id``. Sets without vectors take no part; a vector of no
+    own id. Ties go to the lesser ``set_id``. Sets without vectors or id take no part; a vector of no
     length has cosine 0 with all. ``probes >= centroids`` searches everything.
     """
     usable = F.size(F.filter("vectors", lambda v: v.isNotNull() & ~F.exists(v, lambda x: x.isNull()))) == F.size("vectors")
@@ -103,53 +204,75 @@ def maxsim_topk(
     centres = fit_centroids(sets, centroids)
     own = sets.schema["set_id"]
     schema = T.StructType([T.StructField("query_id", own.dataType), own, T.StructField("maxsim", T.DoubleType())])
-    if not len(centres):
+    queries, sets = queries.filter("set_id is not null"), sets.filter("set_id is not null")
+    # a row per centroid, whatever the input
+    listed = materialise(probed(sets, centres, 1), "lists") if len(centres) else None
+    homes = listed.groupBy("home").agg(F.count(F.lit(1)), F.sum(F.size("vectors"))).orderBy("home").collect() if listed else []
+    if not homes:
         empty = queries.sparkSession.createDataFrame([], schema)
         return empty.select("query_id", F.lit(0).cast("bigint").alias("rank"), "set_id", "maxsim")
-    listed = materialise(probed(sets, centres, 1), "lists")
-    # a row per centroid, whatever the input
-    parts = listed.groupBy("centroid").agg(F.ceil(F.count(F.lit(1)) / part).cast("int").alias("parts"))
-    members = listed.join(F.broadcast(parts), "centroid").select(
-        "set_id", "centroid", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int").alias("part"), F.lit(0).alias("tag")
-    )
-    asking = probed(queries, centres, probes).join(F.broadcast(parts), "centroid").select(
-        "set_id", "centroid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(1).alias("tag")
+    complete, width = probes >= len(centres), len(centres)
+    total = sum(n for _, n, _ in homes)
+    parts = int(np.ceil(max(total, sum(n for *_, n in homes) / SET_SIZE) / part))
+    asked = queries.count()
+    blocks = max(-(-asked // QUERY_BLOCK), min(-(-asked // LEAST_BLOCK), -(-UNITS // parts)), 1)
+
+    # sets of one home lie side by side, so few parts hold a list
+    counts = dict.fromkeys(range(width), 0) | {home: n for home, n, _ in homes}
+    begins = np.cumsum([0, *counts.values()])
+    mixed = F.xxhash64("set_id", "vectors")
+    share = F.pmod(mixed, F.lit(1 << 30)) / float(1 << 30)
+
+    def of_home(values) -> Column:
+        return F.element_at(F.array(*[F.lit(float(v)) for v in values]), F.col("home") + 1)
+
+    place = F.floor((of_home(begins[:-1]) + share * of_home(counts.values())) * (parts / total))
+    members = listed.withColumn("part", F.least(place, F.lit(parts - 1)).cast("int"))
+    asking = probed(queries, centres, probes).withColumn("block", F.pmod(mixed, F.lit(blocks)).cast("int"))
+    if complete:
+        asking = asking.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    else:
+        held = members.groupBy("part").agg(F.array_distinct(F.flatten(F.collect_set("lists"))).alias("held"))
+        held = held.select("part", "held", F.explode("held").alias("centroid"))
+        # once for each part, by the first list of those shared
+        first = F.array_min(F.array_intersect("lists", "held")) == F.col("centroid")
+        asking = asking.withColumn("centroid", F.explode("lists")).join(F.broadcast(held), "centroid").filter(first)
+    members = members.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    unit = (F.col("part") * blocks + F.col("block")).alias("unit")
+    rows = members.select(unit, F.lit(0).alias("tag"), "home", "set_id", "vectors", "lists").unionByName(
+        asking.select(unit, F.lit(1).alias("tag"), "home", "set_id", "vectors", "lists")
     )
-    rows = members.join(sets, "set_id").unionByName(asking.join(queries, "set_id"))
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, ids, held, places = None, [], [], None
+        at, pieces, held = None, [], None
         for batch in batches:
             vectors, starts = _vectors(batch.column(4))
+            sizes, names = np.diff(starts), batch.column(3).to_pylist()
+            marks = np.zeros((len(names), 0), np.float32) if complete else _marks(batch.column(5), width)
+            keys = [batch.column(c).to_numpy() for c in (0, 1)]
+            cuts = np.flatnonzero((np.diff(keys[0]) != 0) | (np.diff(keys[1]) != 0)) + 1
             out: list[tuple] = []
-            names = batch.column(3).to_pylist()
-            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in range(3)))):
-                own = vectors[starts[i] : starts[i + 1]]
-                if row[:2] != unit:
-                    unit, ids, held, places = row[:2], [], [], None
-                if row[2] == 0:
-                    ids.append(names[i])
-                    held.append(own)
+            for a, b in zip([0, *cuts], [*cuts, len(names)]):
+                if keys[0][a] != at:
+                    at, pieces, held = keys[0][a], [], None
+                if keys[1][a] == 0:
+                    pieces.append((names[a:b], vectors[starts[a] : starts[b]], sizes[a:b], marks[a:b]))
                     continue
-                if not ids:  # a part that no set was hashed to
+                if not pieces:  # a part that no set was hashed to
                     continue
-                if places is None:
-                    tile = np.concatenate(held)
-                    places = np.cumsum([0, *map(len, held[:-1])])
-                    order = np.array(ids)
-                scores = np.maximum.reduceat(own @ tile.T, places, axis=1).mean(axis=0).round(6)
-                best = [j for j in np.lexsort((order, -scores))[: k + 1].tolist() if ids[j] != names[i]][:k]
-                out += [(names[i], ids[j], float(scores[j])) for j in best]
+                held = held or _Part(pieces)
+                for c, d in _chunks(sizes[a:b]):
+                    c, d = a + c, a + d
+                    out += held.best(names[c:d], vectors[starts[c] : starts[d]], sizes[c:d], marks[c:d], k)
             columns = zip(*out) if out else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
     found = (
-        rows.select("centroid", "part", "tag", "set_id", "vectors")
-        .repartition("centroid", "part")
-        .sortWithinPartitions("centroid", "part", "tag", "set_id")
+        rows.repartitionById(parts * blocks, F.col("unit"))
+        .sortWithinPartitions("unit", "tag", "home", "set_id")
         .mapInArrow(run, schema)
-        # a set listed under several centroids is found several times
+        # an id may come more than once
         .groupBy("query_id", "set_id")
         .agg(r6(F.max("maxsim")).alias("maxsim"))
     )

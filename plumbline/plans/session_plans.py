@@ -158,9 +158,10 @@ def _maxsim_topk(spark, sf_dir):
 
 def _maxsim_recall(spark, sf_dir):
     """What the few probes of production find of the complete result."""
-    sets = _vector_sets(spark, sf_dir)
+    sets = materialise(_vector_sets(spark, sf_dir), "sets")
     found = late.maxsim_topk(sets, sets, k=5)
-    return late.recall(found, _maxsim_topk(spark, sf_dir)).drop("n_found")
+    exact = late.maxsim_topk(sets, sets, k=5, probes=late.CENTROIDS)
+    return late.recall(found, exact).drop("n_found")
 
 
 def _open_domain(spark, sf_dir):
