@@ -123,6 +123,10 @@ class _Part:
         for i, name in enumerate(self.names):
             self.places.setdefault(name, []).append(i)
         self.repeats = max(map(len, self.places.values()))
+        # of sets with the same vectors, the first
+        firsts: dict = {}
+        spans = zip(self.starts, self.starts + self.sizes)
+        self.like = np.array([firsts.setdefault(self.vectors[a:b].tobytes(), i) for i, (a, b) in enumerate(spans)])
         # the first vectors of some sets, their second ones and so on, long sets first
         self.blocks = []
         for first in range(0, len(self.names), COLUMNS):
@@ -170,7 +174,8 @@ class _Part:
             members = np.flatnonzero(scores[i] >= least[i])
             if not len(members):
                 continue
-            exact = self.exact(vectors[starts[i] : starts[i] + sizes[i]], members)
+            distinct, which = np.unique(self.like[members], return_inverse=True)
+            exact = self.exact(vectors[starts[i] : starts[i] + sizes[i]], distinct)[which]
             chosen: dict = {}
             for j in np.lexsort((self.order[members], -exact)).tolist():
                 chosen.setdefault(self.names[members[j]], float(exact[j]))

@@ -110,3 +110,19 @@ def test_candidates_are_the_sets_of_probed_lists(spark, part):
     got = late.maxsim_topk(sets, sets, k=3, centroids=8, probes=2, part=part).collect()
     assert sorted((r.query_id, r["rank"]) for r in got) == want
     assert all((r.query_id, r.set_id) in meets for r in got)
+
+
+def test_copies_are_scored_once(monkeypatch):
+    rng = np.random.default_rng(7)
+    kinds = [late._unit_length(rng.normal(size=(n, 16))) for n in (3, 1, 4)]
+    rows = [(i, kinds[i % 3] if i % 50 else late._unit_length(rng.normal(size=(2, 16)))) for i in range(600)]
+    sizes, none = np.array([len(v) for _, v in rows]), np.zeros((600, 0), np.float32)
+    held = late._Part([([i for i, _ in rows], np.concatenate([v for _, v in rows]), sizes, none)])
+    scored, exact = [], held.exact
+    monkeypatch.setattr(held, "exact", lambda own, members: scored.append(len(members)) or exact(own, members))
+    some = slice(0, 20)
+    got = list(held.best([i for i, _ in rows[some]], np.concatenate([v for _, v in rows[some]]), sizes[some], none[some], 5))
+    want = plain(rows[some], rows, 5)
+    assert [(q, i) for q, i, _ in got] == [(q, i) for q, _, i, _ in want]
+    assert np.allclose([s for *_, s in got], [s for *_, s in want], atol=1.5e-6)
+    assert len(scored) == 20 and max(scored) <= 15
