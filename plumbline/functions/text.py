@@ -119,7 +119,8 @@ def exploded(df: DataFrame, keys: list[str], array: Column, name: str) -> DataFr
 
 def packed(array: Column) -> Column:
     """An array of terms as one string, a fraction of its size where rows travel; empty arrays are null."""
-    return F.nullif(F.array_join(array, MARK_OPEN), F.lit(""))
+    # nullif would get a name of its own in each plan, and equal shuffles would not be known as such
+    return let(F.array_join(array, MARK_OPEN), lambda s: F.when(s != "", s))
 
 
 def unpacked(text: Column) -> Column:
@@ -146,13 +147,17 @@ def trimmed(text: Column) -> Column:
     return F.regexp_replace(text, OUTER_BLANK, "")
 
 
-def token_parts(text: Column) -> Column:
-    """Tokens in order as ``array<struct<token, end>>``; offsets are running sums inside the row."""
+def token_parts(text: Column, totals: Callable[[Column], Column] = summed) -> Column:
+    """Tokens in order as ``array<struct<token, end>>``; offsets are running sums inside the row.
+
+    After rows were dealt by key, ``totals`` should be :func:`running_totals`: Spark does not know that
+    rows stay where they are in a Python worker and would deal them again.
+    """
 
     def found(group: int) -> Column:
         return F.regexp_extract_all(text, F.lit(GAP_AND_TOKEN), F.lit(group))
 
-    return F.arrays_zip(found(2).alias("token"), summed(F.transform(found(0), F.length)).alias("end"))
+    return F.arrays_zip(found(2).alias("token"), totals(F.transform(found(0), F.length)).alias("end"))
 
 
 def token_rows(df: DataFrame, keys: list[str], text: str) -> DataFrame:

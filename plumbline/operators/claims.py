@@ -12,7 +12,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -20,6 +19,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 
 from plumbline.functions import skew
 from plumbline.functions import text as T
+from plumbline.functions.batches import NO_IX, changes, cut, known_weights, weigh, whole_groups
 from plumbline.functions.text import mean6, r6
 from plumbline.operators import grounding as G
 from plumbline.operators.literals import literal_counts
@@ -36,7 +36,6 @@ NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 GREEN_AT = 0.7
 RED_BELOW = 0.3
 CONTRADICTION_FLOOR = 0.5
-NO_IX = -(1 << 63)
 BLOCK = 1 << 22
 
 
@@ -82,8 +81,7 @@ def best_premises(items: DataFrame, units: DataFrame, ids: list[str], corpus: Da
     """
     keys = ["resp_id", *ids]
     spark = items.sparkSession
-    total = corpus.count()
-    frequency = materialise(G.document_frequency(G.unit_terms(corpus)), "frequencies")
+    frequency, total = G.frequencies(corpus)
     frequent = skew.frequent(frequency, "term", "df")
     hot = frequent.collect()
     rare = (
@@ -138,47 +136,14 @@ def best_premises(items: DataFrame, units: DataFrame, ids: list[str], corpus: Da
     )
 
 
-def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Batches of rows sorted by ``key`` as tables that end where a value of it ends."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        values = batch.column(key)
-        start = values.index(values[-1]).as_py()  # the last value may go on in the next batch
-        if start or (held and held[-1].column(key)[-1] != values[0]):
-            yield pa.Table.from_batches([*held, batch.slice(0, start)])
-            held = []
-        held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
-def _cut(packed: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
-    """All terms of packed rows and the row of each."""
-    lists = pc.split_pattern(pc.fill_null(packed, "").combine_chunks(), T.MARK_OPEN)
-    terms, row = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
-    filled = pc.not_equal(terms, "")
-    return terms.filter(filled), row[filled.to_numpy(zero_copy_only=False)]
-
-
-def _changes(columns: list[pa.ChunkedArray]) -> np.ndarray:
-    """A running number of each row's group, where rows of a group are neighbours."""
-    new = np.zeros(len(columns[0]), bool)
-    for column in columns:
-        codes = column.combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-        new[1:] |= codes[1:] != codes[:-1]
-    return np.cumsum(new)
-
-
 def overlaps(table: pa.Table, keys: list[str], known: pa.Array, weights: np.ndarray, total: int, premises: int, block: int) -> tuple | None:
     """Best units of the items of whole responses, see :func:`best_premises`.
 
     Returns a row and the mass of each item with a unit, the ends of its list, and the lists' units and
     rounded overlaps; None without any. Equal keys are one item, equal numbers one unit.
     """
-    resp, tag = _changes([table.column("resp_id")]), table.column("_tag").to_numpy()
-    terms, row = _cut(table.column("_all"))
+    resp, tag = changes([table.column("resp_id")]), table.column("_tag").to_numpy()
+    terms, row = cut(table.column("_all"))
     encoded = terms.dictionary_encode()
     code, size = encoded.indices.to_numpy(), len(encoded.dictionary)
     met = resp[row].astype(np.int64) * max(size, 1) + code
@@ -186,21 +151,11 @@ def overlaps(table: pa.Table, keys: list[str], known: pa.Array, weights: np.ndar
     if not item.any() or not unit.any():
         return None
     # the weight of every item's term: hot ones by term, rare ones by response and term, the rest unseen
-    at = pc.index_in(encoded.dictionary, value_set=known)
-    hot = at.is_valid().to_numpy(zero_copy_only=False)
-    by_term = np.full(size, np.log(total + 1.0) + 1)
-    by_term[hot] = weights[at.drop_null().to_numpy()]
-    weight = by_term[code[item]]
-    if rare.any():
-        order = np.argsort(met[rare], kind="stable")
-        sought, df = met[rare][order], table.column("_n").to_numpy()[row[rare]][order]
-        place = np.minimum(np.searchsorted(sought, met[item]), len(sought) - 1)
-        same = sought[place] == met[item]
-        weight[same] = np.log((total + 1) / (df[place[same]] + 1.0)) + 1
+    weight = weigh(met[item], size, known_weights(encoded.dictionary, known, weights, total), met[rare], table.column("_n").to_numpy()[row[rare]], total)
     # numbers of items and units inside the table; those of one response are neighbours
     at_item, at_unit = np.flatnonzero(tag == 2), np.flatnonzero(tag == 0)
     item_of = np.zeros(len(tag), np.int64)
-    item_of[at_item] = _changes([table.column(k).take(pa.array(at_item)) for k in keys])
+    item_of[at_item] = changes([table.column(k).take(pa.array(at_item)) for k in keys])
     first = at_item[np.concatenate([[True], np.diff(item_of[at_item]) > 0])]
     order = at_unit[np.lexsort((table.column("_n").to_numpy()[at_unit], resp[at_unit]))]
     pair = np.stack([resp[order], table.column("_n").to_numpy()[order]])
@@ -273,11 +228,9 @@ def verify(
         F.struct(*_facts(F.col("text"))).alias("_premise"),
         F.col("text").alias("_premise_text"),
     )
-    joined = (
-        items.withColumn("_claim", F.struct(*_facts(F.col("text"))))
-        .join(ranked, keys, "left")
-        .join(premise_facts, ["resp_id", "unit_ix"], "left")
-    )
+    # what is known of the best unit joins the narrow rows, so an item's text travels once
+    judged_by = ranked.join(premise_facts, ["resp_id", "unit_ix"], "left")
+    joined = items.withColumn("_claim", F.struct(*_facts(F.col("text")))).join(judged_by, keys, "left")
     differs = (F.col("_claim.parity") != F.col("_premise.parity")) | (
         (F.size("_claim.numbers") > 0)
         & (F.size(F.array_except("_claim.numbers", "_premise.numbers")) > 0)
@@ -403,7 +356,7 @@ def lanes(
 ) -> DataFrame:
     """The single-lane scores of each response; null where a lane does not apply."""
 
-    terms = G.weighted(G.grounded_terms(responses, units), units, ["resp_id", "term"])
+    terms = G.grounded_weights(responses, units)
     mass = F.col("n") * F.col("weight")
     token_lane = terms.groupBy("resp_id").agg(
         r6(F.sum(mass * F.col("g")) / F.sum(mass)).alias("groundedness_v1"),

@@ -1,22 +1,33 @@
 """Groundedness of responses against support units.
 
 Inputs are two tables: ``responses(resp_id, response_text)`` and
-``units(resp_id, unit_ix, source_id, text)``. Everything is an equi-join on
+``units(resp_id, unit_ix, source_id, text)``. Everything meets on
 ``(resp_id, term)`` after tokenising; a token is never compared with all others.
 The scores are lexical measures defined here, not a hosted model's numbers.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+from types import SimpleNamespace
+from weakref import WeakKeyDictionary
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from plumbline.functions import skew
 from plumbline.functions import text as T
+from plumbline.functions.batches import NO_IX, changes, cut, known_weights, weigh, whole_groups
 from plumbline.functions.meet import meet
 from plumbline.functions.text import mean6, r6
 from plumbline.operators import similarity
-from plumbline.session import materialise
+from plumbline.session import materialise, materialise_all
 
 MIN_RUN = 3
 COVERAGE_THRESHOLD = 0.3
@@ -38,9 +49,13 @@ def tokenised(responses: DataFrame, units: DataFrame) -> tuple[DataFrame, DataFr
     Every lane of a score starts from the same terms. Where several lanes are wanted,
     they read the written arrays instead of cutting the texts again.
     """
-    return (
-        materialise(responses.withColumn(TOKENS, T.tokens(F.col("response_text"))), "responses"),
-        materialise(units.withColumn(TERMS, T.distinct_tokens(F.col("text"))), "units"),
+    return tuple(
+        materialise_all(
+            {
+                "responses": responses.withColumn(TOKENS, T.tokens(F.col("response_text"))),
+                "units": units.withColumn(TERMS, T.distinct_tokens(F.col("text"))),
+            }
+        )
     )
 
 
@@ -76,6 +91,19 @@ def document_frequency(terms: DataFrame) -> DataFrame:
     return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+_COUNTED: WeakKeyDictionary[DataFrame, tuple[DataFrame, int]] = WeakKeyDictionary()
+
+
+def frequencies(units: DataFrame) -> tuple[DataFrame, int]:
+    """``term, df`` written to the shared folder and the number of units; once for units that :func:`tokenised` has written."""
+    if units in _COUNTED:
+        return _COUNTED[units]
+    counted = materialise(document_frequency(unit_terms(units)), "frequencies"), units.count()
+    if TERMS in units.columns:
+        _COUNTED[units] = counted
+    return counted
+
+
 def idf(df: Column, total: Column) -> Column:
     """Smoothed inverse frequency; an unseen term has ``df`` 0."""
     return F.log((total + 1) / (F.coalesce(df, F.lit(0)) + 1)) + 1
@@ -93,15 +121,20 @@ def weighted_terms(responses: DataFrame, units: DataFrame) -> DataFrame:
     return weighted(response_terms(responses), units, ["resp_id", "term"])
 
 
-def _said_or_held(responses: DataFrame, units: DataFrame) -> DataFrame:
-    """``resp_id, term, n, g`` of all terms of responses (``n`` times) and units (``g`` 1).
+def _texts_and_terms(responses: DataFrame, units: DataFrame) -> DataFrame:
+    """``resp_id, response_text, _all``: texts and the units' packed terms, dealt by response; once for plans that ask for several results."""
+    none = F.lit(None).cast("string")
+    said = responses.select("resp_id", "response_text", none.alias("_all"))
+    held = units.select("resp_id", none.alias("response_text"), T.packed(term_array(units)).alias("_all"))
+    return said.unionByName(held).repartition("resp_id")
 
-    Both travel by response, terms packed, and one aggregate over them is all.
-    """
-    said = responses.select("resp_id", T.packed(_token_array(responses)).alias("_all"), F.lit(0).alias("_held"))
-    held = units.select("resp_id", T.packed(term_array(units)).alias("_all"), F.lit(1).alias("_held"))
+
+def _said_or_held(responses: DataFrame, units: DataFrame) -> DataFrame:
+    """``resp_id, term, n, g`` of all terms of responses (``n`` times) and units (``g`` 1)."""
+    rows = _texts_and_terms(responses, units).withColumn("_held", F.col("_all").isNotNull().cast("int"))
+    terms = F.when(F.col("_held") == 0, T.tokens(F.col("response_text"))).otherwise(T.unpacked(F.col("_all")))
     return (
-        T.exploded(said.unionByName(held).repartition("resp_id"), ["resp_id", "_held"], T.unpacked(F.col("_all")), "term")
+        T.exploded(rows, ["resp_id", "_held"], terms, "term")
         .groupBy("resp_id", "term")
         .agg(F.count_if(F.col("_held") == 0).alias("n"), _big(F.max("_held")).alias("g"))
     )
@@ -118,12 +151,10 @@ def grounded_positions(responses: DataFrame, units: DataFrame) -> DataFrame:
     Texts and the units' terms travel by response and are only then cut: windows by
     response need no shuffle after it.
     """
-    said = responses.select("resp_id", "response_text", F.lit(None).cast("string").alias("_all"))
-    held = units.filter(F.col("resp_id").isNotNull()).select("resp_id", F.lit(None).cast("string").alias("response_text"), T.packed(term_array(units)).alias("_all"))
-    parts = F.when(F.col("_all").isNull(), T.token_parts(F.col("response_text"))).otherwise(
+    parts = F.when(F.col("_all").isNull(), T.token_parts(F.col("response_text"), T.running_totals)).otherwise(
         F.transform(T.unpacked(F.col("_all")), lambda t: F.struct(t.alias("token"), F.lit(None).cast("bigint").alias("end")))
     )
-    rows = T.positions(said.unionByName(held).repartition("resp_id"), ["resp_id"], parts, "ix", "_part")
+    rows = T.positions(_texts_and_terms(responses, units.filter(F.col("resp_id").isNotNull())), ["resp_id"], parts, "ix", "_part")
     end, token = F.col("_part.end"), F.col("_part.token")
     same = Window.partitionBy("resp_id", "term")
     return (
@@ -140,26 +171,123 @@ def matched(items: DataFrame, units: DataFrame) -> DataFrame:
     return meet(items.withColumnRenamed("term", "_all"), held, "resp_id", "_all", "term")
 
 
-def _matches(responses: DataFrame, units: DataFrame) -> DataFrame:
-    """Response terms found in a unit: ``resp_id, unit_ix, term, n, weight``."""
-    return matched(weighted_terms(responses, units), units)
+UNIT, RARE, SAID, FOUND = range(4)
+
+
+def _by_response(
+    responses: DataFrame, units: DataFrame, fields: list[StructField], body: Callable[[SimpleNamespace], dict], more: DataFrame | None = None
+) -> DataFrame:
+    """``fields`` that ``body`` makes of batches of whole responses, see :func:`_meet_terms`.
+
+    Units and what a response says travel once, by response, terms packed, and no row is made per pair.
+    Weights of terms that hold more than one row in 10,000 are known to every task, rarer ones
+    follow their response. Plans that ask for several results deal these rows once. ``more``
+    holds rows of another kind, ``resp_id, _all, _share``. Rows without an id are left out.
+    """
+    frequency, total = frequencies(units)
+    frequent = skew.frequent(frequency, "term", "df")
+    hot = frequent.collect()
+    rare = (
+        T.exploded(responses, ["resp_id"], F.array_distinct(_token_array(responses)), "term")
+        .join(F.broadcast(frequent.select("term")), "term", "left_anti")
+        .join(frequency, "term")
+    )
+    source = F.col("source_id") if "source_id" in units.columns else F.lit(None).cast("string")
+    none = F.lit(None)
+    shaped = {
+        UNIT: units.select("resp_id", F.coalesce("unit_ix", F.lit(NO_IX)).alias("_n"), T.packed(term_array(units)).alias("_all"), source.alias("source_id")),
+        RARE: rare.select("resp_id", _big(F.col("df")).alias("_n"), F.col("term").alias("_all")),
+        SAID: responses.select("resp_id", none.cast("bigint").alias("_n"), T.packed(_token_array(responses)).alias("_all")),
+    }
+    if more is not None:
+        shaped[FOUND] = more
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [df.withColumn("_tag", F.lit(tag)) for tag, df in shaped.items()])
+    schema = StructType([rows.schema["resp_id"], *fields])
+    arrow = to_arrow_schema(schema)
+    # fewer than 10,000 terms, whatever the input
+    known = responses.sparkSession.sparkContext.broadcast(([r["term"] for r in hot], [r["df"] for r in hot]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, df = pa.array(known.value[0], pa.string()), np.array(known.value[1], np.float64)
+        weights = np.log((total + 1) / (df + 1)) + 1
+        for table in whole_groups(batches, "resp_id"):
+            out = body(_meet_terms(table, terms, weights, total))
+            at = out.pop("at")
+            columns = [table.column("resp_id").combine_chunks().take(pa.array(at)), *(out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name]) for f in fields)]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+    return rows.filter(F.col("resp_id").isNotNull()).repartition("resp_id").sortWithinPartitions("resp_id").mapInArrow(run, schema)
+
+
+def _meet_terms(table: pa.Table, known: pa.Array, weights: np.ndarray, total: int) -> SimpleNamespace:
+    """Terms of whole responses with their units.
+
+    A pair is a response and one of its terms: ``pair_at`` is a row of it, ``term`` and ``met`` its term, ``n`` the
+    times it is said, ``weight`` its weight. Row ``row`` of the units is unit ``unit_of``, of which
+    ``overlap`` is the weight of what it shares with its response, added up over
+    equal numbers. ``hit`` and ``holder`` are pairs and the units that hold them.
+    """
+    resp, tag, number = changes([table.column("resp_id")]), table.column("_tag").to_numpy(), table.column("_n").fill_null(0).to_numpy()
+    terms, row = cut(table.column("_all"))
+    encoded = terms.dictionary_encode()
+    code, size = encoded.indices.to_numpy().astype(np.int64), len(encoded.dictionary)
+    met = resp[row].astype(np.int64) * max(size, 1) + code
+    held, rare, said = (tag[row] == t for t in (UNIT, RARE, SAID))
+    pair, first, n = np.unique(met[said], return_index=True, return_counts=True)
+    weight = weigh(pair, size, known_weights(encoded.dictionary, known, weights, total), met[rare], number[row[rare]], total)
+    # units of one response and number are one
+    at_unit = np.flatnonzero(tag == UNIT)
+    order = at_unit[np.lexsort((number[at_unit], resp[at_unit]))]
+    new = np.ones(len(order), bool)
+    new[1:] = (resp[order][1:] != resp[order][:-1]) | (number[order][1:] != number[order][:-1])
+    unit_of = np.zeros(len(tag), np.int64)
+    unit_of[order] = np.cumsum(new) - 1
+    place = np.searchsorted(pair, met[held])
+    same = np.zeros(len(place), bool)
+    inside = place < len(pair)
+    same[inside] = pair[place[inside]] == met[held][inside]
+    hit, holder = place[same], unit_of[row[held][same]]
+    return SimpleNamespace(
+        table=table, resp=resp, tag=tag, number=number, row=at_unit, unit_of=unit_of, unit_ix=number[order][new], code=code, size=size, met=met, terms=encoded.dictionary, at_term=row,
+        pair=pair, pair_at=row[said][first], n=n, weight=weight, hit=hit, holder=holder, overlap=np.bincount(holder, weight[hit], int(new.sum())),
+    )
+
+
+def _unit_numbers(ix: np.ndarray) -> pa.Array:
+    return pa.array(ix, mask=ix == NO_IX)
+
+
+def _firsts(keys: np.ndarray, *orders: np.ndarray) -> np.ndarray:
+    """Places of the first row of each key, in the order of ``orders``."""
+    order = np.lexsort((*orders[::-1], keys))
+    return order[np.concatenate([[True], np.diff(keys[order]) != 0])] if len(order) else order
+
+
+def grounded_weights(responses: DataFrame, units: DataFrame) -> DataFrame:
+    """``resp_id, term, n, g, weight``: :func:`grounded_terms` of responses with an id, weighted over the units."""
+
+    def body(x: SimpleNamespace) -> dict:
+        g = np.zeros(len(x.pair), np.int64)
+        g[x.hit] = 1
+        return {"at": x.pair_at, "term": x.terms.take(pa.array(x.pair % max(x.size, 1))), "n": x.n, "g": g, "weight": x.weight}
+
+    fields = [StructField("term", StringType()), StructField("n", LongType()), StructField("g", LongType()), StructField("weight", DoubleType())]
+    return _by_response(responses, units, fields, body)
 
 
 def owners(responses: DataFrame, units: DataFrame) -> DataFrame:
     """``resp_id, term, j_star``: the unit that explains a term.
 
     Among the units holding it, the one covering most of the response, then the
-    first. The overlap of a unit is summed next to its matches; the best unit is
-    an aggregate, so no group of units is sorted.
+    first. Overlaps are summed and the best unit chosen where a response and its units meet.
     """
-    per_unit = Window.partitionBy("resp_id", "unit_ix")
-    return (
-        _matches(responses, units)
-        .withColumn("_overlap", r6(F.sum("weight").over(per_unit)))
-        .groupBy("resp_id", "term")
-        .agg(F.min(F.struct((-F.col("_overlap")).alias("o"), "unit_ix")).alias("_best"))
-        .select("resp_id", "term", F.col("_best.unit_ix").alias("j_star"))
-    )
+
+    def body(x: SimpleNamespace) -> dict:
+        best = _firsts(x.hit, -x.overlap.round(6)[x.holder], x.unit_ix[x.holder])
+        term = x.terms.take(pa.array(x.pair[x.hit[best]] % max(x.size, 1)))
+        return {"at": x.pair_at[x.hit[best]], "term": term, "j_star": _unit_numbers(x.unit_ix[x.holder[best]])}
+
+    return _by_response(responses, units, [StructField("term", StringType()), StructField("j_star", LongType())], body)
 
 
 def token_grounding(responses: DataFrame, units: DataFrame) -> DataFrame:
@@ -187,32 +315,32 @@ def fuzzy_owners(responses: DataFrame, units: DataFrame, threshold: float = simi
     ``threshold``; ``j_star`` the unit that holds it and covers most of the response.
     Equally similar terms: the better unit, then the first term.
     """
-    held = materialise(unit_terms(units), "unit-terms")
-    known = held.select("resp_id", "term").distinct()
-    missing = grounded_terms(responses, units).filter(F.col("g") == 0).select("resp_id", "term")
-    # only responses with a term to look for bring their context
-    wanted = known.join(missing.select("resp_id").distinct(), "resp_id", "left_semi")
-    found = similarity.similar_terms(missing, wanted, "resp_id", threshold)
-    overlap = (
-        _matches(responses, units).groupBy("resp_id", "unit_ix").agg(r6(F.sum("weight")).alias("_overlap"))
-    )
-    placed = (
-        found.join(held.withColumnRenamed("term", "matched_term"), ["resp_id", "matched_term"])
-        .join(overlap, ["resp_id", "unit_ix"], "left")
-        .withColumn("_overlap", F.coalesce("_overlap", F.lit(0.0)))
-    )
-    order = F.struct((-F.col("dice")).alias("d"), (-F.col("_overlap")).alias("o"), "unit_ix", "matched_term")
-    return (
-        placed.groupBy("resp_id", "term")
-        .agg(F.min(order).alias("_best"))
-        .select(
-            "resp_id",
-            "term",
-            F.col("_best.matched_term").alias("matched_term"),
-            (-F.col("_best.d")).alias("dice"),
-            F.col("_best.unit_ix").alias("j_star"),
-        )
-    )
+    missing = grounded_weights(responses, units).filter(F.col("g") == 0).select("resp_id", "term")
+    held = units.select("resp_id", T.packed(term_array(units)).alias("term"))
+    found = similarity.similar_terms(missing, held, "resp_id", threshold, packed=True)
+    pairs = found.select("resp_id", T.packed(F.array("term", "matched_term")).alias("_all"), F.col("dice").alias("_share"))
+
+    def body(x: SimpleNamespace) -> dict:
+        size = max(x.size, 1)
+        at = np.flatnonzero(x.tag == FOUND)
+        wanted = x.code[x.tag[x.at_term] == FOUND].reshape(-1, 2)
+        asked, matched_term = (x.resp[at].astype(np.int64) * size + wanted[:, k] for k in (0, 1))
+        # the best unit that holds each matched term; one without a number has no overlap
+        holds = np.flatnonzero((x.tag[x.at_term] == UNIT) & np.isin(x.met, matched_term))
+        unit = x.unit_of[x.at_term[holds]]
+        overlap = np.where(x.unit_ix == NO_IX, 0.0, x.overlap.round(6))
+        best = _firsts(x.met[holds], -overlap[unit], x.unit_ix[unit])
+        place = np.searchsorted(x.met[holds][best], matched_term)
+        unit = unit[best][place]
+        dice = x.table.column("_share").to_numpy()[at]
+        in_order = np.empty(x.size, np.int64)
+        in_order[pc.sort_indices(x.terms).to_numpy()] = np.arange(x.size)
+        first = _firsts(asked, -dice, -overlap[unit], x.unit_ix[unit], in_order[wanted[:, 1]])
+        term, similar = (x.terms.take(pa.array(wanted[first, k])) for k in (0, 1))
+        return {"at": at[first], "term": term, "matched_term": similar, "dice": dice[first], "j_star": _unit_numbers(x.unit_ix[unit[first]])}
+
+    fields = [StructField("term", StringType()), StructField("matched_term", StringType()), StructField("dice", DoubleType()), StructField("j_star", LongType())]
+    return _by_response(responses, units, fields, body, pairs)
 
 
 def token_grounding_fuzzy(
@@ -225,19 +353,27 @@ def token_grounding_fuzzy(
     """
     exact = owners(responses, units).select("resp_id", "term", F.lit(None).cast("string").alias("matched_term"), F.lit(1.0).alias("dice"), "j_star")
     best = exact.unionByName(fuzzy_owners(responses, units, threshold))
+    # texts and owners travel by response; tokens are only then cut
+    said = responses.select("resp_id", "response_text", F.lit(None).cast("string").alias("_term"))
+    given = best.select("resp_id", F.col("term").alias("_term"), F.struct("dice", "matched_term", "j_star").alias("_best"))
+    parts = F.when(F.col("_term").isNull(), T.token_parts(F.col("response_text"), T.running_totals)).otherwise(
+        F.array(F.struct(F.col("_term").alias("token"), F.lit(None).cast("bigint").alias("end")))
+    )
+    rows = T.positions(said.unionByName(given, allowMissingColumns=True).repartition("resp_id"), ["resp_id", "_best"], parts, "ix", "_part")
+    end, token = F.col("_part.end"), F.col("_part.token")
     return (
-        T.token_rows(responses, ["resp_id"], "response_text")
-        .withColumn("term", F.lower("token"))
-        .join(best, ["resp_id", "term"], "left")
+        rows.withColumn("term", F.when(end.isNull(), token).otherwise(F.lower(token)))
+        .withColumn("_best", F.max("_best").over(Window.partitionBy("resp_id", "term")))
+        .filter(end.isNotNull())
         .select(
             "resp_id",
             "ix",
-            "token",
-            "char_start",
-            "char_end",
-            F.coalesce("dice", F.lit(0.0)).alias("g_t"),
-            "matched_term",
-            "j_star",
+            token.alias("token"),
+            (end - F.length(token)).alias("char_start"),
+            end.alias("char_end"),
+            F.coalesce("_best.dice", F.lit(0.0)).alias("g_t"),
+            F.col("_best.matched_term").alias("matched_term"),
+            F.col("_best.j_star").alias("j_star"),
         )
     )
 
@@ -245,23 +381,18 @@ def token_grounding_fuzzy(
 def unit_coverage(responses: DataFrame, units: DataFrame) -> DataFrame:
     """``resp_id, unit_ix, source_id, coverage``: the share of the response's idf
     mass (distinct terms) that each unit holds; units without overlap get 0."""
-    mass = weighted_terms(responses, units).groupBy("resp_id").agg(F.sum("weight").alias("_mass"))
-    overlap = (
-        _matches(responses, units)
-        .groupBy("resp_id", "unit_ix")
-        .agg(F.sum("weight").alias("_overlap"))
-    )
-    return (
-        units.select("resp_id", "unit_ix", "source_id")
-        .join(overlap, ["resp_id", "unit_ix"], "left")
-        .join(mass, "resp_id", "left")
-        .select(
-            "resp_id",
-            "unit_ix",
-            "source_id",
-            r6(F.coalesce(F.col("_overlap") / F.col("_mass"), F.lit(0.0))).alias("coverage"),
-        )
-    )
+
+    def body(x: SimpleNamespace) -> dict:
+        mass = np.bincount(x.resp[x.pair_at], x.weight, x.resp[-1] + 1)[x.resp[x.row]]
+        overlap = np.where(x.number[x.row] == NO_IX, 0.0, x.overlap[x.unit_of[x.row]])
+        share = np.divide(overlap, mass, out=np.zeros(len(mass)), where=mass > 0)
+        return {"at": x.row, "unit_ix": _unit_numbers(x.number[x.row]), "source_id": x.table.column("source_id").combine_chunks().take(pa.array(x.row)), "coverage": share}
+
+    fields = [units.schema["unit_ix"], units.schema["source_id"], StructField("coverage", DoubleType())]
+    fields = [StructField(f.name, f.dataType) for f in fields]
+    # no response is meant by a null id
+    lost = units.filter(F.col("resp_id").isNull()).select("resp_id", "unit_ix", "source_id", F.lit(0.0).alias("coverage"))
+    return _by_response(responses, units, fields, body).withColumn("coverage", r6(F.col("coverage"))).unionByName(lost)
 
 
 def reverse_context(responses: DataFrame, units: DataFrame) -> DataFrame:

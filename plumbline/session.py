@@ -5,8 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -56,5 +59,22 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     written table survives the loss of executors.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialise_all(frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """As :func:`materialise` for several frames in one job, so what they have in common is shuffled once."""
+    spark = next(iter(frames.values())).sparkSession
+    path = scratch_path(spark, "-and-".join(frames))
+    none = F.lit(None)
+    sides = [
+        df.select(F.lit(name).alias("_side"), *(F.struct(*other.columns).alias(n) if n == name else none.cast(other.schema).alias(n) for n, other in frames.items()))
+        for name, df in frames.items()
+    ]
+    reduce(DataFrame.unionByName, sides).write.partitionBy("_side").option("compression", "zstd").parquet(path)
+    side = StructField("_side", StringType())
+    return [
+        spark.read.schema(StructType([StructField(name, df.schema), side])).parquet(path).filter(F.col("_side") == name).select(f"{name}.*")
+        for name, df in frames.items()
+    ]

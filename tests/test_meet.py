@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,3 +83,59 @@ def test_similar_pairs_stay(plain):
     rows = plain.createDataFrame([(1, "singing"), (1, "sing"), (2, "singen")], "resp_id long, term string")
     found = similarity.similar_terms(rows, rows, "resp_id")
     assert not [e for e in exchanges(found) if "gram" in e or "matched_term" in e and "resp_id" in e]
+
+
+def test_one_exchange_for_all_results(plain):
+    """Weights are looked up without a shuffle by term of what is said; several results deal the same rows once."""
+    responses, units = G.tokenised(*requests(plain))
+    for result in (G.owners, G.unit_coverage, G.grounded_weights):
+        assert not [e for e in exchanges(result(responses, units)) if "_meet" in e or "unit_ix" in e or "resp_id" in e and "term" in e]
+    both = G.owners(responses, units).groupBy("resp_id").count().unionByName(G.unit_coverage(responses, units).groupBy("resp_id").count())
+    both = both.unionByName(G.reverse_context(responses, units).select("resp_id", F.lit(0).alias("count")))
+    both = both.unionByName(G.unsupported_spans(responses, units).select("resp_id", F.lit(0).alias("count")))
+    both.collect()
+    plan = both._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    made = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+    assert len(made) == 2
+
+
+def test_owners_by_definition(spark):
+    """Ids and numbers null or repeated, texts of one id one response, terms frequent and rare."""
+    pick, ids, words = random.Random(7), [None, 1, 1, 2, 3, 4], [f"w{i}" for i in range(12)]
+    text = lambda n: " ".join(pick.choice(words[: pick.choice([3, 12])]) for _ in range(pick.randint(0, n)))
+    said = [(pick.choice([*ids, 9]), text(9)) for _ in range(12)]
+    held = [(pick.choice(ids), pick.choice([None, 0, 1, 2, -5]), "s", text(6)) for _ in range(60)]
+    df = Counter(t for _, _, _, u in held for t in set(u.split()))
+    terms, weight = defaultdict(Counter), lambda t: math.log((len(held) + 1) / (df[t] + 1)) + 1
+    for resp, t in said:
+        terms[resp].update(t.split())
+    overlap = defaultdict(float)
+    for resp, ix, _, u in held:
+        overlap[resp, ix] += sum(weight(t) for t in set(u.split()) if resp is not None and t in terms[resp])
+    responses = spark.createDataFrame(said, "resp_id long, response_text string")
+    units = spark.createDataFrame(held, "resp_id long, unit_ix long, source_id string, text string")
+    for r, u in ((responses, units), G.tokenised(responses, units)):
+        got = {(x.resp_id, x.term): x.j_star for x in G.owners(r, u).collect()}
+        want = {}
+        for resp in terms:
+            for t in terms[resp]:
+                by = [ix for other, ix, _, unit in held if resp is not None and other == resp and t in unit.split()]
+                if by:
+                    want[resp, t] = min(by, key=lambda ix: (-round(overlap[resp, ix], 6), -math.inf if ix is None else ix))
+        assert got == want and want
+        rows = Counter((x.resp_id, x.unit_ix, round(x.coverage, 5)) for x in G.unit_coverage(r, u).collect())
+        mass = {resp: sum(weight(t) for t in terms[resp]) for resp in terms}
+        shares = Counter((resp, ix, round(overlap[resp, ix] / mass[resp], 5) if ix is not None and mass.get(resp) else 0.0) for resp, ix, _, _ in held)
+        assert rows == shares
+        n = {(x.resp_id, x.term): (x.n, x.g, round(x.weight, 9)) for x in G.grounded_weights(r, u).collect()}
+        assert n == {(resp, t): (c, int((resp, t) in want), round(weight(t), 9)) for resp in terms if resp is not None for t, c in terms[resp].items()}
+
+
+def test_saved_frames_without_rows(spark):
+    """Either table may be empty; both are read back with their columns."""
+    responses, units = requests(spark)
+    for r, u in ((responses.limit(0), units), (responses, units.limit(0)), (responses.limit(0), units.limit(0))):
+        saved, held = G.tokenised(r, u)
+        assert (saved.count(), held.count()) == (r.count(), u.count())
+        assert saved.columns == [*r.columns, G.TOKENS] and held.columns == [*u.columns, G.TERMS]
+        assert G.unit_coverage(saved, held).count() == u.count() and G.owners(saved, held).count() == 0

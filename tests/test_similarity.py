@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -65,3 +66,29 @@ def test_fuzzy_step_of_grounding(spark):
     assert rows[1, 2] == (0.0, None, None) and rows[2, 0] == (0.0, None, None) and len(rows) == 5
     strict = G.token_grounding_fuzzy(responses, units, threshold=0.99)
     assert strict.filter("g_t > 0").count() == 0
+
+
+def test_grams_stay_with_their_response(spark):
+    """Terms are dealt by response only: no vocabulary, gram or pair is shuffled, and texts are cut where they arrive."""
+    responses = spark.createDataFrame([(1, "Receivings colour xyz")], "resp_id long, response_text string")
+    units = spark.createDataFrame([(1, 0, "s", "color coloured receiving")], "resp_id long, unit_ix long, source_id string, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = G.token_grounding_fuzzy(responses, units)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    dealt = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    assert dealt and not [e for e in dealt if "gram" in e or "_meet" in e or "matched_term" in e or "resp_id" in e and "," in e]
+
+
+@pytest.mark.parametrize("block", [1, 7])
+def test_packed_terms_in_small_blocks(spark, block):
+    """Rows of several terms, repeats across rows, a few pairs at a time: the pairs of single rows."""
+    pick = random.Random(5)
+    asked, held = ([(g, w) for g in (1, 2) for w in words(pick, 40)] for _ in range(2))
+    frame = lambda rows: spark.createDataFrame(rows, "resp_id long, term string")
+    packed = lambda rows: frame([(g, "\u0001".join(w for h, w in rows[i::7] if h == g)) for g in (1, 2) for i in (0, 1, 2, 3, 4, 5, 6, 0)] + [(None, "a"), (1, None)])
+    want = sorted(map(tuple, similarity.similar_terms(frame(asked), frame(held), "resp_id").collect()))
+    got = sorted(map(tuple, similarity.similar_terms(packed(asked), packed(held), "resp_id", packed=True, block=block).collect()))
+    assert got == want and want
