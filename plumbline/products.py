@@ -89,25 +89,25 @@ def score_groundedness(
     preset = PROFILES[profile]
     limit = evidence_limit or preset["evidence_limit"]
     threshold = coverage_threshold if coverage_threshold is not None else preset["coverage_threshold"]
-    answered = responses.filter(~R.is_empty(F.col("response_text")))
-    blank = responses.filter(R.is_empty(F.col("response_text"))).select(
-        "resp_id",
-        F.lit("red").alias("risk_band"),
-        F.lit("block").alias("action"),
-        F.array(F.lit("empty_input")).alias("reason_codes"),
-        F.lit("empty_input").alias("risk_reason"),
-    )
     if attribution_mode == "open_domain":
         if corpus_table is None:
             raise ValueError("open_domain needs corpus_table")
-        units = open_domain_units(answered, corpus_table, limit)
+        units = open_domain_units(responses.filter(~R.is_empty(F.col("response_text"))), corpus_table, limit)
     elif (units is None) == (raw_context is None):
         raise ValueError("give either units or raw_context")
     elif raw_context is not None:
         units = raw_units(raw_context, chunk_tokens)
     if chunk_ids is not None:
         units = units.join(chunk_ids.select("resp_id", "unit_ix").distinct(), ["resp_id", "unit_ix"], "left_semi")
-    answered, evidence = G.tokenised(answered, literals.trusted_units(units, context_trust_enabled))
+    saved, evidence = G.tokenised(responses, literals.trusted_units(units, context_trust_enabled))
+    answered = saved.filter(~R.is_empty(F.col("response_text")))
+    blank = saved.filter(R.is_empty(F.col("response_text"))).select(
+        "resp_id",
+        F.lit("red").alias("risk_band"),
+        F.lit("block").alias("action"),
+        F.array(F.lit("empty_input")).alias("reason_codes"),
+        F.lit("empty_input").alias("risk_reason"),
+    )
     scores = claims.fuse(claims.lanes(answered, evidence, scorer), primary_metric)
     coverage = G.coverage_stats(answered, evidence, threshold)
     best = (

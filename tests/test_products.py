@@ -1,6 +1,7 @@
 """The main call keeps every response, whatever its context."""
 
 import json
+import re
 
 import pytest
 
@@ -12,6 +13,7 @@ from plumbline.operators import decide as D
 from plumbline.operators import grounding as G
 from plumbline.operators import heads
 from plumbline.operators import literals as L
+from plumbline.plans import claim_plans
 from plumbline.sources import envelopes as X
 from pyspark.sql import functions as F
 
@@ -171,3 +173,37 @@ def test_annotate_retrieved_scores_the_joined_units(spark):
     assert record["trace_score"] == by_hand.primary_score and record["runtime_decision"]["action"] == by_hand.action
     assert record["scores"]["query_context"] == by_hand.query_context
     assert products.annotate_retrieved(queries, units.limit(0)).count() == 0
+
+
+def test_input_is_read_once(spark, requests):
+    """Scores start from what was saved, empty responses too, and the units' terms are dealt twice: for claims, and for all other lanes."""
+    responses, units = requests
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = products.score_groundedness(responses, units)
+        scored.collect()
+        plan = scored._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "FileScan parquet" in plan and "ExistingRDD" not in plan and "LocalTableScan" not in plan
+    made = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+    assert len(made) == 2
+
+
+def test_record_deals_texts_once(spark, tmp_path):
+    """Share of grounded tokens and unsupported spans start from one shuffle of texts and terms, tokens are not dealt again."""
+    rows = [(i, "Rot und blau. Nie grün, 4 mal. Rot noch einmal. Blau ist es. Gelb war es nie.") for i in range(8)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        record = claim_plans.QUERIES["nest_response"](spark, str(tmp_path))
+        assert sorted(r.resp_id for r in record.collect() if r.claims and r.evidence) == list(range(8))
+        plan = record._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    made = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line and "ReusedExchange" not in line]
+    # texts and terms, weights and terms, claims, atoms
+    assert len(made) == 4
+    assert not re.search(r"Exchange hashpartitioning\(resp_id#\d+L?, term#", plan)
